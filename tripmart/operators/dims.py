@@ -138,8 +138,11 @@ class Dims:
                  "license", "triptype", "base") if getattr(self, k) is not None}
 
 
-# Dimensions read from external lookups are broadcast only when they have at
-# most this many rows; larger ones join by shuffle (AQE may still broadcast).
+# With ``check_lookups``, dimensions read from external lookups are broadcast
+# when they have at most this many rows. Without it (default) no hint is given:
+# Spark's planner broadcasts them only under spark.sql.autoBroadcastJoinThreshold
+# (its own size estimate) and AQE re-plans from the real shuffle size; beyond
+# that the join shuffles.
 MAX_BROADCAST_ROWS = 1_000_000
 
 
@@ -149,7 +152,8 @@ def has_at_most(df: DataFrame, n: int) -> bool:
 
 
 def build_dims(spark: SparkSession, start: dt.date = DATE_START, end: dt.date = DATE_END,
-               zone: DataFrame | None = None, base: DataFrame | None = None) -> Dims:
+               zone: DataFrame | None = None, base: DataFrame | None = None,
+               check_lookups: bool = False) -> Dims:
     d = Dims(date=build_dim_date(spark, start, end), time=build_dim_time(spark),
              payment=build_literal_dim(spark, "dim_payment"),
              ratecode=build_literal_dim(spark, "dim_ratecode"),
@@ -164,6 +168,6 @@ def build_dims(spark: SparkSession, start: dt.date = DATE_START, end: dt.date =
     d.small = {"date", "time", "payment", "ratecode", "vendor", "triptype", "flags", "license"}
     for name in ("zone", "base"):
         df = getattr(d, name)
-        if df is not None and has_at_most(df, MAX_BROADCAST_ROWS):
+        if check_lookups and df is not None and has_at_most(df, MAX_BROADCAST_ROWS):
             d.small.add(name)
     return d

@@ -26,6 +26,15 @@ def to_layout(fact: DataFrame, feed: str) -> DataFrame:
     return renamed.select(*[c for c, _ in FACTS[feed]])
 
 
+def _double_to_decimal(x, t: T.DecimalType):
+    """``try_cast(x AS decimal(p,s))`` without the per-row exception of the
+    overflow path: round into a wide decimal (same HALF_UP rounding), then
+    test the bound. NaN, infinities and huge values give null."""
+    wide = F.when(F.abs(x) < 1e17, x.cast(T.DecimalType(38, t.scale)))
+    limit = F.lit(10 ** (t.precision - t.scale)).cast(T.DecimalType(38, t.scale))
+    return F.when(F.abs(wide) < limit, wide.cast(t))
+
+
 def conform(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """Split rows into (conformed, rejects) against the warehouse types.
 
@@ -35,11 +44,19 @@ def conform(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     the input row plus ``reject_reason`` (failing columns, comma separated).
     One pass; the split is two filters over the same projection."""
     checks, casts = [], {}
+    types = {f.name: f.dataType for f in df.schema.fields}
     for c, t in FACTS[feed]:
         src = F.col(c)
+        if types[c] == t and c not in VARCHAR:
+            # Already the warehouse type: nothing can fail, nothing to cast
+            # (and no copy of the column's expression in the reject test).
+            casts[c] = src
+            continue
         if isinstance(t, T.StringType):
             n = VARCHAR.get(c)
             conv = F.when(F.length(src) <= n, src) if n else src.cast("string")
+        elif isinstance(t, T.DecimalType) and isinstance(types[c], (T.DoubleType, T.FloatType)):
+            conv = _double_to_decimal(src, t)
         else:
             conv = src.try_cast(t)
         casts[c] = conv
