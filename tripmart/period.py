@@ -35,7 +35,8 @@ class Period:
 
 
 def month_number(month) -> int:
-    """Month argument as a number: accepts 11, '11', 'November' or 'nov'."""
+    """Month argument as a number: accepts 11, '11', 'November' or 'Nov'
+    (case-insensitive); anything else is an error."""
     if isinstance(month, int):
         m = month
     else:
@@ -43,7 +44,8 @@ def month_number(month) -> int:
         if s.isdigit():
             m = int(s)
         else:
-            hits = [i + 1 for i, n in enumerate(MONTH_NAMES) if n.lower().startswith(s.lower()[:3])]
+            low = s.lower()
+            hits = [i + 1 for i, n in enumerate(MONTH_NAMES) if low in (n.lower(), n.lower()[:3])]
             if len(hits) != 1:
                 raise ValueError(f"unknown month {month!r}")
             m = hits[0]

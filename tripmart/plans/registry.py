@@ -28,6 +28,7 @@ from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
 from ..sources.adapters import base_lookup, event_trips, landing_manifest, table, zone_lookup
 from ..sources.landing import landing_status
+from ..streaming.month_loader import start_month_loader
 from . import oracle as O
 from .tables import ORDER_FACT_SCHEMA, published_orders
 
@@ -305,6 +306,20 @@ def q_dim_parquet_roundtrip(spark, sf):
     return to_plain(read_dim(spark, "dim_date", path, "parquet"))
 
 
+def q_stream_fact_yellow(spark, sf):
+    """The yellow month lands as files; a streaming query loads it."""
+    root = shared_path(spark, "landing")
+    raw = event_trips(spark, sf, "yellow")
+    write_table(raw, f"{root}/{E_PERIOD.year}/{E_PERIOD.month}/yellow_tripdata_{E_PERIOD}", "parquet")
+    table_path = shared_path(spark, "warehouse", "fact_yellow")
+    q = start_month_loader(spark, "yellow", root, table_path, e_dims(spark, sf),
+                           shared_path(spark, "checkpoints", "fact_yellow"))
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return read_fact(spark, table_path, e_fact(spark, sf, "yellow").schema)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "trip_datetime_parts": q_trip_datetime_parts,
@@ -357,6 +372,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_base": q_dim_base,
         "dim_csv_roundtrip": q_dim_csv_roundtrip,
         "dim_parquet_roundtrip": q_dim_parquet_roundtrip,
+        "stream_fact_yellow": q_stream_fact_yellow,
     }
 
 
@@ -605,6 +621,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_base": with_o("SELECT * FROM dim_base", None),
         "dim_csv_roundtrip": with_o("SELECT * FROM dim_base", None),
         "dim_parquet_roundtrip": with_o(DIM_DATE_PLAIN, None),
+        "stream_fact_yellow": with_e("SELECT * FROM fact_yellow", O.FACT_YELLOW),
     }
 
 
