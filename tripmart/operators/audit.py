@@ -64,15 +64,19 @@ def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
                  .groupBy("fk_column", "key").agg(F.count(F.lit(1)).alias("n")))
     dim_keys = _union([dims.table(d).select(F.lit(c).alias("fk_column"),
                                             F.col(DIM_KEYS[d]).cast("string").alias("key"))
-                       for c, d in fks])
+                       for c, d in fks]).distinct().withColumn("known", F.lit(True))
     small = all(d.removeprefix("dim_") in dims.small for _, d in fks)
-    orphans = keys.join(F.broadcast(dim_keys) if small else dim_keys,
-                        ["fk_column", "key"], "left_anti")
-    checked = keys.groupBy("fk_column").agg(F.sum("n").alias("checked_rows"))
-    bad = orphans.groupBy("fk_column").agg(F.sum("n").alias("orphan_rows"),
-                                          F.count(F.lit(1)).alias("orphan_keys"))
+    # One path from the scan: a left join marks keys the dimension knows, one
+    # aggregation counts checked and orphan rows (an anti join next to a
+    # separate count would be planned as a second scan of the fact).
+    marked = keys.join(F.broadcast(dim_keys) if small else dim_keys, ["fk_column", "key"], "left")
+    orphan = F.col("known").isNull()
+    stats = marked.groupBy("fk_column").agg(
+        F.sum("n").alias("checked_rows"),
+        F.sum(F.when(orphan, F.col("n"))).alias("orphan_rows"),
+        F.count(F.when(orphan, 1)).alias("orphan_keys"))
     listing = spark.createDataFrame(fks, FK_RESULT)
-    return (listing.join(checked, "fk_column", "left").join(bad, "fk_column", "left")
+    return (listing.join(stats, "fk_column", "left")
             .select("fk_column", "ref_table",
                     F.coalesce("checked_rows", F.lit(0)).cast("bigint").alias("checked_rows"),
                     F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"),

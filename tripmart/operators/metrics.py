@@ -41,8 +41,14 @@ def period_condition(year, month, years_back: int = 0) -> Column:
     return (F.col("year") == y - years_back) & (F.col("month") == m)
 
 
-def in_period(view: DataFrame, year, month) -> DataFrame:
-    """Rows of the star view whose calendar year and month match."""
+def in_period(view: DataFrame, year, month, role: str = "pickup") -> DataFrame:
+    """Rows of the star view whose calendar year and month match. The same
+    test is first written as a range on the fact's date key of ``role``, which
+    reaches the Parquet scan; the calendar columns come from that key."""
+    key = ROLE_KEY[role]
+    if key in view.columns:
+        lo, hi = key_range(int(year), month_number(month))
+        view = view.filter(F.col(key).between(lo, hi))
     return view.filter(period_condition(year, month))
 
 

@@ -22,6 +22,7 @@ from ..operators.facts import WAREHOUSE_NAMES, build_fact
 from ..operators.keys import add_date_keys, add_flag_key, add_time_keys
 from ..operators.publish import (conform, load_month, read_dim, read_fact, read_table,
                                  to_layout, write_table)
+from ..operators.star import ALL as STAR_ALL
 from ..operators.star import star_view
 from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
@@ -67,9 +68,11 @@ def e_fact(spark, sf, feed, how="arith") -> DataFrame:
     return build_fact(event_trips(spark, sf, feed), feed, E_PERIOD, e_dims(spark, sf), how)
 
 
-def o_view(spark, sf, role="pickup") -> DataFrame:
+def o_view(spark, sf, role="pickup", include=STAR_ALL) -> DataFrame:
+    """The star view over the published order-trip fact, joined only to the
+    dimensions a query names (an unused left join would still be executed)."""
     pub = published_orders(spark, sf)
-    return star_view(pub.fact, pub.dims, role)
+    return star_view(pub.fact, pub.dims, role, include)
 
 
 # ------------------------------------------------------------ events-based queries
@@ -173,7 +176,8 @@ STAR_ROLLUP_FIELDS = ["total_amount", "fare_amount", "tip_amount", "trip_distanc
 
 
 def q_star_rollup(spark, sf):
-    return to_plain(metrics.star_rollup(o_view(spark, sf), ["payment_type", "vendor"],
+    return to_plain(metrics.star_rollup(o_view(spark, sf, include=("payment", "vendor", "zone", "ratecode")),
+                                        ["payment_type", "vendor"],
                                         STAR_ROLLUP_FIELDS))
 
 
@@ -182,51 +186,56 @@ def q_fact_in_period(spark, sf):
 
 
 def q_period_totals(spark, sf):
-    return to_plain(metrics.period_totals(o_view(spark, sf), list(metrics.MEASURES), KPI_YEAR,
+    return to_plain(metrics.period_totals(o_view(spark, sf, include=("date", "vendor")),
+                                          list(metrics.MEASURES), KPI_YEAR,
                                           KPI_MONTH, by="vendor", prefilter=False))
 
 
 def _yoy(measure):
     def q(spark, sf):
-        return metrics.yoy(o_view(spark, sf), measure, KPI_YEAR, KPI_MONTH)
+        return metrics.yoy(o_view(spark, sf, include=("date",)), measure, KPI_YEAR, KPI_MONTH)
     return q
 
 
 def q_kpi_all(spark, sf):
-    return metrics.kpi_all(o_view(spark, sf), KPI_YEAR, KPI_MONTH)
+    return metrics.kpi_all(o_view(spark, sf, include=("date",)), KPI_YEAR, KPI_MONTH)
 
 
 def q_yoy_labels(spark, sf):
-    return metrics.kpi_all(o_view(spark, sf), KPI_YEAR, KPI_MONTH, labels=True)
+    return metrics.kpi_all(o_view(spark, sf, include=("date",)), KPI_YEAR, KPI_MONTH, labels=True)
 
 
 def q_yoy_revenue_by_payment(spark, sf):
-    return metrics.yoy(o_view(spark, sf), "revenue", KPI_YEAR, KPI_MONTH, by="payment_type")
+    return metrics.yoy(o_view(spark, sf, include=("date", "payment")), "revenue", KPI_YEAR,
+                       KPI_MONTH, by="payment_type")
 
 
 def q_yoy_fare_by_payment(spark, sf):
-    return metrics.yoy(o_view(spark, sf), "fare", KPI_YEAR, KPI_MONTH, by="payment_type")
+    return metrics.yoy(o_view(spark, sf, include=("date", "payment")), "fare", KPI_YEAR,
+                       KPI_MONTH, by="payment_type")
 
 
 def q_yoy_revenue_by_payment_same_day(spark, sf):
-    return metrics.yoy(o_view(spark, sf, "same_day"), "revenue", KPI_YEAR, KPI_MONTH,
+    return metrics.yoy(o_view(spark, sf, "same_day", ("date", "payment")), "revenue", KPI_YEAR, KPI_MONTH,
                        by="payment_type", role="same_day")
 
 
 def q_fare_by_trip_type(spark, sf):
-    return to_plain(metrics.total_by(o_view(spark, sf), "fare", "trip_type"))
+    return to_plain(metrics.total_by(o_view(spark, sf, include=("triptype",)), "fare", "trip_type"))
 
 
 def q_fare_trip_type_rollup(spark, sf):
-    return to_plain(metrics.total_by(o_view(spark, sf), "fare", "trip_type", rollup=True))
+    return to_plain(metrics.total_by(o_view(spark, sf, include=("triptype",)), "fare", "trip_type",
+                                     rollup=True))
 
 
 def q_fare_share_by_trip_type(spark, sf):
-    return to_plain(metrics.share_of_total(o_view(spark, sf), "fare", "trip_type"))
+    return to_plain(metrics.share_of_total(o_view(spark, sf, include=("triptype",)), "fare",
+                                           "trip_type"))
 
 
 def q_month_name(spark, sf):
-    v = o_view(spark, sf)
+    v = o_view(spark, sf, include=("date",))
     return v.select("data_month", month_label("data_month").alias("data_month_name"),
                     "month", month_label("month").alias("month_name"))
 
