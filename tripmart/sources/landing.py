@@ -19,11 +19,13 @@ REQUIRED_FEEDS = ("yellow", "green")
 
 def manifest_from_paths(spark: SparkSession, root: str) -> DataFrame:
     """List landed files under ``root/<yyyy>/<MM>/<feed>_tripdata_<yyyy>-<MM>*``
-    through the ``binaryFile`` source, selecting only path and length."""
+    (a file, or a folder of part files) through the ``binaryFile`` source,
+    selecting only path and length: file contents are not read."""
     prefixes = "|".join(FEED_FILE_PREFIX.values())
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(root).select("path", "length"))
-    pat = rf"/(\d{{4}})/(\d{{2}})/({prefixes})_tripdata_\d{{4}}-\d{{2}}[^/]*$"
+    # A landed month is one file, or one folder of part files.
+    pat = rf"/(\d{{4}})/(\d{{2}})/({prefixes})_tripdata_\d{{4}}-\d{{2}}[^/]*(/[^/]+)?$"
     inverse = {v: k for k, v in FEED_FILE_PREFIX.items()}
     feed = F.col("prefix")
     for prefix, name in inverse.items():
