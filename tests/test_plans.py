@@ -23,8 +23,10 @@ def pub(spark):
 
 def test_fact_build_has_no_join_and_no_shuffle(spark, dims):
     f = build_fact(event_trips(spark, SF01, "yellow"), "yellow", Period("2024", "01"), dims)
-    plan = plan_text(f)
-    assert "Join" not in plan and "Exchange" not in plan
+    plan = plan_text(f, "simple")
+    # the only exchange allowed is the round-robin spread of a one-split input
+    assert "Join" not in plan and "hashpartitioning" not in plan
+    assert plan.count("Exchange") == plan.count("RoundRobinPartitioning")
     assert "GreaterThanOrEqual(ts," in plan      # date-range membership pushed to the scan
 
 

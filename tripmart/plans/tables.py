@@ -80,10 +80,19 @@ def build_order_fact(spark: SparkSession, sf_dir: str, dims: Dims) -> DataFrame:
     return keyed.select(*[f.name for f in ORDER_FACT_SCHEMA.fields])
 
 
-def write_partitioned(df: DataFrame, path: str, sort_key: str = "pickup_date_id") -> None:
-    """Partition by file period, one sorted run per task and month: no
-    shuffle, and a hot month is written by every task that holds part of it
-    instead of by one task."""
+def write_partitioned(df: DataFrame, path: str, sort_key: str = "pickup_date_id",
+                      rebalance: bool = True) -> None:
+    """Write partitioned by file period, each file sorted by ``sort_key``.
+
+    ``rebalance`` shuffles rows by period first (REBALANCE hint): after a
+    shuffle join every task holds every month, and writing as is would give
+    tasks x months small files. AQE splits a period partition that is larger
+    than the advisory size over several tasks (a month holding a third of all
+    rows is not written by one task) and coalesces small ones. Without
+    ``rebalance`` (input already one month per split, e.g. monthly files) no
+    shuffle happens."""
+    if rebalance:
+        df = df.hint("rebalance", "data_year", "data_month")
     (df.sortWithinPartitions("data_year", "data_month", sort_key)
        .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy("data_year", "data_month").parquet(path))

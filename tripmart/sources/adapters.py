@@ -25,8 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    splits than cores (one large file with one row group reads as a single
+    task, and every operator fused after it would run single-threaded). A
+    scan that already has enough splits is returned unchanged: no shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        n = df._jdf.rdd().getNumPartitions()
+    except Exception:  # Spark Connect: leave the plan as it is
+        return df
+    return df.repartition(cores) if n < cores else df
+
+
 def _events(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     e = F.col("event_id")
     secs = F.when(e % 50 == 0, F.lit(-103).cast("bigint")).otherwise(
         F.round(F.col("value") * 60).cast("bigint"))
@@ -102,9 +116,9 @@ def _dec(c, p, s=2):
 
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip-shaped rows, one per line item, money as exact decimals."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag")
+        "l_discount", "l_tax", "l_returnflag"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                    "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
