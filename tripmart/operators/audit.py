@@ -101,23 +101,27 @@ def pk_audit(tables: dict[str, DataFrame]) -> DataFrame:
 
 def key_misses(trips: DataFrame, dims: Dims) -> DataFrame:
     """Rows of cleaned trips (with ``pickup_*`` / ``dropoff_*`` parts) whose
-    date or clock minute has no dimension row, per role and kind. These are
-    the rows the inner key lookups drop."""
-    out = []
-    date = dims.date.select("year", "month", "day")
-    time = dims.time.select("hour", "minute")
+    date or clock minute has no dimension row, per role and kind: the rows
+    the inner key lookups drop. One pass: four left joins against the
+    (distinct) dimension parts mark matches, one aggregation counts the
+    unmarked rows."""
+    checks = []
+    marked = trips
     for role in ("pickup", "dropoff"):
-        for kind, dim, parts in (("date", date, ("year", "month", "day")),
-                                 ("time", time, ("hour", "minute"))):
+        for kind, dim, parts in (("date", dims.date, ("year", "month", "day")),
+                                 ("time", dims.time, ("hour", "minute"))):
             cols = [f"{role}_{p}" for p in parts]
-            keyed = trips.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-            d = dim.select(*[F.col(p).alias(c) for p, c in zip(parts, cols)])
-            small = kind in dims.small
+            flag = f"__hit_{role}_{kind}"
+            d = dim.select(*[F.col(p).alias(c) for p, c in zip(parts, cols)]).distinct() \
+                   .withColumn(flag, F.lit(True))
             # Plain equality: a null part never matches, as in the inner lookup.
-            miss = keyed.join(F.broadcast(d) if small else d, cols, "left_anti")
-            out.append(miss.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("missing_rows"))
-                       .select(F.lit(role).alias("role"), F.lit(kind).alias("kind"), "missing_rows"))
-    return _union(out)
+            marked = marked.join(F.broadcast(d) if kind in dims.small else d, cols, "left")
+            checks.append((role, kind, flag))
+    counts = marked.agg(*[F.count_if(F.col(flag).isNull()).alias(f"{role}|{kind}")
+                          for role, kind, flag in checks])
+    long = counts.unpivot([], [f"{r}|{k}" for r, k, _ in checks], "rk", "missing_rows")
+    return long.select(F.split("rk", "[|]")[0].alias("role"), F.split("rk", "[|]")[1].alias("kind"),
+                       F.col("missing_rows").cast("bigint").alias("missing_rows"))
 
 
 def key_collisions(dim: DataFrame, key: str, legacy: str, trips: DataFrame | None = None,

@@ -26,13 +26,17 @@ def to_layout(fact: DataFrame, feed: str) -> DataFrame:
     return renamed.select(*[c for c, _ in FACTS[feed]])
 
 
-def _double_to_decimal(x, t: T.DecimalType):
-    """``try_cast(x AS decimal(p,s))`` without the per-row exception of the
-    overflow path: round into a wide decimal (same HALF_UP rounding), then
-    test the bound. NaN, infinities and huge values give null."""
-    wide = F.when(F.abs(x) < 1e17, x.cast(T.DecimalType(38, t.scale)))
-    limit = F.lit(10 ** (t.precision - t.scale)).cast(T.DecimalType(38, t.scale))
-    return F.when(F.abs(wide) < limit, wide.cast(t))
+def _decimal_fits(x, t: T.DecimalType):
+    """Does ``try_cast(x AS decimal(p,s))`` succeed for a double ``x``?
+
+    The cast rounds the shortest decimal form of ``x`` HALF_UP to ``s``
+    places; that overflows exactly when ``|x|`` is at least the double
+    nearest to ``10^(p-s) - 0.5 * 10^-s``, because the shortest form keeps
+    the order of doubles. So one double comparison decides it, without
+    building a decimal (and without the cast's per-row overflow exception).
+    NaN and infinities do not fit."""
+    bound = 10.0 ** (t.precision - t.scale) - 0.5 * 10.0 ** -t.scale
+    return F.abs(x) < F.lit(bound)
 
 
 def conform(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
@@ -56,7 +60,10 @@ def conform(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
             n = VARCHAR.get(c)
             conv = F.when(F.length(src) <= n, src) if n else src.cast("string")
         elif isinstance(t, T.DecimalType) and isinstance(types[c], (T.DoubleType, T.FloatType)):
-            conv = _double_to_decimal(src, t)
+            fits = _decimal_fits(src, t)
+            casts[c] = F.when(fits, src.cast(t))
+            checks.append((c, src.isNotNull() & ~fits))
+            continue
         else:
             conv = src.try_cast(t)
         casts[c] = conv
