@@ -164,3 +164,17 @@ def test_clean_keeps_timestamps_for_keys(spark):
 def test_highvol_raw_schema_has_flags():
     names = [f.name for f in RAW_HIGHVOL.fields]
     assert names.count("shared_request_flag") == 1 and "trip_miles" in names
+
+
+def test_arithmetic_keys_ignore_session_time_zone(spark):
+    narrow = build_dims(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+    raw = event_trips(spark, SF01, "yellow")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")   # UTC+14
+        a = build_fact(raw, "yellow", P, narrow).collect()
+        j = build_fact(raw, "yellow", P, narrow, how="join").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert len(a) == len(j) == 7899
+    assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, j), key=repr)

@@ -75,10 +75,12 @@ def legacy_time_key(h, m) -> Column:
 def in_date_range(ts, start: dt.date, end: dt.date) -> Column:
     """``start <= date(ts) <= end`` written as a timestamp range, so that the
     predicate can reach a Parquet scan of the raw timestamp column."""
-    lo = dt.datetime.combine(start, dt.time())
-    hi = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
+    # Literals from text: a Python datetime would pass through the session
+    # and process time zones; text cast to TIMESTAMP_NTZ does not.
+    lo = F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{(end + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
     ts = _c(ts)
-    return (ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz"))
+    return (ts >= lo) & (ts < hi)
 
 
 def key_range(year: int, month: int) -> tuple[int, int]:

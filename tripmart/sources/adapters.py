@@ -33,8 +33,8 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     try:
-        n = df._jdf.rdd().getNumPartitions()
-    except Exception:  # Spark Connect: leave the plan as it is
+        n = df.rdd.getNumPartitions()   # plans the scan; reads no data
+    except Exception:  # Spark Connect has no RDD API: leave the plan as it is
         return df
     return df.repartition(cores) if n < cores else df
 
