@@ -80,3 +80,17 @@ def test_fk_audit_scans_fact_once(spark, dims):
     plan = plan_text(df, "simple").split("== Initial Plan ==")[0]
     assert plan.count("events.parquet") == 1
     assert "Expand" in plan         # unpivot, then (fk, key) pre-aggregation
+
+
+def test_hot_groups_are_pre_aggregated_before_the_shuffle(spark, pub, dims):
+    # A payment type (or key) holding a third of all rows reaches the shuffle
+    # as one partial row per task.
+    v = star_view(pub.fact, pub.dims, include=("date", "payment"))
+    plan = plan_text(metrics.yoy(v, "revenue", KPI_YEAR, KPI_MONTH, by="payment_type"), "simple")
+    below = plan[plan.index("Exchange hashpartitioning(payment_type"):]
+    assert "partial_sum" in below
+    f = to_layout(build_fact(event_trips(spark, SF01, "yellow"), "yellow", Period("2024", "01"),
+                             dims), "yellow")
+    fk = plan_text(audit.fk_audit(f, dims, "yellow"), "simple")
+    below = fk[fk.index("Exchange hashpartitioning(fk_column#"):]
+    assert "partial_count" in below

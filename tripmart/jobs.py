@@ -56,8 +56,10 @@ def publish_dims(dims: Dims, root: str) -> list:
     if bad:
         raise KeyViolation(", ".join(f"{r.table_name}.{r.key_column}" for r in bad))
     for name, df in tables.items():
-        # Dimensions are small by construction: one file each.
-        write_table(df.coalesce(1), f"{root.rstrip('/')}/{name}", "parquet")
+        # Bounded dimensions become one file; a lookup that grows with the
+        # data (base) keeps its partitioning instead of funnelling into one task.
+        out = df.coalesce(1) if name.removeprefix("dim_") in dims.small else df
+        write_table(out, f"{root.rstrip('/')}/{name}", "parquet")
     return report
 
 

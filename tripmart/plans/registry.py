@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import default_period_cols, epoch_seconds, month_label, trip_minutes, trip_parts
 from ..operators import audit, metrics
 from ..operators.clean import INT_CASTS, clean, complete_rows, nonnegative_total
-from ..operators.dims import Dims, build_dims
+from ..operators.dims import Dims, build_dim_base, build_dim_zone, build_dims
 from ..operators.facts import WAREHOUSE_NAMES, build_fact
 from ..operators.keys import add_date_keys, add_flag_key, add_time_keys
 from ..operators.publish import (conform, load_month, read_dim, read_fact, read_table,
@@ -27,6 +27,7 @@ from ..operators.star import star_view
 from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
+from ..jobs import read_lookup
 from ..sources.adapters import base_lookup, event_trips, landing_manifest, table, zone_lookup
 from ..sources.landing import landing_status
 from ..streaming.month_loader import start_month_loader
@@ -295,12 +296,20 @@ def q_dim_date(spark, sf):
     return to_plain(published_orders(spark, sf).dims.date)
 
 
+def _lookup_via_csv(spark, df, kind):
+    """Land a lookup derived from the tables as headered CSV, read it back
+    the way the lookups arrive (CSV with header, typed by position)."""
+    path = shared_path(spark, "lookups", kind)
+    write_table(df, path, "csv")
+    return read_lookup(spark, path, kind)
+
+
 def q_dim_zone(spark, sf):
-    return published_orders(spark, sf).dims.zone
+    return build_dim_zone(_lookup_via_csv(spark, zone_lookup(spark, sf), "zone"))
 
 
 def q_dim_base(spark, sf):
-    return published_orders(spark, sf).dims.base
+    return build_dim_base(_lookup_via_csv(spark, base_lookup(spark, sf), "base"))
 
 
 def q_dim_csv_roundtrip(spark, sf):
