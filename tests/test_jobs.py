@@ -26,7 +26,7 @@ P = Period("2024", "01")
 @pytest.fixture(scope="module")
 def landing(spark):
     root = shared_path(spark, "test", "landing")
-    for feed in ("yellow", "green"):
+    for feed in ("yellow", "green", "highvol"):
         write_table(event_trips(spark, SF001, feed), feed_path(root, feed, P), "parquet")
     write_table(event_trips(spark, SF001, "yellow"), feed_path(root, "yellow", Period("2024", "02")),
                 "parquet")
@@ -50,9 +50,10 @@ def test_require_landed(spark, landing):
 
 def test_load_period_builds_conforms_and_loads(spark, landing, dims):
     wh = shared_path(spark, "test", "warehouse")
-    load_period(spark, P, landing, wh, dims)
-    load_period(spark, P, landing, wh, dims)            # idempotent
-    for feed in ("yellow", "green"):
+    feeds = ("yellow", "green", "highvol")
+    load_period(spark, P, landing, wh, dims, feeds)
+    load_period(spark, P, landing, wh, dims, feeds)     # idempotent
+    for feed in feeds:
         got = read_fact(spark, f"{wh}/fact_{feed}", fact_schema(feed))
         good, _ = conform(to_layout(build_fact(event_trips(spark, SF001, feed), feed, P, dims),
                                     feed), feed)
@@ -90,3 +91,15 @@ def test_streaming_month_load(spark, landing, dims):
     n = build_fact(event_trips(spark, SF001, "yellow"), "yellow", P, dims).count()
     assert per_month == {"01": n, "02": n}
     assert out.filter(F.col("data_year") != "2024").count() == 0
+
+
+def test_highvol_rejects_go_to_their_table(spark, landing):
+    from tripmart.sources.adapters import base_lookup
+    dims = build_dims(spark, base=base_lookup(spark, SF001))
+    wh = shared_path(spark, "test", "warehouse_hv")
+    load_period(spark, P, landing, wh, dims, ("highvol",))
+    good = read_fact(spark, f"{wh}/fact_highvol", fact_schema("highvol"))
+    n = build_fact(event_trips(spark, SF001, "highvol"), "highvol", P, dims).count()
+    assert good.count() == n
+    schema = fact_schema("highvol").add("reject_reason", "string")
+    assert read_fact(spark, f"{wh}/rejects_highvol", schema).count() == 0

@@ -13,12 +13,14 @@ import argparse
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.audit import pk_audit
 from .operators.dims import DATE_END, DATE_START, Dims, build_dims
 from .operators.facts import build_fact
-from .operators.publish import conform, load_month, read_table, to_layout, write_table
+from .operators.publish import (load_month, read_table, split_conformed, tag_conformance,
+                                to_layout, write_table)
 from .period import Period, default_period
 from .schemas import DIM_BASE, DIM_ZONE, DIMS
 from .sources.feeds import read_feed
@@ -70,12 +72,21 @@ def read_lookup(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def load_feed_month(spark: SparkSession, feed: str, period: Period, landing: str,
                     warehouse: str, dims: Dims) -> dict:
-    """Build, conform and load one feed-month; returns row counts."""
+    """Build, conform and load one feed-month (conformed rows to
+    ``fact_<feed>``, rejects to ``rejects_<feed>``).
+
+    The two writes share one read of the raw month: the conformed projection
+    is persisted on executor disks between them (a lost block is recomputed
+    from the raw files)."""
     fact = to_layout(build_fact(read_feed(spark, feed, period, landing), feed, period, dims), feed)
-    good, rejects = conform(fact, feed)
-    base = warehouse.rstrip("/")
-    load_month(good, f"{base}/fact_{feed}", period)
-    load_month(rejects, f"{base}/rejects_{feed}", period)
+    tagged = tag_conformance(fact, feed).persist(StorageLevel.DISK_ONLY)
+    try:
+        good, rejects = split_conformed(tagged, feed)
+        base = warehouse.rstrip("/")
+        load_month(good, f"{base}/fact_{feed}", period)
+        load_month(rejects, f"{base}/rejects_{feed}", period)
+    finally:
+        tagged.unpersist()
     return {"feed": feed, "period": str(period)}
 
 

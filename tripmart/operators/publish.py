@@ -46,7 +46,13 @@ def conform(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     keys -> int) and strings are checked against their varchar width. A row
     whose non-null value does not fit anywhere is a reject: ``rejects`` keeps
     the input row plus ``reject_reason`` (failing columns, comma separated).
-    One pass; the split is two filters over the same projection."""
+    The split is two filters over the same projection (``tag_conformance``)."""
+    return split_conformed(tag_conformance(df, feed), feed)
+
+
+def tag_conformance(df: DataFrame, feed: str) -> DataFrame:
+    """Input columns, their conformed values (``__ok_<c>``) and
+    ``reject_reason`` ('' when the row conforms), in one projection."""
     checks, casts = [], {}
     types = {f.name: f.dataType for f in df.schema.fields}
     for c, t in FACTS[feed]:
@@ -69,9 +75,13 @@ def conform(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
         casts[c] = conv
         checks.append((c, src.isNotNull() & conv.isNull()))
     reason = F.concat_ws(",", *[F.when(bad, F.lit(c)) for c, bad in checks])
-    tagged = df.select(*[F.col(c) for c, _ in FACTS[feed]],
-                       *[v.alias(f"__ok_{c}") for c, v in casts.items()],
-                       reason.alias("reject_reason"))
+    return df.select(*[F.col(c) for c, _ in FACTS[feed]],
+                     *[v.alias(f"__ok_{c}") for c, v in casts.items()],
+                     reason.alias("reject_reason"))
+
+
+def split_conformed(tagged: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
+    """(conformed rows, rejects) of a ``tag_conformance`` projection."""
     good = tagged.filter(F.col("reject_reason") == "").select(
         *[F.col(f"__ok_{c}").alias(c) for c, _ in FACTS[feed]])
     rejects = tagged.filter(F.col("reject_reason") != "").select(
