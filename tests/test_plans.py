@@ -94,3 +94,31 @@ def test_hot_groups_are_pre_aggregated_before_the_shuffle(spark, pub, dims):
     fk = plan_text(audit.fk_audit(f, dims, "yellow"), "simple")
     below = fk[fk.index("Exchange hashpartitioning(fk_column#"):]
     assert "partial_count" in below
+
+
+def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tripmart.plans.tables import write_partitioned
+    # month 01 holds over a third of all rows
+    n = 300_000
+    month = F.when(F.col("id") % 3 == 0, F.lit("01")).otherwise(
+        F.lpad(((F.col("id") % 11) + 2).cast("string"), 2, "0"))
+    df = spark.range(n, numPartitions=8).select(
+        F.lit("2024").alias("data_year"), month.alias("data_month"),
+        (20240101 + F.col("id") % 28).cast("int").alias("pickup_date_id"),
+        (F.col("id") * 7919 % 1000003).alias("payload"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        write_partitioned(df, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in os.listdir(tmp_path / "t" / "data_year=2024" / "data_month=01")
+           if f.endswith(".parquet")]
+    # AQE split the hot month's shuffle partition: several tasks wrote it
+    assert len(hot) > 1
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == n and back.filter("data_month = '01'").count() == n // 3

@@ -121,3 +121,16 @@ def test_published_fact_partition_columns_are_strings(spark, pub):
     assert [f.name for f in pub.fact.schema.fields] == [f.name for f in ORDER_FACT_SCHEMA.fields]
     assert pub.fact.select("data_month").first()[0].__class__ is str
     assert pub.fact.filter("data_month = '01'").count() > 0
+
+
+@pytest.mark.parametrize("role", ["dropoff", "same_day"])
+def test_prefilter_is_exact_for_every_role(spark, pub, role):
+    v = star_view(pub.fact, pub.dims, role, include=("date", "payment"))
+    a = metrics.period_totals(v, "revenue", KPI_YEAR, KPI_MONTH, by="payment_type", role=role,
+                              prefilter=True)
+    b = metrics.period_totals(v, "revenue", KPI_YEAR, KPI_MONTH, by="payment_type", role=role,
+                              prefilter=False).filter("cur_revenue is not null or prev_revenue is not null")
+    key = lambda r: repr(r)
+    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+    rows = metrics.in_period(v, KPI_YEAR, KPI_MONTH, role=role).count()
+    assert rows == v.filter(f"year = {KPI_YEAR} and month = 11").count()
