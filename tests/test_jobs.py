@@ -103,3 +103,24 @@ def test_highvol_rejects_go_to_their_table(spark, landing):
     assert good.count() == n
     schema = fact_schema("highvol").add("reject_reason", "string")
     assert read_fact(spark, f"{wh}/rejects_highvol", schema).count() == 0
+
+
+def test_streaming_keeps_a_month_whole_across_batches(spark, dims):
+    root = shared_path(spark, "test", "landing_parts")
+    table = shared_path(spark, "test", "stream_parts")
+    ckpt = shared_path(spark, "test", "stream_parts_ckpt")
+    raw = event_trips(spark, SF001, "yellow")
+    part_a, part_b = raw.filter("passenger_count is null"), raw.filter("passenger_count is not null")
+    month_dir = feed_path(root, "yellow", Period("2024", "03"))
+    part_a.write.parquet(f"{month_dir}/a")
+    q = start_month_loader(spark, "yellow", root, table, dims, ckpt)
+    q.awaitTermination()
+    part_b.write.parquet(f"{month_dir}/b")            # the rest of March lands later
+    q = start_month_loader(spark, "yellow", root, table, dims, ckpt)
+    q.awaitTermination()
+    assert q.exception() is None
+    schema = build_fact(raw, "yellow", P, dims).schema
+    out = read_fact(spark, table, schema)
+    expect = build_fact(raw, "yellow", Period("2024", "03"), dims)
+    assert out.count() == expect.count()
+    assert out.exceptAll(expect).count() == 0

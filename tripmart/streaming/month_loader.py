@@ -2,17 +2,20 @@
 
 The batch job builds one month per run when the scheduler passes a period.
 Here the landing folder itself drives the loads: a file-source stream picks up
-every newly landed monthly file, each micro-batch builds the fact rows (the
-period tag comes from the file path, not from a parameter) and loads them with
-the same dynamic partition overwrite as the batch path. The checkpoint
-records which files were processed, so a restarted query resumes where it
-stopped, and replaying a micro-batch rewrites the same partitions with the
-same rows (idempotent).
-
-Landing contract (as in the batch job): one file, or one folder of part
-files written at once, per feed and month, at
-``<root>/<yyyy>/<MM>/<prefix>_tripdata_<yyyy>-<MM>``. A month must not be
-split across micro-batches, since each load replaces the whole month.
+newly landed monthly files, and each micro-batch rebuilds every month it
+touches from *all* landed files of that month, then loads it with the same
+dynamic partition overwrite as the batch path. The period tag comes from the
+file path, not from a parameter.
+
+Rebuilding the touched months (rather than loading only the rows of the
+micro-batch) keeps a month whole when its part files land in two
+micro-batches: the second load replaces the month with every part, not with
+the second part alone. The checkpoint records which files were processed, so
+a restarted query resumes where it stopped, and replaying a micro-batch
+rewrites the same partitions with the same rows.
+
+Landing layout (as in the batch job): ``<root>/<yyyy>/<MM>/<prefix>_tripdata_<yyyy>-<MM>``,
+one file or one folder of part files per feed and month.
 """
 
 from __future__ import annotations
@@ -28,26 +31,47 @@ from ..schemas import RAW
 from ..sources.feeds import FEED_FILE_PREFIX
 
 
-def landed_trips(spark: SparkSession, feed: str, landing_root: str) -> DataFrame:
-    """Streaming rows of ``feed`` with ``data_year`` / ``data_month`` taken
-    from each row's file path."""
-    prefix = FEED_FILE_PREFIX[feed]
-    pat = rf"/(\d{{4}})/(\d{{2}})/{prefix}_tripdata_\d{{4}}-\d{{2}}"
-    rows = (spark.readStream.schema(RAW[feed]).option("recursiveFileLookup", True)
-            .parquet(landing_root))
-    path = F.col("_metadata.file_path")
+def _pattern(feed: str) -> str:
+    return rf"/(\d{{4}})/(\d{{2}})/{FEED_FILE_PREFIX[feed]}_tripdata_\d{{4}}-\d{{2}}"
+
+
+def with_file_period(rows: DataFrame, feed: str) -> DataFrame:
+    """Add ``data_year`` / ``data_month`` from each row's file path; rows of
+    files outside the landing layout of ``feed`` are dropped."""
+    path, pat = F.col("_metadata.file_path"), _pattern(feed)
     return (rows.withColumns({"data_year": F.regexp_extract(path, pat, 1),
                               "data_month": F.regexp_extract(path, pat, 2)})
                 .filter(F.col("data_year") != ""))
 
 
+def landed_trips(spark: SparkSession, feed: str, landing_root: str) -> DataFrame:
+    """Streaming rows of ``feed`` with their file period."""
+    rows = (spark.readStream.schema(RAW[feed]).option("recursiveFileLookup", True)
+            .parquet(landing_root))
+    return with_file_period(rows, feed)
+
+
+def landed_months(spark: SparkSession, feed: str, landing_root: str,
+                  months: list[tuple[str, str]]) -> DataFrame:
+    """Batch rows of every landed file of ``feed`` for the given months."""
+    prefix, root = FEED_FILE_PREFIX[feed], landing_root.rstrip("/")
+    paths = [f"{root}/{y}/{m}/{prefix}_tripdata_{y}-{m}*" for y, m in months]
+    rows = spark.read.schema(RAW[feed]).option("recursiveFileLookup", True).parquet(*paths)
+    return with_file_period(rows, feed)
+
+
 def start_month_loader(spark: SparkSession, feed: str, landing_root: str, table_path: str,
                        dims: Dims, checkpoint: str, available_now: bool = True,
                        how: str = "arith") -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what has landed
     and stops (a scheduled run), otherwise it keeps watching the folder."""
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_month(build_fact(batch, feed, None, dims, how), table_path)
+        # The months a micro-batch touches: a handful of (year, month) pairs.
+        months = [(r.data_year, r.data_month)
+                  for r in batch.select("data_year", "data_month").distinct().collect()]
+        if months:
+            rows = landed_months(batch.sparkSession, feed, landing_root, months)
+            load_month(build_fact(rows, feed, None, dims, how), table_path)
 
     w = (landed_trips(spark, feed, landing_root).writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint))
