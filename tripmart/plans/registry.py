@@ -24,10 +24,10 @@ from ..operators.publish import (conform, load_month, read_dim, read_fact, read_
                                  to_layout, write_table)
 from ..operators.star import ALL as STAR_ALL
 from ..operators.star import star_view
+from ..jobs import read_lookup
 from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
-from ..jobs import read_lookup
 from ..sources.adapters import base_lookup, event_trips, landing_manifest, table, zone_lookup
 from ..sources.landing import landing_status
 from ..streaming.month_loader import start_month_loader
@@ -50,7 +50,7 @@ def to_plain(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
         elif isinstance(f.dataType, T.DateType):
-            cols.append(F.date_format(f.name, "yyyy-MM-dd").alias(f.name))
+            cols.append(F.col(f.name).cast("string").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -397,7 +397,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ------------------------------------------------------------ SQL twins
 
 def _sql_yoy(measures: dict, by: str | None = None, role: str = "pickup",
-             labels: bool = False, having: bool = True, prefilter: bool = True) -> str:
+             labels: bool = False, having: bool = True, prefilter: bool = False) -> str:
+    """Plain semantics of the YoY measures over the star. ``prefilter`` adds
+    the key-range WHERE the Spark side uses; the oracle leaves it out so that
+    the Spark prefilter is checked, not copied."""
     y, m = KPI_YEAR, 11
     cur = f"year = {y} AND month = {m}"
     prev = f"year = {y - 1} AND month = {m}"
