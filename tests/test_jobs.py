@@ -124,3 +124,26 @@ def test_streaming_keeps_a_month_whole_across_batches(spark, dims):
     expect = build_fact(raw, "yellow", Period("2024", "03"), dims)
     assert out.count() == expect.count()
     assert out.exceptAll(expect).count() == 0
+
+
+def test_published_dims_read_back(spark, dims):
+    from tripmart.jobs import read_published_dims
+    from tripmart.operators.dims import dims_from_tables
+    root = shared_path(spark, "test", "dims_rt")
+    publish_dims(dims, root)
+    back = read_published_dims(spark, root)
+    assert back.date_contiguous and back.time_complete
+    assert (back.date_start, back.date_end) == (dims.date_start, dims.date_end)
+    raw = event_trips(spark, SF001, "yellow")
+    a = build_fact(raw, "yellow", P, dims)
+    b = build_fact(raw, "yellow", P, back)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # a dimension with a hole (2024-01-15 missing) cannot use the arithmetic path
+    gapped = dict(back.named())
+    gapped["dim_date"] = back.date.filter("full_date <> date'2024-01-15'")
+    g = dims_from_tables(gapped)
+    assert not g.date_contiguous
+    out = build_fact(raw, "yellow", P, g)
+    assert out.filter("pickup_date_id = 20240115 or dropoff_date_id = 20240115").count() == 0
+    assert out.count() == a.filter(
+        "pickup_date_id <> 20240115 and dropoff_date_id <> 20240115").count()

@@ -17,12 +17,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.audit import pk_audit
-from .operators.dims import DATE_END, DATE_START, Dims, build_dims
+from .operators.dims import DATE_END, DATE_START, Dims, build_dims, dims_from_tables
 from .operators.facts import build_fact
 from .operators.publish import (load_month, read_table, split_conformed, tag_conformance,
                                 to_layout, write_table)
 from .period import Period, default_period
 from .schemas import DIM_BASE, DIM_ZONE, DIMS
+from .session import path_exists
 from .sources.feeds import read_feed
 from .sources.landing import REQUIRED_FEEDS, landing_status, manifest_from_paths
 
@@ -65,6 +66,18 @@ def publish_dims(dims: Dims, root: str) -> list:
     return report
 
 
+def read_published_dims(spark: SparkSession, root: str) -> Dims:
+    """The dimensions written by ``publish_dims`` (Parquet, one folder each),
+    read with their declared schemas."""
+    tables = {}
+    for name in DIMS:
+        path = f"{root.rstrip('/')}/{name}"
+        if name in ("dim_zone", "dim_base") and not path_exists(spark, path):
+            continue
+        tables[name] = read_table(spark, path, DIMS[name], "parquet")
+    return dims_from_tables(tables)
+
+
 def read_lookup(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Zone or base lookup from a headered CSV file, typed by position."""
     return read_table(spark, path, {"zone": DIM_ZONE, "base": DIM_BASE}[kind], "csv")
@@ -107,6 +120,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--year")
     m.add_argument("--month")
     m.add_argument("--feeds", default=",".join(REQUIRED_FEEDS))
+    m.add_argument("--dims", help="folder written by the dims command (default: build them)")
     d = sub.add_parser("dims", help="publish the dimensions")
     d.add_argument("--warehouse", required=True)
     d.add_argument("--zone-csv")
@@ -117,7 +131,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = get_session(app=f"tripmart-{a.cmd}")
     if a.cmd == "month":
         period = default_period(a.year, a.month)
-        print(load_period(spark, period, a.landing, a.warehouse, feeds=a.feeds.split(",")))
+        dims = read_published_dims(spark, a.dims) if a.dims else None
+        print(load_period(spark, period, a.landing, a.warehouse, dims, feeds=a.feeds.split(",")))
     else:
         zone = read_lookup(spark, a.zone_csv, "zone") if a.zone_csv else None
         base = read_lookup(spark, a.base_csv, "base") if a.base_csv else None
@@ -128,7 +143,7 @@ def main(argv: Sequence[str] | None = None) -> None:
 
 
 __all__ = ["DIMS", "IncompleteMonth", "KeyViolation", "load_feed_month", "load_period",
-           "publish_dims", "read_lookup", "require_landed"]
+           "publish_dims", "read_lookup", "read_published_dims", "require_landed"]
 
 if __name__ == "__main__":
     main()

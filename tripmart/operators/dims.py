@@ -128,6 +128,10 @@ class Dims:
     date_start: dt.date = DATE_START
     date_end: dt.date = DATE_END
     small: set = field(default_factory=set)
+    # The arithmetic key path is exact only when dim_date has every day of
+    # [date_start, date_end] with keys yyyymmdd, and dim_time every minute.
+    date_contiguous: bool = True
+    time_complete: bool = True
 
     def table(self, name: str) -> DataFrame | None:
         return getattr(self, name.removeprefix("dim_"))
@@ -171,3 +175,34 @@ def build_dims(spark: SparkSession, start: dt.date = DATE_START, end: dt.date =
         if check_lookups and df is not None and has_at_most(df, MAX_BROADCAST_ROWS):
             d.small.add(name)
     return d
+
+
+def dims_from_tables(tables: dict[str, DataFrame]) -> Dims:
+    """Dims over dimension tables read back from storage.
+
+    One small aggregation per role-playing dimension finds the date span and
+    checks that ``dim_date`` holds every day of it exactly once with padded
+    keys, and that ``dim_time`` holds all 1,440 minutes; when a check fails,
+    key lookups use the join form. No broadcast hint is given: these are file
+    scans, so Spark's size-checked automatic broadcast (and AQE) decides."""
+    date, time = tables["dim_date"], tables["dim_time"]
+    r = date.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"),
+                 F.count(F.lit(1)).alias("n"), F.count_distinct("full_date").alias("days"),
+                 F.count_if((F.col("dateid") != date_key("full_date"))
+                            | (F.col("year") != F.year("full_date"))
+                            | (F.col("month") != F.month("full_date"))
+                            | (F.col("day") != F.dayofmonth("full_date"))).alias("bad")).first()
+    contiguous = (r["lo"] is not None and r["bad"] == 0 and r["n"] == r["days"]
+                  == (r["hi"] - r["lo"]).days + 1)
+    t = time.agg(F.count(F.lit(1)).alias("n"),
+                 F.count_distinct("hour", "minute").alias("minutes"),
+                 F.count_if(F.col("time_id") != F.col("hour") * 100 + F.col("minute"))
+                  .alias("bad")).first()
+    complete = t["n"] == t["minutes"] == 24 * 60 and t["bad"] == 0
+    return Dims(date=date, time=time, payment=tables["dim_payment"],
+                ratecode=tables["dim_ratecode"], vendor=tables["dim_vendor"],
+                triptype=tables["dim_triptype"], flags=tables["dim_flags"],
+                license=tables["dim_license"], zone=tables.get("dim_zone"),
+                base=tables.get("dim_base"),
+                date_start=r["lo"] or DATE_START, date_end=r["hi"] or DATE_END,
+                small=set(), date_contiguous=contiguous, time_complete=complete)

@@ -9,7 +9,8 @@ Two equivalent forms:
   (every clock minute exists in ``dim_time``). No join, no broadcast, and the
   range predicate on the raw timestamps reaches the Parquet scan. Valid for a
   date dimension produced by ``build_dim_date``; tests assert both forms give
-  the same rows.
+  the same rows. A dimension read from storage that fails the contiguity
+  check (``dims_from_tables``) always takes the join form.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def _parts(role: str, kind: str) -> list[str]:
 def add_date_keys(df: DataFrame, dims: Dims, how: str = "arith") -> DataFrame:
     """Add ``pickup_date_id`` / ``dropoff_date_id``; trips whose date has no
     dimension row are dropped (inner-join semantics)."""
-    if how == "arith":
+    if how == "arith" and dims.date_contiguous:
         keep = (in_date_range("pickup_datetime", dims.date_start, dims.date_end)
                 & in_date_range("dropoff_datetime", dims.date_start, dims.date_end))
         return df.filter(keep).withColumns({
@@ -48,7 +49,7 @@ def add_date_keys(df: DataFrame, dims: Dims, how: str = "arith") -> DataFrame:
 
 def add_time_keys(df: DataFrame, dims: Dims, how: str = "arith") -> DataFrame:
     """Add ``pickup_time_id`` / ``dropoff_time_id`` (``hhmm``)."""
-    if how == "arith":
+    if how == "arith" and dims.time_complete:
         keep = F.col("pickup_hour").isNotNull() & F.col("dropoff_hour").isNotNull()
         return df.filter(keep).withColumns({
             f"{r}_time_id": (F.col(f"{r}_hour") * 100 + F.col(f"{r}_minute")).cast("int")
