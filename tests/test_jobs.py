@@ -147,3 +147,31 @@ def test_published_dims_read_back(spark, dims):
     assert out.filter("pickup_date_id = 20240115 or dropoff_date_id = 20240115").count() == 0
     assert out.count() == a.filter(
         "pickup_date_id <> 20240115 and dropoff_date_id <> 20240115").count()
+
+
+def test_months_with_drifting_physical_schemas(spark, dims):
+    from pyspark.sql import functions as F
+    root = shared_path(spark, "test", "landing_drift")
+    raw = event_trips(spark, SF001, "yellow")
+    jan, feb = Period("2024", "01"), Period("2024", "02")
+    write_table(raw, feed_path(root, "yellow", jan), "parquet")
+    drifted = (raw.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+                  .withColumn("VendorID", F.col("VendorID").cast("int"))
+                  .withColumnRenamed("airport_fee", "Airport_fee")
+                  .drop("congestion_surcharge"))
+    write_table(drifted, feed_path(root, "yellow", feb), "parquet")
+    both = read_feed(spark, "yellow", [jan, feb], root, tag=True)
+    assert both.count() == 2 * raw.count()
+    f = both.filter("data_month = '02'")
+    assert dict(f.dtypes)["passenger_count"] == "double"
+    assert f.filter("congestion_surcharge is not null").count() == 0
+    assert f.filter("airport_fee is not null").count() == raw.count()
+    table = shared_path(spark, "test", "stream_drift")
+    q = start_month_loader(spark, "yellow", root, table, dims,
+                           shared_path(spark, "test", "stream_drift_ckpt"))
+    q.awaitTermination()
+    assert q.exception() is None
+    out = read_fact(spark, table, build_fact(raw, "yellow", P, dims).schema)
+    assert {r.data_month: r["count"] for r in out.groupBy("data_month").count().collect()} == {
+        "01": build_fact(raw, "yellow", jan, dims).count(),
+        "02": build_fact(raw, "yellow", feb, dims).count()}

@@ -1,15 +1,28 @@
-"""Monthly trip feed sources."""
+"""Monthly trip feed sources.
+
+Monthly files of one feed do not share one physical schema: a column may be
+INT64 in one month and DOUBLE in another, or change case (``airport_fee`` /
+``Airport_fee``). Parquet cannot read INT64 as DOUBLE under a declared
+schema, so by default each month is read with its own footer schema and
+conformed by name to the declared raw schema (``try_cast`` only where the
+physical type differs, missing columns as null); the months are then one
+union. ``infer=False`` reads every month with the declared schema in a
+single scan when the files are known to agree.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..period import Period
 from ..schemas import RAW
 
-# Landing layout: one file per feed and month.
+# Landing layout: one file (or one folder of part files) per feed and month.
 PATH_TEMPLATE = "{root}/{year}/{month}/{feed}_tripdata_{year}-{month}"
 FEED_FILE_PREFIX = {"yellow": "yellow", "green": "green", "highvol": "fhvhv"}
 
@@ -19,11 +32,41 @@ def feed_path(root: str, feed: str, period: Period, template: str = PATH_TEMPLAT
                            feed=FEED_FILE_PREFIX[feed])
 
 
+def conform_raw(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` by case-insensitive name: same type as is,
+    another type through ``try_cast``, a missing column as typed null."""
+    have = {f.name.lower(): f for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        src = have.get(f.name.lower())
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif src.dataType == f.dataType:
+            cols.append(F.col(src.name).alias(f.name))
+        else:
+            cols.append(F.col(src.name).try_cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def read_feed(spark: SparkSession, feed: str, periods: Period | Iterable[Period], root: str,
-              template: str = PATH_TEMPLATE) -> DataFrame:
-    """Raw rows of ``feed`` for one or many months, read with the declared
-    schema (no footer inference). Many months are one scan over many files."""
-    if isinstance(periods, Period):
-        periods = [periods]
-    paths = [feed_path(root, feed, p, template) for p in periods]
-    return spark.read.schema(RAW[feed]).parquet(*paths)
+              template: str = PATH_TEMPLATE, infer: bool = True,
+              tag: bool = False) -> DataFrame:
+    """Raw rows of ``feed`` for one or many months, in the declared raw
+    schema. ``tag`` adds the file period as ``data_year`` / ``data_month``."""
+    periods = [periods] if isinstance(periods, Period) else list(periods)
+
+    def reader():   # a fresh reader per read: .schema() changes a reader in place
+        return spark.read.option("recursiveFileLookup", True)
+
+    if not infer and not tag:   # one scan over every month's files
+        return reader().schema(RAW[feed]).parquet(
+            *[feed_path(root, feed, p, template) for p in periods])
+    frames = []
+    for p in periods:
+        path = feed_path(root, feed, p, template)
+        df = (conform_raw(reader().parquet(path), RAW[feed]) if infer
+              else reader().schema(RAW[feed]).parquet(path))
+        if tag:
+            df = df.withColumns({"data_year": F.lit(p.year), "data_month": F.lit(p.month)})
+        frames.append(df)
+    return reduce(DataFrame.unionByName, frames)

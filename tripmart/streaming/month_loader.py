@@ -1,18 +1,20 @@
 """Incremental month loads with Structured Streaming.
 
 The batch job builds one month per run when the scheduler passes a period.
-Here the landing folder itself drives the loads: a file-source stream picks up
-newly landed monthly files, and each micro-batch rebuilds every month it
-touches from *all* landed files of that month, then loads it with the same
-dynamic partition overwrite as the batch path. The period tag comes from the
-file path, not from a parameter.
-
-Rebuilding the touched months (rather than loading only the rows of the
-micro-batch) keeps a month whole when its part files land in two
-micro-batches: the second load replaces the month with every part, not with
-the second part alone. The checkpoint records which files were processed, so
-a restarted query resumes where it stopped, and replaying a micro-batch
-rewrites the same partitions with the same rows.
+Here the landing folder itself drives the loads. The stream watches file
+*paths* only (the ``binaryFile`` source with just ``path`` selected: file
+contents are never read by the stream, and month-to-month schema drift in the
+trip files cannot break it). Each micro-batch turns its new paths into the
+months they belong to, rebuilds every such month from all of its landed
+files (``read_feed``, which conforms each month's own schema) and loads it
+with the same dynamic partition overwrite as the batch path.
+
+Rebuilding touched months (rather than loading only new rows) keeps a month
+whole when its part files land in two micro-batches: the second load
+replaces the month with every part, not with the second part alone. The
+checkpoint records which files were processed, so a restarted query resumes
+where it stopped, and replaying a micro-batch rewrites the same partitions
+with the same rows.
 
 Landing layout (as in the batch job): ``<root>/<yyyy>/<MM>/<prefix>_tripdata_<yyyy>-<MM>``,
 one file or one folder of part files per feed and month.
@@ -27,37 +29,22 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dims import Dims
 from ..operators.facts import build_fact
 from ..operators.publish import load_month
-from ..schemas import RAW
-from ..sources.feeds import FEED_FILE_PREFIX
-
-
-def _pattern(feed: str) -> str:
-    return rf"/(\d{{4}})/(\d{{2}})/{FEED_FILE_PREFIX[feed]}_tripdata_\d{{4}}-\d{{2}}"
-
-
-def with_file_period(rows: DataFrame, feed: str) -> DataFrame:
-    """Add ``data_year`` / ``data_month`` from each row's file path; rows of
-    files outside the landing layout of ``feed`` are dropped."""
-    path, pat = F.col("_metadata.file_path"), _pattern(feed)
-    return (rows.withColumns({"data_year": F.regexp_extract(path, pat, 1),
-                              "data_month": F.regexp_extract(path, pat, 2)})
-                .filter(F.col("data_year") != ""))
+from ..period import Period
+from ..sources.feeds import FEED_FILE_PREFIX, read_feed
 
 
-def landed_trips(spark: SparkSession, feed: str, landing_root: str) -> DataFrame:
-    """Streaming rows of ``feed`` with their file period."""
-    rows = (spark.readStream.schema(RAW[feed]).option("recursiveFileLookup", True)
-            .parquet(landing_root))
-    return with_file_period(rows, feed)
+# The fixed schema of the binaryFile source (a stream must declare it).
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def landed_months(spark: SparkSession, feed: str, landing_root: str,
-                  months: list[tuple[str, str]]) -> DataFrame:
-    """Batch rows of every landed file of ``feed`` for the given months."""
-    prefix, root = FEED_FILE_PREFIX[feed], landing_root.rstrip("/")
-    paths = [f"{root}/{y}/{m}/{prefix}_tripdata_{y}-{m}*" for y, m in months]
-    rows = spark.read.schema(RAW[feed]).option("recursiveFileLookup", True).parquet(*paths)
-    return with_file_period(rows, feed)
+def landed_paths(spark: SparkSession, feed: str, landing_root: str) -> DataFrame:
+    """Streaming (year, month) of every newly landed file of ``feed``."""
+    pat = rf"/(\d{{4}})/(\d{{2}})/{FEED_FILE_PREFIX[feed]}_tripdata_\d{{4}}-\d{{2}}"
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
+             .option("recursiveFileLookup", True).load(landing_root).select("path"))
+    return (files.select(F.regexp_extract("path", pat, 1).alias("year"),
+                         F.regexp_extract("path", pat, 2).alias("month"))
+                 .filter(F.col("year") != ""))
 
 
 def start_month_loader(spark: SparkSession, feed: str, landing_root: str, table_path: str,
@@ -67,13 +54,12 @@ def start_month_loader(spark: SparkSession, feed: str, landing_root: str, table_
     and stops (a scheduled run), otherwise it keeps watching the folder."""
     def load(batch: DataFrame, batch_id: int) -> None:
         # The months a micro-batch touches: a handful of (year, month) pairs.
-        months = [(r.data_year, r.data_month)
-                  for r in batch.select("data_year", "data_month").distinct().collect()]
+        months = [Period(r.year, r.month) for r in batch.distinct().collect()]
         if months:
-            rows = landed_months(batch.sparkSession, feed, landing_root, months)
+            rows = read_feed(batch.sparkSession, feed, months, landing_root, tag=True)
             load_month(build_fact(rows, feed, None, dims, how), table_path)
 
-    w = (landed_trips(spark, feed, landing_root).writeStream.foreachBatch(load)
+    w = (landed_paths(spark, feed, landing_root).writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
