@@ -178,3 +178,25 @@ def test_arithmetic_keys_ignore_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert len(a) == len(j) == 7899
     assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, j), key=repr)
+
+
+def test_file_period_tag_is_not_the_calendar(spark, dims):
+    # D12: a February trip found in the January file keeps the January tag;
+    # calendar analysis goes through its date key.
+    from tripmart.operators import metrics
+    from tripmart.operators.star import star_view
+    df = _yellow_rows(spark, [("2024-02-03 10:00:00", "2024-02-03 10:20:00", 7.0, 1.0),
+                              ("2023-02-05 10:00:00", "2023-02-05 10:20:00", 5.0, 1.0)])
+    fact = to_layout_yellow(build_fact(df, "yellow", P, dims))
+    row = fact.orderBy("pickup_date_id").collect()[-1]
+    assert (row.data_year, row.data_month, row.pickup_date_id) == ("2024", "01", 20240203)
+    v = star_view(fact, dims, include=("date",))
+    assert metrics.in_period(v, 2024, 2).count() == 1
+    assert metrics.in_period(v, 2024, 1).count() == 0
+    k = metrics.yoy(v, "revenue", 2024, "February").first()
+    assert k.yoy_revenue == pytest.approx(7.0 / 5.0 - 1)
+
+
+def to_layout_yellow(fact):
+    from tripmart.operators.publish import to_layout
+    return to_layout(fact, "yellow")
