@@ -9,8 +9,10 @@
 * ``column_profile`` — per-column null count, min, max and approximate
   distinct count in one aggregation.
 
-Each audit pre-aggregates the fact to (key, count) pairs before any join, so
-a hot key costs one row per task, not a third of the fact in one task.
+No audit shuffles raw fact rows by key: the FK audit and the collision
+audit pre-aggregate the fact to (key, count) pairs before any join (a hot key
+costs one row per task, not a third of the fact in one task), and the key-miss
+audit probes broadcast dimensions and ends in one global aggregation.
 """
 
 from __future__ import annotations
@@ -55,7 +57,8 @@ def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
     """One row per declared FK: ``checked_rows`` (non-null keys),
     ``orphan_rows`` and ``orphan_keys`` (distinct keys with no dimension row).
     The fact is scanned once: its FK columns are unpivoted to (fk_column, key)
-    and reduced to distinct keys with counts before the anti join."""
+    and reduced to distinct keys with counts before they meet the dimension
+    keys."""
     fks = [(c, d) for c, d in FKS[feed] if dims.table(d) is not None]
     spark = fact.sparkSession
     pairs = fact.select(*[F.col(c).cast("string").alias(c) for c, _ in fks]).unpivot(

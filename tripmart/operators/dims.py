@@ -183,8 +183,9 @@ def dims_from_tables(tables: dict[str, DataFrame]) -> Dims:
     One small aggregation per role-playing dimension finds the date span and
     checks that ``dim_date`` holds every day of it exactly once with padded
     keys, and that ``dim_time`` holds all 1,440 minutes; when a check fails,
-    key lookups use the join form. No broadcast hint is given: these are file
-    scans, so Spark's size-checked automatic broadcast (and AQE) decides."""
+    key lookups use the join form. ``dim_date`` and ``dim_time`` are marked
+    broadcastable when those counts are within their bounds; other tables get
+    no hint (Spark's size-checked automatic broadcast and AQE decide)."""
     date, time = tables["dim_date"], tables["dim_time"]
     r = date.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"),
                  F.count(F.lit(1)).alias("n"), F.count_distinct("full_date").alias("days"),
@@ -199,10 +200,13 @@ def dims_from_tables(tables: dict[str, DataFrame]) -> Dims:
                  F.count_if(F.col("time_id") != F.col("hour") * 100 + F.col("minute"))
                   .alias("bad")).first()
     complete = t["n"] == t["minutes"] == 24 * 60 and t["bad"] == 0
+    # The counts just taken are a proven size bound for these two.
+    small = {name for name, ok in (("date", r["n"] <= MAX_DATE_ROWS),
+                                   ("time", t["n"] <= 24 * 60)) if ok}
     return Dims(date=date, time=time, payment=tables["dim_payment"],
                 ratecode=tables["dim_ratecode"], vendor=tables["dim_vendor"],
                 triptype=tables["dim_triptype"], flags=tables["dim_flags"],
                 license=tables["dim_license"], zone=tables.get("dim_zone"),
                 base=tables.get("dim_base"),
                 date_start=r["lo"] or DATE_START, date_end=r["hi"] or DATE_END,
-                small=set(), date_contiguous=contiguous, time_complete=complete)
+                small=small, date_contiguous=contiguous, time_complete=complete)
