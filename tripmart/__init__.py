@@ -1,0 +1,32 @@
+"""tripmart: trip star-schema analytics on Spark DataFrames.
+
+Typical use::
+
+    from tripmart import Period, build_dims, read_feed, build_fact, star_view, yoy
+    dims = build_dims(spark)
+    fact = build_fact(read_feed(spark, "green", Period("2023", "11"), landing), "green",
+                      Period("2023", "11"), dims)
+    yoy(star_view(fact_table, dims, include=("date", "payment")), "revenue", 2023, 11,
+        by="payment_type")
+"""
+
+from .operators.audit import column_profile, fk_audit, key_collisions, key_misses, pk_audit
+from .operators.dims import Dims, build_dim_date, build_dim_time, build_dims, dims_from_tables
+from .operators.facts import build_fact
+from .operators.keys import add_date_keys, add_flag_key, add_keys, add_time_keys
+from .operators.metrics import (in_period, kpi_all, period_totals, share_of_total, star_rollup,
+                                total_by, yoy)
+from .operators.publish import conform, load_month, read_fact, to_layout, write_table
+from .operators.star import star_view
+from .period import Period, default_period
+from .sources.feeds import read_feed
+from .sources.landing import landing_status, manifest_from_paths
+
+__all__ = [
+    "Dims", "Period", "add_date_keys", "add_flag_key", "add_keys", "add_time_keys",
+    "build_dim_date", "build_dim_time", "build_dims", "build_fact", "column_profile",
+    "conform", "default_period", "dims_from_tables", "fk_audit", "in_period", "key_collisions",
+    "key_misses", "kpi_all", "landing_status", "load_month", "manifest_from_paths",
+    "period_totals", "pk_audit", "read_fact", "read_feed", "share_of_total", "star_rollup",
+    "star_view", "to_layout", "total_by", "write_table", "yoy",
+]
