@@ -221,6 +221,11 @@ def q_yoy_revenue_by_payment_same_day(spark, sf):
                        by="payment_type", role="same_day")
 
 
+def q_yoy_revenue_by_payment_dropoff(spark, sf):
+    return metrics.yoy(o_view(spark, sf, "dropoff", ("date", "payment")), "revenue", KPI_YEAR,
+                       KPI_MONTH, by="payment_type", role="dropoff")
+
+
 def q_fare_by_trip_type(spark, sf):
     return to_plain(metrics.total_by(o_view(spark, sf, include=("triptype",)), "fare", "trip_type"))
 
@@ -373,6 +378,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "yoy_revenue_by_payment": q_yoy_revenue_by_payment,
         "yoy_fare_by_payment": q_yoy_fare_by_payment,
         "yoy_revenue_by_payment_same_day": q_yoy_revenue_by_payment_same_day,
+        "yoy_revenue_by_payment_dropoff": q_yoy_revenue_by_payment_dropoff,
         "fare_by_trip_type": q_fare_by_trip_type,
         "fare_trip_type_rollup": q_fare_trip_type_rollup,
         "fare_share_by_trip_type": q_fare_share_by_trip_type,
@@ -616,6 +622,8 @@ def oracle_sql() -> dict[str, str]:
         "yoy_fare_by_payment": _sql_yoy({"fare": m["fare"]}, by="payment_type"),
         "yoy_revenue_by_payment_same_day": _sql_yoy({"revenue": m["revenue"]}, by="payment_type",
                                                     role="same_day"),
+        "yoy_revenue_by_payment_dropoff": _sql_yoy({"revenue": m["revenue"]}, by="payment_type",
+                                                   role="dropoff"),
         "fare_by_trip_type": with_o(
             "SELECT trip_type, CAST(sum(fare_amount) AS DOUBLE) AS total_fare FROM star GROUP BY trip_type"),
         "fare_trip_type_rollup": with_o(
