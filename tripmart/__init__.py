@@ -2,13 +2,14 @@
 
 Typical use::
 
-    from tripmart import (Period, build_dims, build_fact, load_month, read_fact, read_feed,
-                          star_view, to_layout, yoy)
+    from tripmart import (Period, build_dims, build_fact, conform, load_month, read_fact,
+                          read_feed, star_view, to_layout, yoy)
     from tripmart.schemas import fact_schema
     dims, nov = build_dims(spark), Period("2023", "11")
     fact = to_layout(build_fact(read_feed(spark, "green", nov, landing), "green", nov, dims),
                      "green")
-    load_month(fact, f"{warehouse}/fact_green", nov)          # idempotent month load
+    good, rejects = conform(fact, "green")                     # warehouse types
+    load_month(good, f"{warehouse}/fact_green", nov)          # idempotent month load
     green = read_fact(spark, f"{warehouse}/fact_green", fact_schema("green"))
     yoy(star_view(green, dims, include=("date", "payment")), "revenue", 2023, "November",
         by="payment_type")
