@@ -175,3 +175,22 @@ def test_months_with_drifting_physical_schemas(spark, dims):
     assert {r.data_month: r["count"] for r in out.groupBy("data_month").count().collect()} == {
         "01": build_fact(raw, "yellow", jan, dims).count(),
         "02": build_fact(raw, "yellow", feb, dims).count()}
+
+
+def test_documented_example_and_csv_export(spark, landing, dims):
+    from tripmart import (build_fact, conform, export_month_csv, load_month, read_fact,
+                          read_feed, star_view, to_layout, yoy)
+    from tripmart.operators.publish import read_table
+    warehouse = shared_path(spark, "test", "example_wh")
+    fact = to_layout(build_fact(read_feed(spark, "green", P, landing), "green", P, dims), "green")
+    good, rejects = conform(fact, "green")
+    load_month(good, f"{warehouse}/fact_green", P)
+    green = read_fact(spark, f"{warehouse}/fact_green", fact_schema("green"))
+    assert green.count() == good.count() > 0 and rejects.count() == 0
+    out = yoy(star_view(green, dims, include=("date", "payment")), "revenue", 2024, "January",
+              by="payment_type", drop_null=False)
+    assert out.count() == green.select("payment_id").distinct().count()
+    path = export_month_csv(green, warehouse, "green", P)
+    assert path.endswith("/Fact/green/2024/01")
+    back = read_table(spark, path, green.schema, "csv")
+    assert back.exceptAll(green).count() == 0 and green.exceptAll(back).count() == 0

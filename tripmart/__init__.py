@@ -21,7 +21,8 @@ from .operators.facts import build_fact
 from .operators.keys import add_date_keys, add_flag_key, add_keys, add_time_keys
 from .operators.metrics import (in_period, kpi_all, period_totals, share_of_total, star_rollup,
                                 total_by, yoy)
-from .operators.publish import conform, load_month, read_fact, to_layout, write_table
+from .operators.publish import (conform, export_month_csv, load_month, read_fact, to_layout,
+                                write_table)
 from .operators.star import star_view
 from .period import Period, default_period
 from .sources.feeds import read_feed
@@ -30,7 +31,7 @@ from .sources.landing import landing_status, manifest_from_paths
 __all__ = [
     "Dims", "Period", "add_date_keys", "add_flag_key", "add_keys", "add_time_keys",
     "build_dim_date", "build_dim_time", "build_dims", "build_fact", "column_profile",
-    "conform", "default_period", "dims_from_tables", "fk_audit", "in_period", "key_collisions",
+    "conform", "default_period", "export_month_csv", "dims_from_tables", "fk_audit", "in_period", "key_collisions",
     "key_misses", "kpi_all", "landing_status", "load_month", "manifest_from_paths",
     "period_totals", "pk_audit", "read_fact", "read_feed", "share_of_total", "star_rollup",
     "star_view", "to_layout", "total_by", "write_table", "yoy",

@@ -104,6 +104,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
         raise ValueError(f"unsupported format {fmt!r}")
 
 
+def export_month_csv(df: DataFrame, root: str, feed: str, period: Period) -> str:
+    """Export one fact month as headered CSV under
+    ``<root>/Fact/<feed>/<yyyy>/<MM>/`` (overwrite), for loaders that take
+    CSV. Every task writes its own part file: the export is not funnelled
+    through one task; readers take the folder."""
+    path = f"{root.rstrip('/')}/Fact/{feed}/{period.year}/{period.month}"
+    month = df.filter((F.col("data_year") == period.year) & (F.col("data_month") == period.month))
+    write_table(month, path, "csv")
+    return path
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
                fmt: str = "parquet") -> DataFrame:
     """Read with a declared schema. For CSV the header line is skipped and
