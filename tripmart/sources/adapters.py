@@ -121,8 +121,10 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
-                                                   "o_orderpriority")
+    # Both large sides are spread: AQE may broadcast either one at runtime, and
+    # the other then streams the join and every expression after it.
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey",
+                                                          "o_orderdate", "o_orderpriority"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # orders ⋈ customer first: at scale that shuffle is orders-sized; joined
