@@ -134,3 +134,14 @@ def test_prefilter_is_exact_for_every_role(spark, pub, role):
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
     rows = metrics.in_period(v, KPI_YEAR, KPI_MONTH, role=role).count()
     assert rows == v.filter(f"year = {KPI_YEAR} and month = 11").count()
+
+
+def test_two_roles_in_one_view(spark, pub):
+    zone = {a: f"pickup_{a}" for a in ("borough", "zone", "service_zone")}
+    v = star_view(pub.fact, pub.dims, "pickup", include=("zone",), names=zone)
+    v = star_view(v, pub.dims, "dropoff", include=("zone",),
+                  names={a: f"dropoff_{a}" for a in ("borough", "zone", "service_zone")})
+    assert v.count() == pub.fact.count()
+    same = v.filter("pu_location_id = do_location_id")
+    assert same.filter("pickup_zone <> dropoff_zone").count() == 0
+    assert v.filter("pickup_zone is null or dropoff_zone is null").count() == 0

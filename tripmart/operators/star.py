@@ -39,10 +39,15 @@ ROLES = ("pickup", "dropoff", "same_day")
 
 
 def star_view(fact: DataFrame, dims: Dims, role: str = "pickup",
-              include=ALL) -> DataFrame:
-    """Fact columns plus the attributes of every dimension in ``include``."""
+              include=ALL, names: dict | None = None) -> DataFrame:
+    """Fact columns plus the attributes of every dimension in ``include``.
+
+    ``names`` renames dimension attributes (e.g. ``{"zone": "pickup_zone"}``),
+    so that two roles can sit in one view: the fact's key columns stay, and a
+    second ``star_view`` call with the other role adds the other names."""
     if role not in ROLES:
         raise ValueError(f"role must be one of {ROLES}")
+    names = names or {}
     out = fact
     for name in include:
         dim = dims.table(name)
@@ -52,7 +57,7 @@ def star_view(fact: DataFrame, dims: Dims, role: str = "pickup",
         if name in ROLE_PLAYING:
             key, pk, dk, attrs = ROLE_PLAYING[name]
             k = f"__{name}_key"
-            d = dim.select(F.col(key).alias(k), *attrs)
+            d = dim.select(F.col(key).alias(k), *[F.col(a).alias(names.get(a, a)) for a in attrs])
             if role == "same_day":
                 on: Column = (out[pk] == d[k]) & (out[dk] == d[k])
             else:
@@ -61,6 +66,6 @@ def star_view(fact: DataFrame, dims: Dims, role: str = "pickup",
         else:
             key, fk, attrs = SIMPLE[name]
             k = f"__{name}_key"
-            d = dim.select(F.col(key).alias(k), *attrs)
+            d = dim.select(F.col(key).alias(k), *[F.col(a).alias(names.get(a, a)) for a in attrs])
             out = join_dim(out, d, out[fk] == d[k], "left", small).drop(k)
     return out
