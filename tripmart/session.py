@@ -16,11 +16,32 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Sizing for a large cluster (about 100 TB of trips, ~1000 executors). The
+# only big shuffles are shuffle joins of whole tables (the order-trip adapter)
+# and rebalanced writes; AQE starts every shuffle at `initialPartitionNum`
+# (tens of TB over 50,000 reducers is about 1 GB each, spilling if needed;
+# more reducers would grow every map task's shuffle index) and coalesces the
+# many small shuffles (KPI and audit aggregations arrive pre-aggregated) to
+# the advisory size; skewed join partitions above 1 GB are split. Scans split
+# at 256 MiB. Dimensions are bounded, so a 64 MiB broadcast threshold covers
+# them without letting a fact side through.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "50000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def get_session(app: str = "tripmart", master: str | None = None,
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str = "local") -> SparkSession:
     """Build (or return) a session with the settings this library relies on.
 
+    ``profile="cluster"`` adds ``CLUSTER_CONF`` (partition sizing for large
+    inputs); tests and local runs use the defaults plus ``shuffle_partitions``.
+
     ANSI mode stays on (Spark 4 default); every place where the reference
     yields null instead of an error uses an explicit ``try_*`` function.
     """
@@ -36,6 +57,8 @@ def get_session(app: str = "tripmart", master: str | None = None,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
