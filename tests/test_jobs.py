@@ -194,3 +194,17 @@ def test_documented_example_and_csv_export(spark, landing, dims):
     assert path.endswith("/Fact/green/2024/01")
     back = read_table(spark, path, green.schema, "csv")
     assert back.exceptAll(green).count() == 0 and green.exceptAll(back).count() == 0
+
+
+def test_cli_dims_then_month(spark, landing, capsys):
+    from tripmart.jobs import main
+    wh = shared_path(spark, "test", "cli_wh")
+    main(["dims", "--warehouse", wh])
+    main(["month", "--landing", landing, "--warehouse", wh, "--year", "2024", "--month", "1",
+          "--dims", f"{wh}/dims"])
+    printed = capsys.readouterr().out
+    assert "dim_flags" in printed and "'period': '2024-01'" in printed
+    for feed in ("yellow", "green"):
+        n = read_fact(spark, f"{wh}/fact_{feed}", fact_schema(feed)).count()
+        assert n == build_fact(event_trips(spark, SF001, feed), feed, P,
+                               build_dims(spark)).count()
