@@ -247,11 +247,13 @@ def q_month_name(spark, sf):
 
 
 def q_column_profile(spark, sf):
-    return to_plain(audit.column_profile(published_orders(spark, sf).fact, approx=False))
+    """Statistics of every column of the star model (fact and dimension
+    attributes), as the dashboard's extract kept them."""
+    return to_plain(audit.column_profile(o_view(spark, sf), approx=False))
 
 
 def q_column_profile_approx(spark, sf):
-    return to_plain(audit.column_profile(published_orders(spark, sf).fact, approx=True))
+    return to_plain(audit.column_profile(o_view(spark, sf), approx=True))
 
 
 def _order_as_green(spark, sf):
@@ -499,12 +501,16 @@ def _rejects_sql() -> str:
 
 def _profile_sql() -> str:
     aggs = ["CAST(count(*) AS BIGINT) AS n_rows"]
-    for f in ORDER_FACT_SCHEMA.fields:
-        c = f.name
-        conv = (lambda e: f"CAST({e} AS DOUBLE)") if c in O.MONEY else (lambda e: e)
+    for c in STAR_COLS:
+        if c in O.MONEY:
+            conv = "CAST({} AS DOUBLE)".format
+        elif c == "full_date":
+            conv = "CAST({} AS VARCHAR)".format
+        else:
+            conv = "{}".format
         aggs += [f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}__nulls",
                  f"{conv(f'min({c})')} AS {c}__min", f"{conv(f'max({c})')} AS {c}__max"]
-    return with_o(f"SELECT {', '.join(aggs)} FROM order_fact", None)
+    return with_o(f"SELECT {', '.join(aggs)} FROM star")
 
 
 def _misses_sql() -> str:
