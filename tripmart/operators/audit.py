@@ -53,26 +53,44 @@ def _union(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _key_pair(col, as_string: bool):
+    """A key as (ikey bigint, skey string): integer keys stay numbers (no
+    per-row text formatting on the hot path), text keys stay text."""
+    if as_string:
+        return F.struct(F.lit(None).cast("bigint").alias("ikey"),
+                        col.cast("string").alias("skey"))
+    return F.struct(col.try_cast("bigint").alias("ikey"), F.lit(None).cast("string").alias("skey"))
+
+
 def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
     """One row per declared FK: ``checked_rows`` (non-null keys),
     ``orphan_rows`` and ``orphan_keys`` (distinct keys with no dimension row).
     The fact is scanned once: its FK columns are unpivoted to (fk_column, key)
     and reduced to distinct keys with counts before they meet the dimension
-    keys."""
+    keys. Keys keep their kind (integer or text); a dimension key is compared
+    in the kind of the fact column that references it."""
     fks = [(c, d) for c, d in FKS[feed] if dims.table(d) is not None]
     spark = fact.sparkSession
-    pairs = fact.select(*[F.col(c).cast("string").alias(c) for c, _ in fks]).unpivot(
-        [], [c for c, _ in fks], "fk_column", "key")
-    keys = (pairs.filter(F.col("key").isNotNull())
-                 .groupBy("fk_column", "key").agg(F.count(F.lit(1)).alias("n")))
-    dim_keys = _union([dims.table(d).select(F.lit(c).alias("fk_column"),
-                                            F.col(DIM_KEYS[d]).cast("string").alias("key"))
-                       for c, d in fks]).distinct().withColumn("known", F.lit(True))
+    text = {c: isinstance(fact.schema[c].dataType, T.StringType) for c, _ in fks}
+    pairs = (fact.select(*[_key_pair(F.col(c), text[c]).alias(c) for c, _ in fks])
+             .unpivot([], [c for c, _ in fks], "fk_column", "k")
+             .select("fk_column", "k.ikey", "k.skey"))
+    keys = (pairs.filter(F.col("ikey").isNotNull() | F.col("skey").isNotNull())
+                 .groupBy("fk_column", "ikey", "skey").agg(F.count(F.lit(1)).alias("n")))
+    dim_keys = _union([
+        dims.table(d).select(F.lit(c).alias("fk_column"),
+                             _key_pair(F.col(DIM_KEYS[d]), text[c]).alias("k"))
+            .select("fk_column", "k.ikey", "k.skey")
+        for c, d in fks]).distinct().withColumn("known", F.lit(True))
     small = all(d.removeprefix("dim_") in dims.small for _, d in fks)
     # One path from the scan: a left join marks keys the dimension knows, one
     # aggregation counts checked and orphan rows (an anti join next to a
-    # separate count would be planned as a second scan of the fact).
-    marked = keys.join(F.broadcast(dim_keys) if small else dim_keys, ["fk_column", "key"], "left")
+    # separate count would be planned as a second scan of the fact). Null-safe
+    # equality: in each pair one side is always null.
+    on = ((keys.fk_column == dim_keys.fk_column) & keys.ikey.eqNullSafe(dim_keys.ikey)
+          & keys.skey.eqNullSafe(dim_keys.skey))
+    marked = keys.join(F.broadcast(dim_keys) if small else dim_keys, on, "left").select(
+        keys.fk_column, keys.n, dim_keys.known)
     orphan = F.col("known").isNull()
     stats = marked.groupBy("fk_column").agg(
         F.sum("n").alias("checked_rows"),
