@@ -51,8 +51,8 @@ def conform(df: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
 
 
 def tag_conformance(df: DataFrame, feed: str) -> DataFrame:
-    """Input columns, their conformed values (``__ok_<c>``) and
-    ``reject_reason`` ('' when the row conforms), in one projection."""
+    """Input columns, their conformed values (``__ok_<c>``), the ``__reject``
+    flag and ``reject_reason`` (null when the row conforms), in one projection."""
     checks, casts = [], {}
     types = {f.name: f.dataType for f in df.schema.fields}
     for c, t in FACTS[feed]:
@@ -74,17 +74,21 @@ def tag_conformance(df: DataFrame, feed: str) -> DataFrame:
             conv = src.try_cast(t)
         casts[c] = conv
         checks.append((c, src.isNotNull() & conv.isNull()))
-    reason = F.concat_ws(",", *[F.when(bad, F.lit(c)) for c, bad in checks])
+    # One boolean decides the split; the reason text is built for rejects only.
+    reject = F.lit(False)
+    for _, bad in checks:
+        reject = reject | bad
+    reason = F.when(reject, F.concat_ws(",", *[F.when(bad, F.lit(c)) for c, bad in checks]))
     return df.select(*[F.col(c) for c, _ in FACTS[feed]],
                      *[v.alias(f"__ok_{c}") for c, v in casts.items()],
-                     reason.alias("reject_reason"))
+                     reject.alias("__reject"), reason.alias("reject_reason"))
 
 
 def split_conformed(tagged: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """(conformed rows, rejects) of a ``tag_conformance`` projection."""
-    good = tagged.filter(F.col("reject_reason") == "").select(
+    good = tagged.filter(~F.col("__reject")).select(
         *[F.col(f"__ok_{c}").alias(c) for c, _ in FACTS[feed]])
-    rejects = tagged.filter(F.col("reject_reason") != "").select(
+    rejects = tagged.filter(F.col("__reject")).select(
         *[c for c, _ in FACTS[feed]], "reject_reason")
     return good, rejects
 
