@@ -165,3 +165,31 @@ def test_manifest_from_paths(spark, tmp_path):
     got = {r.month: r.result for r in landing_status(man).collect()}
     assert got == {"12": "success", "11": "fail"}
     assert os.path.exists(tmp_path / "2024/11/notes.txt")
+
+
+def test_decimal_fit_rule_equals_try_cast(spark):
+    # The one-comparison overflow test must agree with try_cast exactly,
+    # including doubles next to the rounding boundary of each width.
+    import math
+    import random
+
+    from tripmart.operators.publish import _decimal_fits
+    rng = random.Random(7)
+    values = []
+    for p in (7, 8, 9):
+        edge = 10.0 ** (p - 2) - 0.005
+        x = edge
+        for _ in range(40):                      # walk doubles across the edge
+            values += [x, -x]
+            x = math.nextafter(x, 0.0)
+        x = edge
+        for _ in range(40):
+            x = math.nextafter(x, math.inf)
+            values += [x, -x]
+        values += [round(rng.uniform(-2 * edge, 2 * edge), rng.choice((2, 3, 6)))
+                   for _ in range(500)]
+    values += [0.0, -0.0, 1e308, -1e308, float("inf"), float("-inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for t in (T.DecimalType(7, 2), T.DecimalType(8, 2), T.DecimalType(9, 2)):
+        bad = df.filter(_decimal_fits(F.col("x"), t) != F.col("x").try_cast(t).isNotNull())
+        assert bad.count() == 0, bad.limit(5).collect()
