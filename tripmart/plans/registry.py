@@ -419,7 +419,7 @@ def _sql_yoy(measures: dict, by: str | None = None, role: str = "pickup",
         r = f"({c} - {p}) / NULLIF({p}, 0)"
         sel.append(f"{r} AS yoy_{name}")
         if labels:
-            sel.append(f"printf('%.2f', ({r}) * 100) || '%' AS yoy_{name}_label")
+            sel.append(f"format('{{:,.2f}}', ({r}) * 100) || '%' AS yoy_{name}_label")
         aggs.append(r)
     key = "dropoff_date_id" if role == "dropoff" else "pickup_date_id"
     where = ""
