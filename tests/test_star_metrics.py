@@ -112,8 +112,8 @@ def test_fare_share_and_rollup(spark, pub):
 
 def test_star_rollup_default_aggregations(spark, pub):
     v = star_view(pub.fact, pub.dims)
-    out = metrics.star_rollup(v, "vendor", ["fare_amount", "zone"])
-    assert set(out.columns) == {"vendor", "sum_fare_amount", "count_zone"}
+    out = metrics.star_rollup(v, "vendor", ["fare_amount", "zone", "full_date"])
+    assert set(out.columns) == {"vendor", "sum_fare_amount", "count_zone", "count_full_date"}
     assert out.agg(F.sum("sum_fare_amount")).first()[0] == pub.fact.agg(F.sum("fare_amount")).first()[0]
 
 

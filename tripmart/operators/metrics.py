@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import growth, key_range, pct_label, ratio
 from ..period import month_number
@@ -146,12 +147,13 @@ def share_of_total(view: DataFrame, measure: str, by) -> DataFrame:
 
 
 def star_rollup(view: DataFrame, by, fields: Sequence[str]) -> DataFrame:
-    """Default aggregation per field: SUM for numbers, COUNT for text."""
-    types = dict(view.dtypes)
+    """Default aggregation per field: SUM for numbers, COUNT (non-null
+    values) for everything else (text, dates, flags)."""
+    types = {f.name: f.dataType for f in view.schema.fields}
     aggs = []
     for f in fields:
-        if types[f] == "string":
-            aggs.append(F.count(f).alias(f"count_{f}"))
-        else:
+        if isinstance(types[f], T.NumericType):
             aggs.append(F.sum(f).alias(f"sum_{f}"))
+        else:
+            aggs.append(F.count(f).alias(f"count_{f}"))
     return view.groupBy(*_by(by)).agg(*aggs)
