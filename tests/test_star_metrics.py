@@ -86,6 +86,8 @@ def test_yoy_null_rules(spark):
     assert all_groups.count() == 5
     only_a = metrics.yoy(v, "revenue", 2023, 11, by="payment_type", members=["a", "b"])
     assert [r.payment_type for r in only_a.collect()] == ["a"]
+    with_null = metrics.yoy(v, "revenue", 2023, 11, by="payment_type", members=["a", None])
+    assert sorted(str(r.payment_type) for r in with_null.collect()) == ["None", "a"]
 
 
 def test_labels(spark, pub):

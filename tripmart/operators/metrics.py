@@ -93,8 +93,9 @@ def yoy(view: DataFrame, measures, year, month, by=(), drop_null: bool = True,
 
     * ``drop_null`` keeps only groups with a non-null ratio of the first
       measure (the HAVING of the breakdown charts);
-    * ``members`` restricts the first ``by`` column (``None`` keeps all,
-      null included);
+    * ``members`` restricts the first ``by`` column to the listed values (a
+      ``None`` entry keeps the null group); ``members=None`` keeps all groups,
+      null included;
     * ``labels`` adds ``<name>_label`` text such as ``-1.88%``.
 
     The key-range prefilter is applied when it cannot change the result: with
@@ -102,7 +103,12 @@ def yoy(view: DataFrame, measures, year, month, by=(), drop_null: bool = True,
     """
     ms, by = _measures(measures), _by(by)
     if members is not None and by:
-        view = view.filter(F.col(by[0]).isin(list(members)))
+        # None in ``members`` selects the null group (isin never matches null).
+        named = [m for m in members if m is not None]
+        keep = F.col(by[0]).isin(named) if named else F.lit(False)
+        if any(m is None for m in members):
+            keep = keep | F.col(by[0]).isNull()
+        view = view.filter(keep)
     totals = period_totals(view, ms, year, month, by, role,
                            prefilter=drop_null or not by)
     cols = [F.col(b) for b in by]
