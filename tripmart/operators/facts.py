@@ -27,8 +27,8 @@ WAREHOUSE_NAMES = {
 
 def tag_period(df: DataFrame, period: Period | None) -> DataFrame:
     """``data_year`` / ``data_month`` of the *file* (not of the trip). With
-    ``period=None`` the columns must already be present (streaming loads
-    derive them from the file path)."""
+    ``period=None`` the columns must already be present (the streaming loader
+    reads each month it rebuilds with its tag)."""
     if period is None:
         return df
     return df.withColumns({"data_year": F.lit(period.year), "data_month": F.lit(period.month)})
