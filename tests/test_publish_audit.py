@@ -193,3 +193,15 @@ def test_decimal_fit_rule_equals_try_cast(spark):
     for t in (T.DecimalType(7, 2), T.DecimalType(8, 2), T.DecimalType(9, 2)):
         bad = df.filter(_decimal_fits(F.col("x"), t) != F.col("x").try_cast(t).isNotNull())
         assert bad.count() == 0, bad.limit(5).collect()
+
+
+def test_missing_feeds(spark):
+    from tripmart.sources.landing import missing_feeds
+    man = spark.createDataFrame(
+        [("2024", "12", "yellow", "p1", 1), ("2024", "12", "green", "p2", 1),
+         ("2024", "11", "yellow", "p3", 1), ("2024", "11", "yellow", "p4", 1)],
+        "year string, month string, feed string, path string, bytes long")
+    expected = spark.createDataFrame([("2024", "12"), ("2024", "11"), ("2024", "10")],
+                                     "year string, month string")
+    got = sorted(tuple(r) for r in missing_feeds(man, expected).collect())
+    assert got == [("2024", "10", "green"), ("2024", "10", "yellow"), ("2024", "11", "green")]

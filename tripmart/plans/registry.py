@@ -29,7 +29,7 @@ from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
 from ..sources.adapters import base_lookup, event_trips, landing_manifest, table, zone_lookup
-from ..sources.landing import landing_status
+from ..sources.landing import landing_status, missing_feeds
 from ..streaming.month_loader import start_month_loader
 from . import oracle as O
 from .tables import ORDER_FACT_SCHEMA, published_orders
@@ -286,6 +286,13 @@ def q_landing_completeness(spark, sf):
     return landing_status(manifest, expected=months)
 
 
+def q_landing_missing_feeds(spark, sf):
+    months = table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyy").alias("year"),
+        F.date_format("o_orderdate", "MM").alias("month"))
+    return missing_feeds(landing_manifest(spark, sf), months)
+
+
 def q_default_period(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", *default_period_cols("o_orderdate"))
 
@@ -390,6 +397,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conform_rejects": q_conform_rejects,
         "load_month_idempotent": q_load_month_idempotent,
         "landing_completeness": q_landing_completeness,
+        "landing_missing_feeds": q_landing_missing_feeds,
         "default_period": q_default_period,
         "date_key_collisions": q_date_key_collisions,
         "pk_audit": q_pk_audit,
@@ -646,6 +654,7 @@ def oracle_sql() -> dict[str, str]:
         "conform_rejects": _rejects_sql(),
         "load_month_idempotent": with_o(f"SELECT {_FACT_PLAIN} FROM order_fact", None),
         "landing_completeness": with_o(_landing_sql(), None),
+        "landing_missing_feeds": _missing_sql(),
         "default_period": O.with_(
             "p AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) - INTERVAL 3 MONTH AS d FROM orders)",
             "SELECT o_orderkey, strftime(d, '%Y') AS period_year, strftime(d, '%m') AS period_month FROM p"),
@@ -676,3 +685,15 @@ def _landing_sql() -> str:
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey) m
     WHERE NOT (feed = 'green' AND CAST(month AS INTEGER) % 5 = 0)
     GROUP BY year, month) l ON e.year = l.year AND e.month = l.month"""
+
+
+def _missing_sql() -> str:
+    return """WITH months AS (SELECT DISTINCT strftime(o_orderdate, '%Y') AS year,
+        strftime(o_orderdate, '%m') AS month FROM orders),
+  wanted AS (SELECT year, month, unnest(['yellow', 'green']) AS feed FROM months),
+  landed AS (SELECT DISTINCT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month,
+        CASE WHEN l_linestatus = 'F' THEN 'yellow' ELSE 'green' END AS feed
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT w.year, w.month, w.feed FROM wanted w
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.year = w.year AND l.month = w.month
+                  AND l.feed = w.feed AND NOT (l.feed = 'green' AND CAST(l.month AS INTEGER) % 5 = 0))"""

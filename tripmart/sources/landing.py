@@ -51,3 +51,14 @@ def landing_status(manifest: DataFrame, expected: DataFrame | None = None,
     n = F.coalesce(F.col("feeds_landed"), F.lit(0)).cast("int")
     return landed.select("year", "month", n.alias("feeds_landed"),
                          F.when(n == len(set(feeds)), "success").otherwise("fail").alias("result"))
+
+
+def missing_feeds(manifest: DataFrame, expected: DataFrame,
+                  feeds: Sequence[str] = REQUIRED_FEEDS) -> DataFrame:
+    """(year, month, feed) for every required feed of an expected month with
+    no landed file: what to fetch again. Months are expanded by feed with
+    ``explode`` (no cross join), then anti-joined with the manifest."""
+    wanted = (expected.select("year", "month").distinct()
+              .withColumn("feed", F.explode(F.array(*[F.lit(f) for f in feeds]))))
+    landed = manifest.select("year", "month", "feed").distinct()
+    return wanted.join(landed, ["year", "month", "feed"], "left_anti")
