@@ -205,3 +205,14 @@ def test_missing_feeds(spark):
                                      "year string, month string")
     got = sorted(tuple(r) for r in missing_feeds(man, expected).collect())
     assert got == [("2024", "10", "green"), ("2024", "10", "yellow"), ("2024", "11", "green")]
+
+
+def test_export_month_csv_takes_only_its_month(spark):
+    from tripmart.operators.publish import export_month_csv
+    f = published_orders(spark, SF01).fact
+    root = shared_path(spark, "test", "export")
+    path = export_month_csv(f, root, "green", Period("1997", "11"))
+    back = read_table(spark, path, ORDER_FACT_SCHEMA, "csv")
+    assert path.endswith("/Fact/green/1997/11")
+    assert back.count() == f.filter("data_year = '1997' and data_month = '11'").count() > 0
+    assert back.filter("data_month <> '11'").count() == 0
