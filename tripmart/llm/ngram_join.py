@@ -14,7 +14,8 @@ three times:
    node keeps the largest and smallest count per coordinate); a query skips a
    node when the summed minima against its upper corner miss the overlap that
    its smallest size would need.
-3. *Verification.* Surviving pairs compare their whole shingle sets.
+3. *Verification.* Surviving pairs compare their whole shingle sets. Members
+   of a cell that are found linked are not compared again.
 
 Components need no list of all pairs. Documents with equal sets are one class
 from the start. First every cell links its members to its smallest document
@@ -41,7 +42,8 @@ from .components import components
 
 RATIO = 1.6           # size classes grow by this factor
 SLACK = 0.12          # more cells than needed, so that poor cells can be skipped
-CELL_ROWS = 20_000    # a larger cell is dealt out in blocks
+CELL_ROWS = 4_000     # a cell of more rows, or of more shingles, is dealt out in blocks
+CELL_SHINGLES = 2_000_000
 GROUPS = 512          # coordinates of a point
 LEAF = 16             # points of an R-tree leaf
 
@@ -205,24 +207,45 @@ def _bounded(num: int, den: int):
     return run
 
 
-def _tree_pairs(num: int, den: int):
-    """Over rows ``(key, lo, hi, block, doc, label, n, counts)`` sorted by cell:
-    pairs of different labels that pass the bound."""
-    def of(cell: pa.Table):
-        doc, label, n, block = (cell[c].to_numpy() for c in ("doc", "label", "n", "block"))
-        a, b = [], []
-        if len(set(label.tolist())) < 2:
-            return a, b
-        points = np.stack([np.frombuffer(x, np.uint16) for x in cell["counts"].to_pylist()])
-        tree, apart = RTree(points, n), cell["lo"][0].as_py() != cell["hi"][0].as_py()
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    return int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
+
+
+def _tree_links(num: int, den: int):
+    """Over rows ``(key, lo, hi, block, doc, label, shingles)`` sorted by cell:
+    links between different labels, as many as join all labels that have one."""
+    def of(cell: pa.Table) -> list[tuple[int, int]]:
+        doc, label, block = (cell[c].to_numpy() for c in ("doc", "label", "block"))
+        root = {x: x for x in label.tolist()}
+        if len(root) < 2:
+            return []
+
+        def find(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        col = cell["shingles"].combine_chunks()
+        flat, at = col.flatten().to_numpy(zero_copy_only=False).view(U), col.offsets.to_numpy()
+        at = at - at[0]
+        n = np.diff(at)
+        points = _points(flat, at)
+        tree, apart, out = RTree(points, n), cell["lo"][0].as_py() != cell["hi"][0].as_py(), []
         for i in range(len(doc)):
             j = tree.search(points[i], int(n[i]), num, den)
             j = j[(doc[j] > doc[i]) & (label[j] != label[i])]
-            if apart:
-                j = j[block[j] != block[i]]
-            a.append(np.full(len(j), doc[i]))
-            b.append(doc[j])
-        return a, b
+            for k in j[block[j] != block[i]] if apart else j:
+                x, y = find(int(label[i])), find(int(label[k]))
+                if x != y:
+                    both = _overlap(flat[at[i]:at[i + 1]], flat[at[k]:at[k + 1]])
+                    if both * den >= (n[i] + n[k] - both) * num:
+                        root[x] = y
+                        out.append((int(doc[i]), int(doc[k])))
+        return out
 
     def run(batches):
         held = None
@@ -237,15 +260,10 @@ def _tree_pairs(num: int, den: int):
             new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in ids])
             at = np.append(np.flatnonzero(new), table.num_rows)
             last = len(at) - 1 if batch is None else len(at) - 2
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for i in range(last):
-                x, y = of(table.slice(at[i], at[i + 1] - at[i]))
-                a += x
-                b += y
+            out = [x for i in range(last) for x in of(table.slice(at[i], at[i + 1] - at[i]))]
             held = None if batch is None else table.slice(at[last])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())],
-                ["a", "b"])
+                [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
 
@@ -254,19 +272,26 @@ def _and_end(batches):
     yield None
 
 
+def _points(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Group counts of shingle sets, as 16-bit numbers. A set too large for them
+    (a count of 65,535 or more) gets a point that overlaps with anything."""
+    n = len(at) - 1
+    slot = np.repeat(np.arange(n), np.diff(at)) * GROUPS + (flat % U(GROUPS)).astype(np.int64)
+    out = np.bincount(slot, minlength=n * GROUPS).reshape(n, GROUPS)
+    out[out.max(1, initial=0) >= 65535] = 65535
+    return out.astype(np.uint16)
+
+
 def _counts(batches):
-    """Count vectors of shingle sets, as 16-bit numbers. Documents too long for
-    them (a count of 65,535 or more) get a point that overlaps with anything."""
     for batch in batches:
-        col = batch.column(1)
-        flat = col.flatten().to_numpy(zero_copy_only=False).view(U)
-        at = np.append(0, np.cumsum(col.value_lengths().fill_null(0).to_numpy()))
-        out = []
-        for i, j in zip(at[:-1], at[1:]):
-            c = np.bincount((flat[i:j] % U(GROUPS)).astype(np.int64), minlength=GROUPS)
-            out.append((c if c.max() < 65535 else np.full(GROUPS, 65535)).astype(np.uint16).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at[1:] - at[:-1], pa.int64()),
-                                          pa.array(out, pa.binary())], ["doc", "n", "counts"])
+        for i in range(0, batch.num_rows, 1000):
+            part = batch.slice(i, 1000)
+            col = part.column(1)
+            flat = col.flatten().to_numpy(zero_copy_only=False).view(U)
+            at = np.append(0, np.cumsum(col.value_lengths().to_numpy()))
+            out = [x.tobytes() for x in _points(flat, at)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at), pa.int64()),
+                                              pa.array(out, pa.binary())], ["doc", "n", "counts"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -316,37 +341,37 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     inside = saved(star.select(F.col("a").alias("doc_id")).union(star.select("b")).distinct(), "inside")
     ids = F.col(id_col).cast("long")
     sets = saved(shingle_sets(docs.select(ids.alias("doc_id"), F.col(text_col).alias("text"))
-                              .join(inside, "doc_id", "left_semi"), "doc_id", "text", k), "sets")
+                              .join(inside.hint("merge"), "doc_id", "left_semi"), "doc_id", "text", k), "sets")
     links = _verified(star, sets, num, den).union(member.select("rep", "doc_id"))
     label = components(links)
 
     # Round 2: cells whose members are in different components so far.
     named = (cells.select("key", "doc").distinct()
              .join(label.select(F.col("node").alias("doc"), "label"), "doc", "left")
-             .select("key", "doc", F.coalesce("label", "doc").alias("label")))
+             .join(sets.select(F.col("doc_id").alias("doc"), F.size("shingles").alias("n")), "doc")
+             .select("key", "doc", F.coalesce("label", "doc").alias("label"), "n"))
     named = saved(named, "named")
+    blocks = F.ceil(F.greatest(F.count("*") / CELL_ROWS, F.sum("n") / CELL_SHINGLES)).cast("long")
     open_ = saved(named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                           F.count("*").alias("rows"))
-                  .where("x <> y").select("key", "rows"), "open")
+                                           F.count("*").alias("rows"), blocks.alias("s"))
+                  .where("x <> y").select("key", "rows", "s"), "open")
     points = saved(sets.mapInArrow(_counts, "doc long, n long, counts binary"), "points")
     met = (named.join(open_.where(f"rows <= {LEAF}"), "key").select("key", "doc", "label")
            .repartition("key").sortWithinPartitions("key", "doc")
            .mapInArrow(_leaf_pairs, "a long, b long").distinct())
     end = lambda c: points.toDF(c, f"n_{c}", f"counts_{c}")
-    near = (met.join(star, ["a", "b"], "left_anti").join(end("a"), "a").join(end("b"), "b")
-            .mapInArrow(_bounded(num, den), "a long, b long"))
-    s = F.ceil(F.col("rows") / CELL_ROWS).cast("long")
+    pairs = saved(met.join(star, ["a", "b"], "left_anti").join(end("a"), "a").join(end("b"), "b")
+                  .mapInArrow(_bounded(num, den), "a long, b long"), "pairs")
     dealt = (named.join(open_.where(f"rows > {LEAF}"), "key")
-             .withColumn("block", F.pmod(F.xxhash64("doc"), s))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), s - 1)))
+             .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
              .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                      "block", "doc", "label"))
-    far = (dealt.join(points, "doc").select("key", "lo", "hi", "block", "doc", "label", "n", "counts")
-           .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-           .mapInArrow(_tree_pairs(num, den), "a long, b long").distinct()
-           .join(star, ["a", "b"], "left_anti"))
-    pairs = saved(near.union(far).distinct(), "pairs")
-    more = _verified(pairs, sets, num, den)
+    far = saved(dealt.join(sets.withColumnRenamed("doc_id", "doc"), "doc")
+                .select("key", "lo", "hi", "block", "doc", "label", "shingles")
+                .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                .mapInArrow(_tree_links(num, den), "a long, b long").distinct(), "far")
+    more = _verified(pairs, sets, num, den).union(far)
     name = label.select(F.col("node").alias("doc"), "label")
     up = lambda c: F.coalesce(F.col(f"{c}_label"), F.col(c)).alias(c)
     more = (more.join(name.select(F.col("doc").alias("a"), F.col("label").alias("a_label")), "a", "left")
