@@ -18,10 +18,11 @@ three times:
    of a cell that are found linked are not compared again.
 
 Components need no list of all pairs. Documents with equal sets are one class
-from the start. First every cell links its members to its smallest document
-only; pairs are verified and joined to components. Then cells whose members
-are still in different components run their R-trees, across components alone.
-A pair of linked documents is thus either verified or already connected.
+from the start. A cell of at most ``LEAF`` members is a single leaf: its pairs
+that pass the bound are verified. In a larger cell each member is first verified
+against the smallest document alone; cells whose members are then still in
+different components run their R-trees, across components only. A pair of linked
+documents is thus either verified or already connected.
 
 Cells agreeing on few shingles say little, so cells with fewer than two
 shingles are skipped whenever enough others remain (``_cell_keys``); no
@@ -44,7 +45,7 @@ RATIO = 1.6           # size classes grow by this factor
 SLACK = 0.12          # more cells than needed, so that poor cells can be skipped
 CELL_ROWS = 4_000     # a cell of more rows, or of more shingles, is dealt out in blocks
 CELL_SHINGLES = 2_000_000
-GROUPS = 512          # coordinates of a point
+GROUPS = 512          # coordinates of a point in an R-tree
 LEAF = 16             # points of an R-tree leaf
 
 
@@ -94,6 +95,15 @@ def _cell_keys(s: np.ndarray, num: int, den: int, edges: dict) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _coarse(s: np.ndarray) -> bytes:
+    """The set's point for comparing two documents: one-byte counts of about a
+    quarter as many groups as shingles, a power of two. Empty if a count is too
+    large, which stands for a point that overlaps with anything."""
+    groups = 1 << max(5, (len(s) // 3).bit_length() - 1)
+    c = np.bincount((s % U(groups)).astype(np.int64), minlength=groups)
+    return c.astype(np.uint8).tobytes() if c.max() < 256 else b""
+
+
 def _sets(batch: pa.RecordBatch, text_col: int, k: int) -> Iterator[np.ndarray]:
     for t in texts(batch.column(text_col), lower=True):
         h, doc = shingle_hashes(t, k)
@@ -116,24 +126,26 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
-    """``(doc_id, n, d1, d2, cells)``: set size, 128-bit digest of the set, cells."""
+    """``(doc_id, n, d1, d2, cells, counts)``: set size, 128-bit digest of the
+    set, its cells and its coarse point."""
     def run(batches):
         edges: dict = {}
         for batch in batches:
-            n, d1, d2, cells = [], [], [], []
+            n, d1, d2, cells, counts = [], [], [], [], []
             for s in _sets(batch, 1, k):
                 n.append(len(s))
                 d1.append(int(s.sum(dtype=U)))
                 d2.append(int(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U)))
                 cells.append(_cell_keys(s, num, den, edges) if len(s) else s)
+                counts.append(_coarse(s))
             at = np.cumsum([0] + [len(c) for c in cells])
             flat = np.concatenate(cells) if cells else np.empty(0, U)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), signed(np.array(d1, U)),
-                 signed(np.array(d2, U)), lists(flat.view(np.int64), at)],
-                ["doc_id", "n", "d1", "d2", "cells"])
+                 signed(np.array(d2, U)), lists(flat.view(np.int64), at), pa.array(counts, pa.binary())],
+                ["doc_id", "n", "d1", "d2", "cells", "counts"])
     return (docs.select(F.col(id_col).cast("long"), text_col)
-            .mapInArrow(run, "doc_id long, n long, d1 long, d2 long, cells array<long>"))
+            .mapInArrow(run, "doc_id long, n long, d1 long, d2 long, cells array<long>, counts binary"))
 
 
 class RTree:
@@ -175,35 +187,43 @@ def _reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _leaf_pairs(batches):
-    """Pairs of different labels from cells of ``LEAF`` members at most, which
-    are one leaf each; rows ``(key, doc, label)`` come sorted by cell."""
-    held = [np.empty(0, np.int64)] * 3
+    """Pairs of documents in cells of ``LEAF`` members at most; rows ``(key,
+    doc)`` come sorted by cell."""
+    held = [np.empty(0, np.int64)] * 2
     for batch in batches:
         old = len(held[0])
-        key, doc, label = (np.append(h, c.to_numpy()) for h, c in zip(held, batch.columns))
+        key, doc = (np.append(h, c.to_numpy()) for h, c in zip(held, batch.columns))
         a, b = [], []
         for d in range(1, LEAF):
-            ok = (key[d:] == key[:-d]) & (label[d:] != label[:-d])
+            ok = (key[d:] == key[:-d]) & (doc[d:] != doc[:-d])
             ok[:max(0, old - d)] = False
             at = np.flatnonzero(ok)
             a.append(doc[at])
             b.append(doc[at + d])
-        held = [x[-LEAF:] for x in (key, doc, label)]
+        held = [x[-LEAF:] for x in (key, doc)]
         both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
 def _bounded(num: int, den: int):
     """The pairs whose points can overlap enough."""
+    def reach(x: bytes, y: bytes, n: int) -> int:
+        if not x or not y:
+            return n
+        x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+        if len(x) > len(y):
+            x, y = y, x
+        if len(x) < len(y):  # groups of the longer one that fall into one of the shorter
+            y = y.reshape(-1, len(x)).sum(0, dtype=np.int64)
+        return int(np.minimum(x, y).sum(dtype=np.int64))
+
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                n, m = (part.column(c).to_numpy() for c in ("n_a", "n_b"))
-                x, y = (np.stack([np.frombuffer(v, np.uint16) for v in part.column(c).to_pylist()])
-                        for c in ("counts_a", "counts_b"))
-                ok = _reach(x, y) * (den + num) >= num * (n + m)
-                yield part.select(["a", "b"]).filter(pa.array(ok))
+            n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            x, y = (batch.column(c).to_pylist() for c in ("counts_a", "counts_b"))
+            most = np.array([reach(*v) for v in zip(x, y, (n + m).tolist())], np.int64)
+            ok = (most * (den + num) >= num * (n + m)) & (n * den >= m * num) & (m * den >= n * num)
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return run
 
 
@@ -282,18 +302,6 @@ def _points(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out.astype(np.uint16)
 
 
-def _counts(batches):
-    for batch in batches:
-        for i in range(0, batch.num_rows, 1000):
-            part = batch.slice(i, 1000)
-            col = part.column(1)
-            flat = col.flatten().to_numpy(zero_copy_only=False).view(U)
-            at = np.append(0, np.cumsum(col.value_lengths().to_numpy()))
-            out = [x.tobytes() for x in _points(flat, at)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at), pa.int64()),
-                                              pa.array(out, pa.binary())], ["doc", "n", "counts"])
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs ``(a, b)`` whose whole sets reach the similarity."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
@@ -335,43 +343,42 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         member.select("doc_id", *digest), ["doc_id", *digest], "left_anti")
     cells = saved(shared_keys(reps.select("doc_id", "cells")), "cells")
 
-    # Round 1: every member against the smallest document of its cell.
-    star = saved(cells.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
-                 .distinct(), "star")
-    inside = saved(star.select(F.col("a").alias("doc_id")).union(star.select("b")).distinct(), "inside")
-    ids = F.col(id_col).cast("long")
-    sets = saved(shingle_sets(docs.select(ids.alias("doc_id"), F.col(text_col).alias("text"))
+    # Small cells: all pairs. Large ones: every member against the smallest.
+    large = saved(cells.groupBy("key").agg(F.count("*").alias("rows")).where(f"rows > {LEAF}").select("key"),
+                  "large")
+    star = cells.join(large, "key", "left_semi").where("doc <> pivot").select(
+        F.col("pivot").alias("a"), F.col("doc").alias("b"))
+    met = (cells.join(large, "key", "left_anti").select("key", "doc")
+           .repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_leaf_pairs, "a long, b long"))
+    points = prof.where("n > 0 and doc_id is not null").select("doc_id", "n", "counts")
+    end = lambda c: points.toDF(c, f"n_{c}", f"counts_{c}")
+    pairs = saved(star.union(met).distinct().join(end("a"), "a").join(end("b"), "b")
+                  .mapInArrow(_bounded(num, den), "a long, b long").distinct(), "pairs")
+    wide = saved(cells.join(large, "key", "left_semi").select("key", "doc").distinct(), "wide")
+    inside = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(wide.select("doc"))
+                   .distinct(), "inside")
+    sets = saved(shingle_sets(docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                                          F.col(text_col).alias("text"))
                               .join(inside.hint("merge"), "doc_id", "left_semi"), "doc_id", "text", k), "sets")
-    links = _verified(star, sets, num, den).union(member.select("rep", "doc_id"))
+    links = _verified(pairs, sets, num, den).union(member.select("rep", "doc_id"))
     label = components(links)
 
-    # Round 2: cells whose members are in different components so far.
-    named = (cells.select("key", "doc").distinct()
-             .join(label.select(F.col("node").alias("doc"), "label"), "doc", "left")
-             .join(sets.select(F.col("doc_id").alias("doc"), F.size("shingles").alias("n")), "doc")
-             .select("key", "doc", F.coalesce("label", "doc").alias("label"), "n"))
-    named = saved(named, "named")
+    # Large cells whose members are in different components so far.
+    named = saved(wide.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left")
+                  .join(sets.select(F.col("doc_id").alias("doc"), F.size("shingles").alias("n")), "doc")
+                  .select("key", "doc", F.coalesce("label", "doc").alias("label"), "n"), "named")
     blocks = F.ceil(F.greatest(F.count("*") / CELL_ROWS, F.sum("n") / CELL_SHINGLES)).cast("long")
     open_ = saved(named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                           F.count("*").alias("rows"), blocks.alias("s"))
-                  .where("x <> y").select("key", "rows", "s"), "open")
-    points = saved(sets.mapInArrow(_counts, "doc long, n long, counts binary"), "points")
-    met = (named.join(open_.where(f"rows <= {LEAF}"), "key").select("key", "doc", "label")
-           .repartition("key").sortWithinPartitions("key", "doc")
-           .mapInArrow(_leaf_pairs, "a long, b long").distinct())
-    end = lambda c: points.toDF(c, f"n_{c}", f"counts_{c}")
-    pairs = saved(met.join(star, ["a", "b"], "left_anti").join(end("a"), "a").join(end("b"), "b")
-                  .mapInArrow(_bounded(num, den), "a long, b long"), "pairs")
-    dealt = (named.join(open_.where(f"rows > {LEAF}"), "key")
+                                           blocks.alias("s")).where("x <> y").select("key", "s"), "open")
+    dealt = (named.join(open_, "key")
              .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
              .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                      "block", "doc", "label"))
-    far = saved(dealt.join(sets.withColumnRenamed("doc_id", "doc"), "doc")
-                .select("key", "lo", "hi", "block", "doc", "label", "shingles")
-                .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-                .mapInArrow(_tree_links(num, den), "a long, b long").distinct(), "far")
-    more = _verified(pairs, sets, num, den).union(far)
+    more = saved(dealt.join(sets.withColumnRenamed("doc_id", "doc"), "doc")
+                 .select("key", "lo", "hi", "block", "doc", "label", "shingles")
+                 .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                 .mapInArrow(_tree_links(num, den), "a long, b long").distinct(), "more")
     name = label.select(F.col("node").alias("doc"), "label")
     up = lambda c: F.coalesce(F.col(f"{c}_label"), F.col(c)).alias(c)
     more = (more.join(name.select(F.col("doc").alias("a"), F.col("label").alias("a_label")), "a", "left")
