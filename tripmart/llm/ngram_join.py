@@ -14,8 +14,7 @@ three times:
    node keeps the largest and smallest count per coordinate); a query skips a
    node when the summed minima against its upper corner miss the overlap that
    its smallest size would need.
-3. *Verification.* Surviving pairs compare their whole shingle sets. Members
-   of a cell that are found linked are not compared again.
+3. *Verification.* Surviving pairs compare their whole shingle sets.
 
 Components need no list of all pairs. Documents with equal sets are one class
 from the start. A cell of at most ``LEAF`` members is a single leaf: its pairs
@@ -43,9 +42,7 @@ from .components import components
 
 RATIO = 1.6           # size classes grow by this factor
 SLACK = 0.12          # more cells than needed, so that poor cells can be skipped
-CELL_ROWS = 4_000     # a cell of more rows, or of more shingles, is dealt out in blocks
-CELL_SHINGLES = 2_000_000
-GROUPS = 512          # coordinates of a point in an R-tree
+CELL_ROWS = 4_000     # a cell of more rows is dealt out in blocks
 LEAF = 16             # points of an R-tree leaf
 
 
@@ -227,44 +224,34 @@ def _bounded(num: int, den: int):
     return run
 
 
-def _overlap(x: np.ndarray, y: np.ndarray) -> int:
-    """Common values of two sorted sets."""
-    if len(x) > len(y):
-        x, y = y, x
-    at = np.searchsorted(y, x)
-    return int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
+def _points(counts: list[bytes]) -> np.ndarray:
+    """Coarse points as rows of one width, that of the shortest."""
+    width = min((len(c) for c in counts if c), default=32)
+    out = np.full((len(counts), width), 65535, np.uint16)
+    for i, c in enumerate(counts):
+        if c:
+            out[i] = np.frombuffer(c, np.uint8).reshape(-1, width).sum(0, dtype=np.uint16)
+    return out
 
 
-def _tree_links(num: int, den: int):
-    """Over rows ``(key, lo, hi, block, doc, label, shingles)`` sorted by cell:
-    links between different labels, as many as join all labels that have one."""
+def _tree_pairs(num: int, den: int):
+    """Over rows ``(key, lo, hi, block, doc, label, n, counts, keys)`` sorted by
+    cell: pairs of different labels that pass the bound. A pair that shares
+    several cells (``keys``, sorted) comes from the first one only."""
     def of(cell: pa.Table) -> list[tuple[int, int]]:
-        doc, label, block = (cell[c].to_numpy() for c in ("doc", "label", "block"))
-        root = {x: x for x in label.tolist()}
-        if len(root) < 2:
+        doc, label, block, n = (cell[c].to_numpy() for c in ("doc", "label", "block", "n"))
+        if (label == label[0]).all():
             return []
-
-        def find(x):
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        col = cell["shingles"].combine_chunks()
-        flat, at = col.flatten().to_numpy(zero_copy_only=False).view(U), col.offsets.to_numpy()
-        at = at - at[0]
-        n = np.diff(at)
-        points = _points(flat, at)
+        points, keys = _points(cell["counts"].to_pylist()), cell["keys"].combine_chunks()
+        own = [frozenset(x) for x in keys.to_pylist()]
+        here = cell["key"][0].as_py()
         tree, apart, out = RTree(points, n), cell["lo"][0].as_py() != cell["hi"][0].as_py(), []
         for i in range(len(doc)):
             j = tree.search(points[i], int(n[i]), num, den)
             j = j[(doc[j] > doc[i]) & (label[j] != label[i])]
             for k in j[block[j] != block[i]] if apart else j:
-                x, y = find(int(label[i])), find(int(label[k]))
-                if x != y:
-                    both = _overlap(flat[at[i]:at[i + 1]], flat[at[k]:at[k + 1]])
-                    if both * den >= (n[i] + n[k] - both) * num:
-                        root[x] = y
-                        out.append((int(doc[i]), int(doc[k])))
+                if min(own[i] & own[k]) == here:
+                    out.append((int(doc[i]), int(doc[k])))
         return out
 
     def run(batches):
@@ -292,16 +279,6 @@ def _and_end(batches):
     yield None
 
 
-def _points(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Group counts of shingle sets, as 16-bit numbers. A set too large for them
-    (a count of 65,535 or more) gets a point that overlaps with anything."""
-    n = len(at) - 1
-    slot = np.repeat(np.arange(n), np.diff(at)) * GROUPS + (flat % U(GROUPS)).astype(np.int64)
-    out = np.bincount(slot, minlength=n * GROUPS).reshape(n, GROUPS)
-    out[out.max(1, initial=0) >= 65535] = 65535
-    return out.astype(np.uint16)
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs ``(a, b)`` whose whole sets reach the similarity."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
@@ -355,30 +332,37 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = saved(star.union(met).distinct().join(end("a"), "a").join(end("b"), "b")
                   .mapInArrow(_bounded(num, den), "a long, b long").distinct(), "pairs")
     wide = saved(cells.join(large, "key", "left_semi").select("key", "doc").distinct(), "wide")
-    inside = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(wide.select("doc"))
-                   .distinct(), "inside")
-    sets = saved(shingle_sets(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                          F.col(text_col).alias("text"))
-                              .join(inside.hint("merge"), "doc_id", "left_semi"), "doc_id", "text", k), "sets")
-    links = _verified(pairs, sets, num, den).union(member.select("rep", "doc_id"))
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def linked(some: DataFrame, hint: str | None = None) -> DataFrame:
+        inside = saved(some.select(F.col("a").alias("doc_id")).union(some.select("b")).distinct(), "inside")
+        rows = text.join(inside.hint(hint) if hint else inside, "doc_id", "left_semi")
+        return _verified(some, saved(shingle_sets(rows, "doc_id", "text", k), "sets"), num, den)
+
+    # The first set of texts grows with the input: they are met by a merge join at
+    # every size. The second is small as a rule; Spark decides by its size.
+    links = linked(pairs, "merge").union(member.select("rep", "doc_id"))
     label = components(links)
 
     # Large cells whose members are in different components so far.
     named = saved(wide.join(label.select(F.col("node").alias("doc"), "label"), "doc", "left")
-                  .join(sets.select(F.col("doc_id").alias("doc"), F.size("shingles").alias("n")), "doc")
-                  .select("key", "doc", F.coalesce("label", "doc").alias("label"), "n"), "named")
-    blocks = F.ceil(F.greatest(F.count("*") / CELL_ROWS, F.sum("n") / CELL_SHINGLES)).cast("long")
+                  .select("key", "doc", F.coalesce("label", "doc").alias("label")), "named")
     open_ = saved(named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                           blocks.alias("s")).where("x <> y").select("key", "s"), "open")
-    dealt = (named.join(open_, "key")
-             .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")))
+                                           F.ceil(F.count("*") / CELL_ROWS).cast("long").alias("s"))
+                  .where("x <> y").select("key", "s"), "open")
+    opened = saved(named.join(open_, "key"), "opened")
+    about = points.withColumnRenamed("doc_id", "doc").join(
+        opened.groupBy("doc").agg(F.array_sort(F.collect_set("key")).alias("keys")), "doc")
+    dealt = (opened.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
              .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                      "block", "doc", "label"))
-    more = saved(dealt.join(sets.withColumnRenamed("doc_id", "doc"), "doc")
-                 .select("key", "lo", "hi", "block", "doc", "label", "shingles")
-                 .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-                 .mapInArrow(_tree_links(num, den), "a long, b long").distinct(), "more")
+    across = saved(dealt.join(saved(about, "about"), "doc")
+                   .select("key", "lo", "hi", "block", "doc", "label", "n", "counts", "keys")
+                   .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                   .mapInArrow(_tree_pairs(num, den), "a long, b long")
+                   .distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    more = linked(across)
     name = label.select(F.col("node").alias("doc"), "label")
     up = lambda c: F.coalesce(F.col(f"{c}_label"), F.col(c)).alias(c)
     more = (more.join(name.select(F.col("doc").alias("a"), F.col("label").alias("a_label")), "a", "left")
