@@ -15,14 +15,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
 
 U = np.uint64
 # Bytes of text handled at once: bounds the temporary arrays of a task.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
+# Largest bitmap of ids that is broadcast, in bits (16 MiB).
+BITMAP_BITS = 1 << 27
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -163,13 +165,36 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_in(rows: DataFrame, key: Column, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose key is certainly not in the one column
+    of ``ids``, and all others. Keeps rows with long texts that need no join out
+    of its shuffle.
+
+    The ids are marked in a bitmap of 16 bits and more per id, ``BITMAP_BITS`` at
+    most: a bounded table that is broadcast. Beyond that bound more rows fall
+    into the second part, which the caller joins exactly anyway.
+    """
+    name = ids.columns[0]
+    bits = min(BITMAP_BITS, 1 << max(15, (16 * ids.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
+    marks = saved(ids.select(place(F.col(name)).alias("h")).groupBy(F.expr("h div 32768").alias("_bucket"))
+                  .agg(F.bitmap_construct_agg(F.expr("h % 32768")).alias("_map")), "bitmap")
+    some = rows.withColumn("_h", place(key)).withColumn("_bucket", F.expr("_h div 32768"))
+    some = some.join(F.broadcast(marks), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(_map, cast(_h % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    found = F.coalesce(F.expr("cast(_h % 8 as int)").isNotNull()
+                       & (F.call_function("shiftright", byte, F.expr("cast(_h % 8 as int)")).bitwiseAND(1) == 1),
+                       F.lit(False))
+    some = some.withColumn("_maybe", found)
+    own = [F.col(c) for c in rows.columns]
+    return some.where("not _maybe").select(*own), some.where("_maybe").select(*own)
+
+
 def _entries(batches):
     """Rows ``(key, doc, pivot, members)`` of a batch's keys, combined: the
     smallest document per key goes on with the number of its members, the others
     name it as pivot (members 0) and need not meet the key's other rows."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(i, 5000) for b in batches for i in range(0, b.num_rows, 5000)):
         order = np.argsort(batch.column(0).to_numpy(zero_copy_only=False), kind="stable")
         batch = batch.take(pa.array(order))
         col = batch.column(1)

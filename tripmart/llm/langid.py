@@ -31,7 +31,7 @@ EPOCHS = 4
 BATCH = 128
 RATE = 0.5
 DECAY = 1e-4
-FLUSH_WORDS = 2_000_000  # words whose scores are held at once
+FLUSH_WORDS = 1_000_000  # words whose scores are held at once
 UNKNOWN = "und"
 
 _KINDS = 2 * AFFIX + 1 + len(NGRAMS)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, lists, mix, saved, shared_keys, shingle_hashes, signed, texts
+from .common import U, lists, maybe_in, mix, saved, shared_keys, shingle_hashes, signed, texts
 from .components import components
 
 RATIO = 1.6           # size classes grow by this factor
@@ -299,8 +299,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is alone. Rows with equal ids and different texts link as the texts do and
     share the id. A null id gets a null component. Other columns are ignored.
 
-    The two big shuffles are the cell entries (about 0.3 numbers per word) and
-    the shingle sets of the documents that share a cell. A cell that holds a
+    The big shuffle is that of the cell entries (about 0.3 numbers per word);
+    texts are not shuffled, and shingle sets only of documents in surviving pairs. A cell that holds a
     large part of all documents is combined per batch before the shuffle, its
     other rows are dealt out by document, and the R-tree stage deals cells of
     more than ``CELL_ROWS`` in blocks, so no task needs a whole cell.
@@ -334,14 +334,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wide = saved(cells.join(large, "key", "left_semi").select("key", "doc").distinct(), "wide")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
-    def linked(some: DataFrame, hint: str | None = None) -> DataFrame:
+    def linked(some: DataFrame) -> DataFrame:
         inside = saved(some.select(F.col("a").alias("doc_id")).union(some.select("b")).distinct(), "inside")
-        rows = text.join(inside.hint(hint) if hint else inside, "doc_id", "left_semi")
+        _, rows = maybe_in(text, F.col("doc_id"), inside)
         return _verified(some, saved(shingle_sets(rows, "doc_id", "text", k), "sets"), num, den)
 
-    # The first set of texts grows with the input: they are met by a merge join at
-    # every size. The second is small as a rule; Spark decides by its size.
-    links = linked(pairs, "merge").union(member.select("rep", "doc_id"))
+    links = linked(pairs).union(member.select("rep", "doc_id"))
     label = components(links)
 
     # Large cells whose members are in different components so far.

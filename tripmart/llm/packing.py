@@ -26,7 +26,7 @@ from .common import Text, byte_hash, texts
 CAPACITY = 1024
 PIECE = 256
 WINDOWS = 64           # windows' worth of rests in a group
-MEMO = 500_000         # words whose ids a task remembers
+MEMO = 250_000         # words whose ids a task remembers
 
 
 def karmarkar_karp(sizes: list[int], m: int) -> list[list[int]]:

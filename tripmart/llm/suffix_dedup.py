@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Text, byte_hash, lists, prefix, run_hash, saved, shared_keys, texts
+from .common import U, Text, byte_hash, lists, maybe_in, prefix, run_hash, saved, shared_keys, texts
 
 LENGTH = 50
 K = 20
@@ -231,7 +231,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keys = saved(shared_keys(some.select(F.col("doc").alias("doc_id"), "keys"))
                  .groupBy("doc").agg(F.collect_set("key").alias("keys")), "anchors")
     # Step 2: their windows, and which of them come first.
-    wide = (base.join(some.select("doc", "tag").join(keys, "doc"), ["doc", "tag"])
+    _, near = maybe_in(base, F.col("doc"), keys.select("doc"))
+    wide = (near.join(some.select("doc", "tag").join(keys, "doc"), ["doc", "tag"])
             .dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "keys")
             .mapInArrow(_extended, "key long, doc long, place long, members int"))
     to = F.when(F.col("members") == 0, F.xxhash64("key", "doc", "place")).otherwise(F.col("key"))
@@ -264,7 +265,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keep = [c for c in docs.columns if c not in (text_col, "cut_words")]
     on = (F.col(id_col).cast("long") == F.col("_doc")) & (_tag(text) == F.col("_tag"))
-    rows = docs.join(spans, on, "left").select(
+    apart, near = maybe_in(docs, F.col(id_col), spans.select("_doc"))
+    rows = near.join(spans, on, "left").select(
         text.alias("_old"), F.col("cut.start_word").alias("_start"), F.col("cut.n_words").alias("_n"),
         F.col(text_col).cast("string").alias("_was"), *keep)
     plain = rows.where("_n is null").select(
@@ -276,4 +278,6 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     new = touched.mapInArrow(_without, kinds).select(
         *keep, F.col("_text").alias(text_col), F.col("_cut").alias("cut_words"))
     order = [*docs.columns, "cut_words"] if "cut_words" not in docs.columns else docs.columns
-    return plain.union(new).select(*order)
+    apart = apart.select(*keep, F.col(text_col).cast("string").alias(text_col),
+                         F.lit(0).cast("long").alias("cut_words"))
+    return apart.union(plain).union(new).select(*order)
