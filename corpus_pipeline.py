@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import mixing, ngram_join, packing, quality, suffix_dedup
-from tripmart.llm.common import saved
+from tripmart.llm.common import maybe_in, saved
 from tripmart.llm.queries import tokenizer
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,7 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     0.8 or more) the one with the smallest id stays, once."""
     group = ngram_join.ngram_join(docs, k=5, num=4, den=5)
     drop = saved(group.where("component_id <> doc_id").select("doc_id").distinct(), "drop")
-    return docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
+    apart, near = maybe_in(docs, F.col("doc_id"), drop)
+    return apart.union(near.join(drop, "doc_id", "left_anti").select(*docs.columns)).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
