@@ -9,6 +9,7 @@ chance of about 2**-60 per comparison.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -156,6 +157,18 @@ def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType = pa.int64()
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
 
+def mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` whose tasks return the memory of their arrays when they
+    end, so that workers that wait for the next task stay small."""
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return df.mapInArrow(tidy, schema)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage and
     survives lost executors."""
@@ -252,7 +265,7 @@ def shared_keys(lists_: DataFrame) -> DataFrame:
     twice or more, in one shuffle; ``pivot`` is the smallest document of the key,
     or of its batch. A key of very many documents is combined per batch first;
     the rows that this sets aside are dealt out by document."""
-    rows = lists_.mapInArrow(_entries, "key long, doc long, pivot long, members int")
+    rows = mapped(lists_, _entries, "key long, doc long, pivot long, members int")
     to = F.when(F.col("members") == 0, F.xxhash64("key", "doc")).otherwise(F.col("key"))
-    return (rows.repartition(to).sortWithinPartitions("key", "doc")
-            .mapInArrow(_shared, "key long, doc long, pivot long"))
+    return mapped(rows.repartition(to).sortWithinPartitions("key", "doc"), _shared,
+                  "key long, doc long, pivot long")

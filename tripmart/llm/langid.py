@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Text, U, byte_hash, byte_sums, mix, run_hash, saved, texts
+from .common import Text, U, byte_hash, byte_sums, mapped, mix, run_hash, saved, texts
 
 DOCS_PER_LABEL = 300   # bound of the training sample
 PIECES = 4             # pieces of a sampled text
@@ -282,4 +282,4 @@ def label_languages(docs: DataFrame, model: Model | None, text_col: str = "text"
     keep = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields),
                        "lang_pred string", "score double"])
-    return docs.select(F.col(text_col).cast("string").alias("_text"), *keep).mapInArrow(_predict(model), kinds)
+    return mapped(docs.select(F.col(text_col).cast("string").alias("_text"), *keep), _predict(model), kinds)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, lists, maybe_in, mix, saved, shared_keys, shingle_hashes, signed, texts
+from .common import U, lists, mapped, maybe_in, mix, saved, shared_keys, shingle_hashes, signed, texts
 from .components import components
 
 RATIO = 1.6           # size classes grow by this factor
@@ -118,8 +118,8 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
             flat = np.concatenate(sets) if sets else np.empty(0, U)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), lists(flat.view(np.int64), at)], ["doc_id", "shingles"])
-    return (docs.select(F.col(id_col).cast("long"), text_col)
-            .mapInArrow(run, "doc_id long, shingles array<long>"))
+    return mapped(docs.select(F.col(id_col).cast("long"), text_col), run,
+                  "doc_id long, shingles array<long>")
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
@@ -141,8 +141,8 @@ def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den
                 [batch.column(0), pa.array(n, pa.int64()), signed(np.array(d1, U)),
                  signed(np.array(d2, U)), lists(flat.view(np.int64), at), pa.array(counts, pa.binary())],
                 ["doc_id", "n", "d1", "d2", "cells", "counts"])
-    return (docs.select(F.col(id_col).cast("long"), text_col)
-            .mapInArrow(run, "doc_id long, n long, d1 long, d2 long, cells array<long>, counts binary"))
+    return mapped(docs.select(F.col(id_col).cast("long"), text_col), run,
+                  "doc_id long, n long, d1 long, d2 long, cells array<long>, counts binary")
 
 
 class RTree:
@@ -325,8 +325,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   "large")
     star = cells.join(large, "key", "left_semi").where("doc <> pivot").select(
         F.col("pivot").alias("a"), F.col("doc").alias("b"))
-    met = (cells.join(large, "key", "left_anti").select("key", "doc")
-           .repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_leaf_pairs, "a long, b long"))
+    met = mapped(cells.join(large, "key", "left_anti").select("key", "doc")
+                 .repartition("key").sortWithinPartitions("key", "doc"), _leaf_pairs, "a long, b long")
     points = prof.where("n > 0 and doc_id is not null").select("doc_id", "n", "counts")
     end = lambda c: points.toDF(c, f"n_{c}", f"counts_{c}")
     pairs = saved(star.union(met).distinct().join(end("a"), "a").join(end("b"), "b")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Text, byte_hash, texts
+from .common import Text, byte_hash, mapped, texts
 
 CAPACITY = 1024
 PIECE = 256
@@ -180,16 +180,11 @@ class Words:
         return ids, before[np.searchsorted(start, t.off)]
 
 
-_KNOWN: dict[tuple, Words] = {}
-
-
 def _pack(vocabulary: tuple, capacity: int, piece: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        if vocabulary not in _KNOWN:
-            _KNOWN[vocabulary] = Words(*vocabulary)
-        words = _KNOWN[vocabulary]
+        words = Words(*vocabulary)
         task = TaskContext.get()
         sequence = (task.partitionId() if task else 0) << 32
         full = capacity * 4
@@ -260,7 +255,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     if not 0 < piece <= capacity:
         raise ValueError("a piece must fit into a sequence")
-    return (docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-            .mapInArrow(_pack((tokenizer, ranks, pattern), capacity, piece, end_id),
-                        "doc_id long, start long, length long, ids binary, doc_tokens long, "
-                        "sequence_id long, `offset` long"))
+    return mapped(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")),
+                  _pack((tokenizer, ranks, pattern), capacity, piece, end_id),
+                  "doc_id long, start long, length long, ids binary, doc_tokens long, "
+                  "sequence_id long, `offset` long")

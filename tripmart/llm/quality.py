@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Text, U, byte_hash, mix, prefix, run_hash, texts
+from .common import Text, U, byte_hash, mapped, mix, prefix, run_hash, texts
 
 WINDOW = 8             # words of the base rule's windows
 MIN_WORDS = 20
@@ -117,7 +117,7 @@ def quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
     schema = docs.select(F.col(text_col).cast("string").alias("_quality_text"), *rest)
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields[1:]),
                      *(f"{c} long" for c in _COUNTS + _MORE)])
-    got = schema.mapInArrow(_measure, out)
+    got = mapped(schema, _measure, out)
     failed = (F.col("n_words") < MIN_WORDS) | \
         (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     fine = ~failed

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Text, byte_hash, lists, maybe_in, prefix, run_hash, saved, shared_keys, texts
+from .common import U, Text, byte_hash, lists, mapped, maybe_in, prefix, run_hash, saved, shared_keys, texts
 
 LENGTH = 50
 K = 20
@@ -224,7 +224,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                  .select("sha", "rep"), "same")
     marks = saved(base.select("doc", "tag", sha.alias("sha")).join(same, "sha")
                   .select("doc", "tag", "rep").distinct(), "copies")
-    anchors = saved(base.mapInArrow(_anchors, "doc long, tag long, n long, keys array<long>"), "suffixes")
+    anchors = saved(mapped(base, _anchors, "doc long, tag long, n long, keys array<long>"), "suffixes")
     # Step 1: suffixes of distinct texts that have an equal neighbour.
     some = (anchors.where(F.size("keys") > 0).select("doc", "tag", "keys").dropDuplicates(["doc", "tag"])
             .join(marks.where("doc <> rep").select("doc", "tag"), ["doc", "tag"], "left_anti"))
@@ -232,9 +232,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                  .groupBy("doc").agg(F.collect_set("key").alias("keys")), "anchors")
     # Step 2: their windows, and which of them come first.
     _, near = maybe_in(base, F.col("doc"), keys.select("doc"))
-    wide = (near.join(some.select("doc", "tag").join(keys, "doc"), ["doc", "tag"])
-            .dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "keys")
-            .mapInArrow(_extended, "key long, doc long, place long, members int"))
+    wide = mapped(near.join(some.select("doc", "tag").join(keys, "doc"), ["doc", "tag"])
+                  .dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "keys"),
+                  _extended, "key long, doc long, place long, members int")
     to = F.when(F.col("members") == 0, F.xxhash64("key", "doc", "place")).otherwise(F.col("key"))
     found = (wide.repartition(to).sortWithinPartitions("key", "doc", "place")
              .mapInArrow(_neighbours, "doc long, place long, first boolean"))
