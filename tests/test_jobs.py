@@ -196,6 +196,24 @@ def test_documented_example_and_csv_export(spark, landing, dims):
     assert back.exceptAll(green).count() == 0 and green.exceptAll(back).count() == 0
 
 
+def test_month_outside_the_calendar_is_refused(spark, landing, dims):
+    from tripmart.jobs import NothingLoaded, load_feed_month
+    with pytest.raises(NothingLoaded):
+        load_feed_month(spark, "yellow", Period("2031", "05"), landing, shared_path(spark, "test", "wh"), dims)
+
+
+def test_recent_month_loads_every_row(spark):
+    from tripmart.jobs import load_period
+    p, root = Period("2026", "09"), shared_path(spark, "test", "landing_2026")
+    for feed in ("yellow", "green"):
+        raw = event_trips(spark, SF001, feed)
+        for c in [c for c in raw.columns if c.endswith("datetime")]:
+            raw = raw.withColumn(c, F.col(c) + F.expr("make_dt_interval(974)"))
+        write_table(raw, feed_path(root, feed, p), "parquet")
+    for row in load_period(spark, p, root, shared_path(spark, "test", "wh_2026")):
+        assert row["loaded"] + row["rejected"] > 0.5 * row["read"]
+
+
 def test_cli_dims_then_month(spark, landing, capsys):
     from tripmart.jobs import main
     wh = shared_path(spark, "test", "cli_wh")

@@ -5,6 +5,7 @@ import datetime as dt
 import decimal
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,8 +112,41 @@ def test_fk_audit_counts_orphans_not_nulls(spark):
     assert (res["vendor_id"].checked_rows, res["vendor_id"].orphan_rows,
             res["vendor_id"].orphan_keys) == (4, 1, 1)
     assert (res["pickup_date_id"].orphan_rows, res["pickup_date_id"].orphan_keys) == (1, 1)
-    # no zone dimension given: the two location FKs are not checked
-    assert res["payment_id"].checked_rows == 0 and len(res) == 7
+    # no zone dimension given: the two location FKs are listed unchecked
+    assert res["payment_id"].checked_rows == 0 and len(res) == 9
+    assert sorted(c for c, r in res.items() if not r.checked) == ["do_location_id", "pu_location_id"]
+    assert all(r.checked_rows is None for r in res.values() if not r.checked)
+
+
+def test_lookup_csv_with_standard_quoting(spark, tmp_path):
+    (tmp_path / "base.csv").write_text('a,b\nB1,"JOE ""THE"" CAB, INC"\n')
+    from tripmart.operators.publish import read_table
+    assert read_table(spark, str(tmp_path), T.StructType([T.StructField("a", T.StringType()),
+                      T.StructField("b", T.StringType())]), "csv").collect()[0].b == 'JOE "THE" CAB, INC'
+
+
+def test_month_reload_leaves_nothing_behind(spark):
+    from tripmart.period import Period
+    path, p = shared_path(spark, "test", "reload"), Period("2024", "01")
+    rows = [(i, "2024", "01") for i in range(6)] + [(9, "2024", "02")]
+    df = spark.createDataFrame(rows, "x int, data_year string, data_month string")
+    load_month(df, path)
+    for part, want in ((df.where("x < 2"), {0, 1, 9}), (df.where("false"), {9}), (df.where("x = 5"), {5, 9})):
+        load_month(part, path, p)
+        assert {r.x for r in read_fact(spark, path, df.schema).collect()} == want
+
+
+def test_published_fact_follows_its_input(spark, tmp_path):
+    import shutil
+    from tests.conftest import SF001
+    from tripmart.plans.tables import published_orders
+    for n in ("lineitem", "orders", "customer", "supplier", "nation", "region"):
+        shutil.copyfile(f"{SF001}/{n}.parquet", tmp_path / f"{n}.parquet")
+    before = published_orders(spark, f"file://{tmp_path}").fact.count()
+    rows = pq.read_table(f"{SF001}/lineitem.parquet")
+    pq.write_table(rows.slice(0, rows.num_rows // 2), tmp_path / "lineitem.parquet")
+    spark.catalog.refreshByPath(str(tmp_path))
+    assert 0 < published_orders(spark, f"file://{tmp_path}").fact.count() < before
 
 
 def test_pk_audit_flags_duplicates(spark):

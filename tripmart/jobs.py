@@ -13,13 +13,13 @@ import argparse
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators.audit import pk_audit
 from .operators.dims import DATE_END, DATE_START, Dims, build_dims, dims_from_tables
 from .operators.facts import build_fact
-from .operators.publish import (load_month, read_table, split_conformed, tag_conformance,
+from .operators.publish import (load_month, read_fact, read_table, split_conformed, tag_conformance,
                                 to_layout, write_table)
 from .period import Period, default_period
 from .schemas import DIM_BASE, DIM_ZONE, DIMS
@@ -36,6 +36,10 @@ class KeyViolation(RuntimeError):
     pass
 
 
+class NothingLoaded(RuntimeError):
+    pass
+
+
 def require_landed(manifest: DataFrame, period: Period,
                    feeds: Sequence[str] = REQUIRED_FEEDS) -> None:
     """Raise unless every feed of ``period`` has landed (the original flow
@@ -85,28 +89,39 @@ def read_lookup(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def load_feed_month(spark: SparkSession, feed: str, period: Period, landing: str,
                     warehouse: str, dims: Dims) -> dict:
-    """Build, conform and load one feed-month (conformed rows to
-    ``fact_<feed>``, rejects to ``rejects_<feed>``).
-
-    The two writes share one read of the raw month: the conformed projection
-    is persisted on executor disks between them (a lost block is recomputed
-    from the raw files)."""
-    fact = to_layout(build_fact(read_feed(spark, feed, period, landing), feed, period, dims), feed)
-    tagged = tag_conformance(fact, feed).persist(StorageLevel.DISK_ONLY)
-    try:
-        good, rejects = split_conformed(tagged, feed)
-        base = warehouse.rstrip("/")
-        load_month(good, f"{base}/fact_{feed}", period)
-        load_month(rejects, f"{base}/rejects_{feed}", period)
-    finally:
-        tagged.unpersist()
-    return {"feed": feed, "period": str(period)}
+    """Build, conform and load one feed-month: conformed rows replace the month
+    in ``fact_<feed>``, rejects that in ``rejects_<feed>``, also when there are
+    none. Returns the numbers of rows read, loaded and rejected, and ``dropped``:
+    rows that the cleaning rules or a missing date or time key left out. Raises
+    ``NothingLoaded``, before anything is replaced, if the calendar does not
+    cover the month."""
+    if not (dims.date_start <= period.first_day() and period.last_day() <= dims.date_end):
+        raise NothingLoaded(f"{feed} {period}: dim_date covers {dims.date_start} to {dims.date_end} only")
+    raw = read_feed(spark, feed, period, landing)
+    tagged = tag_conformance(to_layout(build_fact(raw, feed, period, dims), feed), feed)
+    good, rejects = split_conformed(tagged, feed)
+    base, count = warehouse.rstrip("/"), {"read": raw.count()}
+    for name, table, rows in (("loaded", "fact", good), ("rejected", "rejects", rejects)):
+        path = f"{base}/{table}_{feed}"
+        load_month(rows, path, period)
+        count[name] = read_fact(spark, path, rows.schema).where(
+            (F.col("data_year") == period.year) & (F.col("data_month") == period.month)).count()
+    count["dropped"] = count["read"] - count["loaded"] - count["rejected"]
+    return {"feed": feed, "period": str(period), **count}
 
 
 def load_period(spark: SparkSession, period: Period, landing: str, warehouse: str,
                 dims: Dims | None = None, feeds: Sequence[str] = REQUIRED_FEEDS) -> list[dict]:
-    require_landed(manifest_from_paths(spark, landing), period, feeds)
-    dims = dims or build_dims(spark)
+    """Load ``feeds`` of a landed month. All required feeds must have landed,
+    whichever are loaded; only that month's folder is listed. Without ``dims``
+    the calendar is built to cover the month and its neighbours."""
+    folder = f"{landing.rstrip('/')}/{period.year}/{period.month}"
+    if not path_exists(spark, folder):
+        raise IncompleteMonth(f"{period}: nothing landed")
+    require_landed(manifest_from_paths(spark, folder), period, sorted({*REQUIRED_FEEDS, *feeds}))
+    year = int(period.year)
+    dims = dims or build_dims(spark, min(DATE_START, dt.date(year - 1, 1, 1)),
+                              max(DATE_END, dt.date(year + 1, 12, 31)))
     return [load_feed_month(spark, f, period, landing, warehouse, dims) for f in feeds]
 
 
@@ -142,7 +157,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             print(row.asDict())
 
 
-__all__ = ["DIMS", "IncompleteMonth", "KeyViolation", "load_feed_month", "load_period",
+__all__ = ["DIMS", "IncompleteMonth", "KeyViolation", "NothingLoaded", "load_feed_month", "load_period",
            "publish_dims", "read_lookup", "read_published_dims", "require_landed"]
 
 if __name__ == "__main__":

@@ -45,10 +45,6 @@ FKS = {
                 ("pickup_time_id", "dim_time"), ("dropoff_time_id", "dim_time")],
 }
 
-FK_RESULT = T.StructType([T.StructField("fk_column", T.StringType()),
-                          T.StructField("ref_table", T.StringType())])
-
-
 def _union(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -63,8 +59,10 @@ def _key_pair(col, as_string: bool):
 
 
 def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
-    """One row per declared FK: ``checked_rows`` (non-null keys),
-    ``orphan_rows`` and ``orphan_keys`` (distinct keys with no dimension row).
+    """One row per declared FK, always all of them: ``checked`` (its dimension
+    is there), ``checked_rows`` (non-null keys), ``orphan_rows`` and
+    ``orphan_keys`` (distinct keys with no dimension row). Without its dimension
+    a key is listed unchecked, with null counts.
     The fact is scanned once: its FK columns are unpivoted to (fk_column, key)
     and reduced to distinct keys with counts before they meet the dimension
     keys. Keys keep their kind (integer or text); a dimension key is compared
@@ -96,12 +94,14 @@ def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
         F.sum("n").alias("checked_rows"),
         F.sum(F.when(orphan, F.col("n"))).alias("orphan_rows"),
         F.count(F.when(orphan, 1)).alias("orphan_keys"))
-    listing = spark.createDataFrame(fks, FK_RESULT)
+    known = dict(fks)
+    listing = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"('{c}', '{d}', {str(c in known).lower()})" for c, d in FKS[feed])
+        + " AS t(fk_column, ref_table, checked)")
+    count = lambda c: F.when(F.col("checked"), F.coalesce(c, F.lit(0)).cast("bigint")).alias(c)
     return (listing.join(stats, "fk_column", "left")
-            .select("fk_column", "ref_table",
-                    F.coalesce("checked_rows", F.lit(0)).cast("bigint").alias("checked_rows"),
-                    F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"),
-                    F.coalesce("orphan_keys", F.lit(0)).cast("bigint").alias("orphan_keys")))
+            .select("fk_column", "ref_table", "checked",
+                    *map(count, ("checked_rows", "orphan_rows", "orphan_keys"))))
 
 
 def pk_audit(tables: dict[str, DataFrame]) -> DataFrame:

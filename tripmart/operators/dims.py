@@ -49,17 +49,12 @@ LITERALS = {
     "dim_license": LICENSE_ROWS, "dim_triptype": TRIPTYPE_ROWS, "dim_flags": FLAG_ROWS,
 }
 
-# Upper bound on dim_date rows: 200 years. A bigger span is a mistake, and the
-# bound is what makes the date dimension safe to broadcast.
-MAX_DATE_ROWS = 200 * 366
-
-
 def build_dim_date(spark: SparkSession, start: dt.date = DATE_START,
                    end: dt.date = DATE_END) -> DataFrame:
     """One row per day in ``[start, end]``; 1 = Sunday … 7 = Saturday, ISO week."""
     n = (end - start).days + 1
-    if not 0 < n <= MAX_DATE_ROWS:
-        raise ValueError(f"date span {start}..{end} outside 1..{MAX_DATE_ROWS} days")
+    if n < 1:
+        raise ValueError(f"date span {start}..{end} is empty")
     d = F.date_add(F.lit(start), F.col("id").cast("int"))
     days = spark.range(n).select(d.alias("full_date"))
     dow = F.dayofweek("full_date")
@@ -142,22 +137,8 @@ class Dims:
                  "license", "triptype", "base") if getattr(self, k) is not None}
 
 
-# With ``check_lookups``, dimensions read from external lookups are broadcast
-# when they have at most this many rows. Without it (default) no hint is given:
-# Spark's planner broadcasts them only under spark.sql.autoBroadcastJoinThreshold
-# (its own size estimate) and AQE re-plans from the real shuffle size; beyond
-# that the join shuffles.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """Row-count bound check that reads at most n + 1 rows per partition."""
-    return df.limit(n + 1).count() <= n
-
-
 def build_dims(spark: SparkSession, start: dt.date = DATE_START, end: dt.date = DATE_END,
-               zone: DataFrame | None = None, base: DataFrame | None = None,
-               check_lookups: bool = False) -> Dims:
+               zone: DataFrame | None = None, base: DataFrame | None = None) -> Dims:
     d = Dims(date=build_dim_date(spark, start, end), time=build_dim_time(spark),
              payment=build_literal_dim(spark, "dim_payment"),
              ratecode=build_literal_dim(spark, "dim_ratecode"),
@@ -170,10 +151,6 @@ def build_dims(spark: SparkSession, start: dt.date = DATE_START, end: dt.date =
              date_start=start, date_end=end)
     # Generated and literal dimensions are bounded by construction.
     d.small = {"date", "time", "payment", "ratecode", "vendor", "triptype", "flags", "license"}
-    for name in ("zone", "base"):
-        df = getattr(d, name)
-        if check_lookups and df is not None and has_at_most(df, MAX_BROADCAST_ROWS):
-            d.small.add(name)
     return d
 
 
@@ -183,9 +160,8 @@ def dims_from_tables(tables: dict[str, DataFrame]) -> Dims:
     One small aggregation per role-playing dimension finds the date span and
     checks that ``dim_date`` holds every day of it exactly once with padded
     keys, and that ``dim_time`` holds all 1,440 minutes; when a check fails,
-    key lookups use the join form. ``dim_date`` and ``dim_time`` are marked
-    broadcastable when those counts are within their bounds; other tables get
-    no hint (Spark's size-checked automatic broadcast and AQE decide)."""
+    key lookups use the join form. Stored tables get no broadcast hint (Spark's
+    size-checked automatic broadcast and AQE decide)."""
     date, time = tables["dim_date"], tables["dim_time"]
     r = date.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"),
                  F.count(F.lit(1)).alias("n"), F.count_distinct("full_date").alias("days"),
@@ -200,13 +176,10 @@ def dims_from_tables(tables: dict[str, DataFrame]) -> Dims:
                  F.count_if(F.col("time_id") != F.col("hour") * 100 + F.col("minute"))
                   .alias("bad")).first()
     complete = t["n"] == t["minutes"] == 24 * 60 and t["bad"] == 0
-    # The counts just taken are a proven size bound for these two.
-    small = {name for name, ok in (("date", r["n"] <= MAX_DATE_ROWS),
-                                   ("time", t["n"] <= 24 * 60)) if ok}
     return Dims(date=date, time=time, payment=tables["dim_payment"],
                 ratecode=tables["dim_ratecode"], vendor=tables["dim_vendor"],
                 triptype=tables["dim_triptype"], flags=tables["dim_flags"],
                 license=tables["dim_license"], zone=tables.get("dim_zone"),
                 base=tables.get("dim_base"),
                 date_start=r["lo"] or DATE_START, date_end=r["hi"] or DATE_END,
-                small=small, date_contiguous=contiguous, time_complete=complete)
+                small=set(), date_contiguous=contiguous, time_complete=complete)

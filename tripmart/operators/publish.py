@@ -84,6 +84,10 @@ def tag_conformance(df: DataFrame, feed: str) -> DataFrame:
                      reject.alias("__reject"), reason.alias("reject_reason"))
 
 
+# Rows per output file; bounds file size whatever the month's volume.
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def split_conformed(tagged: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """(conformed rows, rejects) of a ``tag_conformance`` projection."""
     good = tagged.filter(~F.col("__reject")).select(
@@ -101,7 +105,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     elif fmt == "parquet":
         w.parquet(path)
     else:
@@ -126,7 +130,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
     malformed value fails the read (FAILFAST) instead of becoming null."""
     r = spark.read.schema(schema)
     if fmt == "csv":
-        return r.option("header", True).option("mode", "FAILFAST").csv(path)
+        return r.option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(path)
     if fmt == "parquet":
         return r.parquet(path)
     raise ValueError(f"unsupported format {fmt!r}")
@@ -137,12 +141,21 @@ def read_dim(spark: SparkSession, name: str, path: str, fmt: str = "parquet") ->
 
 
 def load_month(df: DataFrame, table_path: str, period: Period | None = None) -> None:
-    """Idempotent load: replace exactly the ``data_year``/``data_month``
-    partitions present in ``df`` (only ``period``'s rows when given)."""
+    """Delete, then load. With ``period``, exactly that month becomes its rows
+    in ``df``, also when there are none: the partition folder is overwritten.
+    Without it, the months present in ``df`` are replaced. Files are sorted by
+    pickup date key, so date ranges skip row groups, and bounded in size."""
+    key = [c for c in df.columns if c == "pickup_date_id"]
     if period is not None:
-        df = df.filter((F.col("data_year") == period.year) & (F.col("data_month") == period.month))
-    (df.sortWithinPartitions("data_year", "data_month")
+        month = df.filter((F.col("data_year") == period.year) & (F.col("data_month") == period.month))
+        month = month.drop("data_year", "data_month")
+        (month.sortWithinPartitions(*key) if key else month).write.mode("overwrite") \
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
+            .parquet(f"{table_path.rstrip('/')}/data_year={period.year}/data_month={period.month}")
+        return
+    (df.sortWithinPartitions("data_year", "data_month", *key)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy("data_year", "data_month").parquet(table_path))
 
 

@@ -30,6 +30,12 @@ class Period:
     def m(self) -> int:
         return int(self.month)
 
+    def first_day(self) -> dt.date:
+        return dt.date(self.y, self.m, 1)
+
+    def last_day(self) -> dt.date:
+        return dt.date(self.y + self.m // 12, self.m % 12 + 1, 1) - dt.timedelta(days=1)
+
     def __str__(self) -> str:
         return f"{self.year}-{self.month}"
 

@@ -284,7 +284,7 @@ def fk_audit_sql(feed: str, fact_cte: str) -> str:
     parts_ = []
     for col, dim in FKS[feed]:
         k = DIM_KEYS[dim]
-        parts_.append(f"""SELECT '{col}' AS fk_column, '{dim}' AS ref_table,
+        parts_.append(f"""SELECT '{col}' AS fk_column, '{dim}' AS ref_table, true AS checked,
     CAST(count({col}) AS BIGINT) AS checked_rows,
     CAST(count({col}) FILTER (WHERE CAST({col} AS VARCHAR) NOT IN
         (SELECT CAST({k} AS VARCHAR) FROM {dim} WHERE {k} IS NOT NULL)) AS BIGINT) AS orphan_rows,

@@ -24,11 +24,12 @@ from ..operators.publish import (conform, load_month, read_dim, read_fact, read_
                                  to_layout, write_table)
 from ..operators.star import ALL as STAR_ALL
 from ..operators.star import star_view
-from ..jobs import read_lookup
+from ..jobs import load_feed_month, read_lookup
 from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
 from ..sources.adapters import base_lookup, event_trips, landing_manifest, table, zone_lookup
+from ..sources.feeds import feed_path
 from ..sources.landing import landing_status, missing_feeds
 from ..streaming.month_loader import start_month_loader
 from . import oracle as O
@@ -270,6 +271,19 @@ def q_conform_rejects(spark, sf):
     return to_plain(rejects)
 
 
+def q_warehouse_month_load(spark, sf):
+    """A raw month lands twice over (every row doubled) and is loaded, then
+    lands again as it is and is loaded again: fact and rejects must be those of
+    the second landing alone."""
+    root, wh = shared_path(spark, "landing", "month"), shared_path(spark, "warehouse", "month")
+    raw = event_trips(spark, sf, "yellow")
+    for version in (raw.union(raw), raw):
+        write_table(version, feed_path(root, "yellow", E_PERIOD), "parquet")
+        load_feed_month(spark, "yellow", E_PERIOD, root, wh, e_dims(spark, sf))
+    schema = conform(to_layout(e_fact(spark, sf, "yellow"), "yellow"), "yellow")[0].schema
+    return to_plain(read_fact(spark, f"{wh}/fact_yellow", schema))
+
+
 def q_load_month_idempotent(spark, sf):
     fact = published_orders(spark, sf).fact
     path = shared_path(spark, "warehouse", "order_fact")
@@ -396,6 +410,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "column_profile_approx": q_column_profile_approx,
         "conform_rejects": q_conform_rejects,
         "load_month_idempotent": q_load_month_idempotent,
+        "warehouse_month_load": q_warehouse_month_load,
         "landing_completeness": q_landing_completeness,
         "landing_missing_feeds": q_landing_missing_feeds,
         "default_period": q_default_period,
@@ -653,6 +668,7 @@ def oracle_sql() -> dict[str, str]:
         "column_profile": _profile_sql(),
         "conform_rejects": _rejects_sql(),
         "load_month_idempotent": with_o(f"SELECT {_FACT_PLAIN} FROM order_fact", None),
+        "warehouse_month_load": _conform_sql(),
         "landing_completeness": with_o(_landing_sql(), None),
         "landing_missing_feeds": _missing_sql(),
         "default_period": O.with_(

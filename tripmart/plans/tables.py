@@ -12,14 +12,15 @@ Writing the table also cuts the lineage of the four-way adapter join.
 from __future__ import annotations
 
 import hashlib
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dims import Dims, build_dims
 from ..operators.keys import add_keys
+from ..operators.publish import MAX_RECORDS_PER_FILE
 from ..session import path_exists, shared_path
 from ..sources.adapters import (base_lookup, order_trip_parts, order_trips, order_trips_span,
                                 zone_lookup)
@@ -44,10 +45,6 @@ ORDER_FACT_SCHEMA = T.StructType([
     T.StructField("data_month", T.StringType()),
 ])
 
-# Rows per output file; bounds file size whatever the month's volume.
-MAX_RECORDS_PER_FILE = 5_000_000
-
-
 @dataclass
 class Published:
     fact: DataFrame
@@ -58,14 +55,13 @@ class Published:
 _memo: dict = {}
 
 
-def _fingerprint(sf_dir: str, names) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for n in names:
-        p = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
-    return h.hexdigest()[:16]
+def _fingerprint(spark: SparkSession, sf_dir: str, names) -> str:
+    """Changes with any file of the tables: path, length and modification time
+    as Spark lists them, on whatever storage they lie."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
+        [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]).select("path", "length", "modificationTime")
+    h = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return hashlib.sha1(repr(files.agg(F.count("*"), F.sum(h)).first()).encode()).hexdigest()[:16]
 
 
 def order_dims(spark: SparkSession, sf_dir: str) -> Dims:
@@ -101,7 +97,7 @@ def write_partitioned(df: DataFrame, path: str, sort_key: str = "pickup_date_id"
 def published_orders(spark: SparkSession, sf_dir: str) -> Published:
     """The ``order_trips`` fact and its dimensions, built at most once per
     session and input (re-built if the written table is incomplete)."""
-    fp = _fingerprint(sf_dir, ["lineitem", "orders", "customer", "supplier"])
+    fp = _fingerprint(spark, sf_dir, ["lineitem", "orders", "customer", "supplier"])
     key = (spark.sparkContext.applicationId, fp)
     hit = _memo.get(key)
     if hit and path_exists(spark, hit.path + "/_SUCCESS"):

@@ -9,7 +9,6 @@ as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -107,8 +106,6 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists, through the Hadoop filesystem of the session."""
-    if path.startswith("/") or path.startswith("file:"):
-        return os.path.exists(path.removeprefix("file:"))
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

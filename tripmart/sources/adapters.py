@@ -25,23 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    splits than cores (one large file with one row group reads as a single
-    task, and every operator fused after it would run single-threaded). A
-    scan that already has enough splits is returned unchanged: no shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()   # plans the scan; reads no data
-    except Exception:  # Spark Connect has no RDD API: leave the plan as it is
-        return df
-    return df.repartition(cores) if n < cores else df
-
-
 def _events(spark, sf_dir):
-    # No spread here: per-event work is light, and measured at sf0.1 a
-    # round-robin shuffle costs more than the single scan task it replaces.
     ev = table(spark, sf_dir, "events")
     e = F.col("event_id")
     secs = F.when(e % 50 == 0, F.lit(-103).cast("bigint")).otherwise(
@@ -118,13 +102,10 @@ def _dec(c, p, s=2):
 
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip-shaped rows, one per line item, money as exact decimals."""
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag"))
-    # Both large sides are spread: AQE may broadcast either one at runtime, and
-    # the other then streams the join and every expression after it.
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey",
-                                                          "o_orderdate", "o_orderpriority"))
+        "l_discount", "l_tax", "l_returnflag")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # orders ⋈ customer first: at scale that shuffle is orders-sized; joined
@@ -159,12 +140,13 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_trips_span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
     """Whole calendar years covering every ``order_trips`` pickup and
-    dropoff (a dropoff is less than two days after its order date). Reads
-    one column of ``orders``; returns two scalars."""
+    dropoff: from the first order to the last one plus the latest minute of a
+    day and the longest trip (one minute per unit of quantity). Three scalars."""
+    longest = table(spark, sf_dir, "lineitem").agg(F.max("l_quantity")).first()[0] or 0
     row = table(spark, sf_dir, "orders").agg(
-        F.min("o_orderdate").alias("lo"),
-        F.max(F.date_add(F.to_date("o_orderdate"), 2)).alias("hi")).first()
-    return dt.date(row["lo"].year, 1, 1), dt.date(row["hi"].year, 12, 31)
+        F.min("o_orderdate").alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi")).first()
+    hi = row["hi"] + dt.timedelta(days=1 + int((1439 + float(longest)) // 1440))
+    return dt.date(row["lo"].year, 1, 1), dt.date(hi.year, 12, 31)
 
 
 def order_trip_parts(trips: DataFrame) -> DataFrame:
