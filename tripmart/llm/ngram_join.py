@@ -316,8 +316,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .where("copies > 1"), "classes")
     member = saved(some.join(alike, digest).where("doc_id <> rep")
                    .select("doc_id", *digest, "rep").distinct(), "members")
-    reps = prof.where("n > 0 and doc_id is not null").join(
-        member.select("doc_id", *digest), ["doc_id", *digest], "left_anti")
+    apart, near = maybe_in(prof.where("n > 0 and doc_id is not null").select("doc_id", *digest, "cells"),
+                           F.col("doc_id"), member.select("doc_id"))
+    reps = apart.union(near.join(member.select("doc_id", *digest), ["doc_id", *digest], "left_anti")
+                       .select(*apart.columns))
     cells = saved(shared_keys(reps.select("doc_id", "cells")), "cells")
 
     # Small cells: all pairs. Large ones: every member against the smallest.
