@@ -221,6 +221,7 @@ def _entries(batches):
         first = np.flatnonzero(new)
         size = np.diff(np.append(first, len(key)))
         pivot = np.repeat(doc[first], size)
+        pivot[first] = 0  # not read; a constant packs better
         members = np.zeros(len(key), np.int32)
         members[first] = size
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, pivot, members)],
