@@ -236,21 +236,20 @@ def _points(counts: list[bytes]) -> np.ndarray:
 
 def _tree_pairs(num: int, den: int):
     """Over rows ``(key, lo, hi, block, doc, label, n, counts, keys)`` sorted by
-    cell: pairs of different labels that pass the bound. A pair that shares
-    several cells (``keys``, sorted) comes from the first one only."""
+    cell: pairs of different labels that pass the bound. ``keys`` are the
+    document's cells before this one, so a pair comes from its first cell only."""
     def of(cell: pa.Table) -> list[tuple[int, int]]:
         doc, label, block, n = (cell[c].to_numpy() for c in ("doc", "label", "block", "n"))
         if (label == label[0]).all():
             return []
         points, keys = _points(cell["counts"].to_pylist()), cell["keys"].combine_chunks()
         own = [frozenset(x) for x in keys.to_pylist()]
-        here = cell["key"][0].as_py()
         tree, apart, out = RTree(points, n), cell["lo"][0].as_py() != cell["hi"][0].as_py(), []
         for i in range(len(doc)):
             j = tree.search(points[i], int(n[i]), num, den)
             j = j[(doc[j] > doc[i]) & (label[j] != label[i])]
             for k in j[block[j] != block[i]] if apart else j:
-                if min(own[i] & own[k]) == here:
+                if own[i].isdisjoint(own[k]):
                     out.append((int(doc[i]), int(doc[k])))
         return out
 
@@ -352,13 +351,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .where("x <> y").select("key", "s"), "open")
     opened = saved(named.join(open_, "key"), "opened")
     about = points.withColumnRenamed("doc_id", "doc").join(
-        opened.groupBy("doc").agg(F.array_sort(F.collect_set("key")).alias("keys")), "doc")
+        opened.groupBy("doc").agg(F.collect_set("key").alias("keys")), "doc")
     dealt = (opened.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
              .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                      "block", "doc", "label"))
     across = saved(dealt.join(saved(about, "about"), "doc")
-                   .select("key", "lo", "hi", "block", "doc", "label", "n", "counts", "keys")
+                   .select("key", "lo", "hi", "block", "doc", "label", "n", "counts",
+                           F.filter("keys", lambda k: k < F.col("key")).alias("keys"))
                    .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
                    .mapInArrow(_tree_pairs(num, den), "a long, b long")
                    .distinct().join(pairs, ["a", "b"], "left_anti"), "across")
