@@ -118,6 +118,17 @@ def test_r_tree_finds_all_that_the_bound_allows():
         assert sorted(tree.search(points[i], int(n[i]), 85, 100)) == want.tolist()
 
 
+@pytest.mark.parametrize("repeat", [1, 40, 400])
+def test_points_keep_their_counts(repeat):
+    """Half-byte, one-byte and too large counts."""
+    s = np.unique(np.random.default_rng(repeat).integers(0, 1 << 62, 500).astype(np.uint64))
+    s = np.concatenate([s, np.arange(repeat, dtype=np.uint64) << np.uint64(20)])
+    groups = 1 << max(5, (len(s) // 3).bit_length() - 1)
+    want = np.bincount((s % np.uint64(groups)).astype(np.int64), minlength=groups)
+    got = ngram_join._counts(ngram_join._coarse(s))
+    assert got.tolist() == (want.tolist() if want.max() < 256 else [])
+
+
 def test_ngram_join_edge_rows(spark, empty):
     rows = [(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (3, "A  B\nc d"), (4, None), (5, ""), (6, "z")]
     got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")

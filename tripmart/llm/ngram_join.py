@@ -93,14 +93,23 @@ def _cell_keys(s: np.ndarray, num: int, den: int, edges: dict) -> np.ndarray:
 
 
 def _coarse(s: np.ndarray) -> bytes:
-    """The set's point for comparing two documents: one-byte counts of about a
-    quarter as many groups as shingles, a power of two. Empty if a count is too
-    large, which stands for a point that overlaps with anything."""
+    """The set's point for comparing two documents: counts of about a quarter as
+    many groups as shingles, a power of two. Two counts share a byte if all are
+    below 16 (an odd length marks it), else each has its own. Empty if a count is
+    too large for that, which stands for a point that overlaps with anything."""
     groups = 1 << max(5, (len(s) // 3).bit_length() - 1)
     c = np.bincount((s % U(groups)).astype(np.int64), minlength=groups)
+    if c.max() < 16:
+        return (c[::2] | c[1::2] << 4).astype(np.uint8).tobytes() + b"\0"
     return c.astype(np.uint8).tobytes() if c.max() < 256 else b""
 
 
+def _counts(point: bytes) -> np.ndarray:
+    """The counts of a point."""
+    c = np.frombuffer(point, np.uint8)
+    return np.stack([c[:-1] & 15, c[:-1] >> 4], 1).ravel() if len(c) % 2 else c
+
+
 def _sets(batch: pa.RecordBatch, text_col: int, k: int) -> Iterator[np.ndarray]:
     for t in texts(batch.column(text_col), lower=True):
         h, doc = shingle_hashes(t, k)
@@ -207,7 +216,7 @@ def _bounded(num: int, den: int):
     def reach(x: bytes, y: bytes, n: int) -> int:
         if not x or not y:
             return n
-        x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+        x, y = _counts(x), _counts(y)
         if len(x) > len(y):
             x, y = y, x
         if len(x) < len(y):  # groups of the longer one that fall into one of the shorter
@@ -226,11 +235,12 @@ def _bounded(num: int, den: int):
 
 def _points(counts: list[bytes]) -> np.ndarray:
     """Coarse points as rows of one width, that of the shortest."""
-    width = min((len(c) for c in counts if c), default=32)
+    each = [_counts(c) for c in counts]
+    width = min((len(c) for c in each if len(c)), default=32)
     out = np.full((len(counts), width), 65535, np.uint16)
-    for i, c in enumerate(counts):
-        if c:
-            out[i] = np.frombuffer(c, np.uint8).reshape(-1, width).sum(0, dtype=np.uint16)
+    for i, c in enumerate(each):
+        if len(c):
+            out[i] = c.reshape(-1, width).sum(0, dtype=np.uint16)
     return out
 
 
