@@ -266,18 +266,15 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keep = [c for c in docs.columns if c not in (text_col, "cut_words")]
     on = (F.col(id_col).cast("long") == F.col("_doc")) & (_tag(text) == F.col("_tag"))
     apart, near = maybe_in(docs, F.col(id_col), spans.select("_doc"))
-    rows = near.join(spans, on, "left").select(
-        text.alias("_old"), F.col("cut.start_word").alias("_start"), F.col("cut.n_words").alias("_n"),
-        F.col(text_col).cast("string").alias("_was"), *keep)
-    plain = rows.where("_n is null").select(
-        *keep, F.col("_was").alias(text_col), F.lit(0).cast("long").alias("cut_words"))
-    touched = rows.where("_n is not null").select(
-        "_old", "_start", "_n", F.aggregate("_n", F.lit(0).cast("long"), lambda x, y: x + y).alias("_cut"), *keep)
-    kinds = ", ".join(["_text string", "_cut long",
+    cut = F.aggregate("_n", F.lit(0).cast("long"), lambda x, y: x + y)
+    rows = near.join(spans, on, "left").withColumns({"_start": F.col("cut.start_word"), "_n": F.col("cut.n_words")}).select(
+        text.alias("_old"), "_start", "_n", F.coalesce(cut, F.lit(0).cast("long")).alias("_cut"),
+        F.col(text_col).isNull().alias("_none"), *keep)
+    kinds = ", ".join(["_text string", "_cut long", "_none boolean",
                        *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)])
-    new = touched.mapInArrow(_without, kinds).select(
-        *keep, F.col("_text").alias(text_col), F.col("_cut").alias("cut_words"))
+    new = rows.mapInArrow(_without, kinds).select(
+        *keep, F.when(~F.col("_none"), F.col("_text")).alias(text_col), F.col("_cut").alias("cut_words"))
     order = [*docs.columns, "cut_words"] if "cut_words" not in docs.columns else docs.columns
     apart = apart.select(*keep, F.col(text_col).cast("string").alias(text_col),
                          F.lit(0).cast("long").alias("cut_words"))
-    return apart.union(plain).union(new).select(*order)
+    return apart.union(new).select(*order)
