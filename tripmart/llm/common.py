@@ -24,6 +24,10 @@ from ..session import shared_path
 U = np.uint64
 # Bytes of text handled at once: bounds the temporary arrays of a task.
 CHUNK_BYTES = 1 << 19
+# Bytes of an Arrow batch, on the JVM's side and in Python.
+BATCH_BYTES = 1 << 22
+# Rows of lists whose keys are combined before the shuffle.
+COMBINED_ROWS = 5000
 # Largest bitmap of ids that is broadcast, in bits (16 MiB).
 BITMAP_BITS = 1 << 27
 
@@ -158,8 +162,14 @@ def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType = pa.int64()
 
 
 def mapped(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` whose tasks return the memory of their arrays when they
-    end, so that workers that wait for the next task stay small."""
+    """``mapInArrow`` in bounded memory: tasks return the memory of their arrays
+    when they end, so that workers that wait for the next task stay small, and
+    batches hold ``BATCH_BYTES`` or one row (unless the session sets a bound of
+    its own, other than Spark's 64 MiB)."""
+    conf, bound = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(bound).lower() in ("67108864b", "67108864", "64m", "64mb"):
+        conf.set(bound, str(BATCH_BYTES))
+
     def tidy(batches):
         yield from run(batches)
         pa.default_memory_pool().release_unused()
@@ -203,11 +213,27 @@ def maybe_in(rows: DataFrame, key: Column, ids: DataFrame) -> tuple[DataFrame, D
     return some.where("not _maybe").select(*own), some.where("_maybe").select(*own)
 
 
+def _gathered(batches, rows: int):
+    """Batches of ``rows`` rows, the last one of fewer."""
+    held, n = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            held.append(batch.slice(0, rows - n))
+            n += held[-1].num_rows
+            batch = batch.slice(held[-1].num_rows)
+            if n == rows:
+                yield pa.concat_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _entries(batches):
-    """Rows ``(key, doc, pivot, members)`` of a batch's keys, combined: the
-    smallest document per key goes on with the number of its members, the others
-    name it as pivot (members 0) and need not meet the key's other rows."""
-    for batch in (b.slice(i, 5000) for b in batches for i in range(0, b.num_rows, 5000)):
+    """Rows ``(key, doc, pivot, members)`` of the keys of ``COMBINED_ROWS`` rows,
+    combined: the smallest document per key goes on with the number of its
+    members, the others name it as pivot (members 0) and need not meet the key's
+    other rows."""
+    for batch in _gathered(batches, COMBINED_ROWS):
         order = np.argsort(batch.column(0).to_numpy(zero_copy_only=False), kind="stable")
         batch = batch.take(pa.array(order))
         col = batch.column(1)

@@ -340,8 +340,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .repartition("key").sortWithinPartitions("key", "doc"), _leaf_pairs, "a long, b long")
     points = prof.where("n > 0 and doc_id is not null").select("doc_id", "n", "counts")
     end = lambda c: points.toDF(c, f"n_{c}", f"counts_{c}")
-    pairs = saved(star.union(met).distinct().join(end("a"), "a").join(end("b"), "b")
-                  .mapInArrow(_bounded(num, den), "a long, b long").distinct(), "pairs")
+    pairs = saved(mapped(star.union(met).distinct().join(end("a"), "a").join(end("b"), "b"),
+                         _bounded(num, den), "a long, b long").distinct(), "pairs")
     wide = saved(cells.join(large, "key", "left_semi").select("key", "doc").distinct(), "wide")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -366,12 +366,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
              .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                      "block", "doc", "label"))
-    across = saved(dealt.join(saved(about, "about"), "doc")
-                   .select("key", "lo", "hi", "block", "doc", "label", "n", "counts",
-                           F.filter("keys", lambda k: k < F.col("key")).alias("keys"))
-                   .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-                   .mapInArrow(_tree_pairs(num, den), "a long, b long")
-                   .distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    cellwise = (dealt.join(saved(about, "about"), "doc")
+                .select("key", "lo", "hi", "block", "doc", "label", "n", "counts",
+                        F.filter("keys", lambda k: k < F.col("key")).alias("keys"))
+                .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
+    across = saved(mapped(cellwise, _tree_pairs(num, den), "a long, b long").distinct()
+                   .join(pairs, ["a", "b"], "left_anti"), "across")
     more = linked(across)
     name = label.select(F.col("node").alias("doc"), "label")
     up = lambda c: F.coalesce(F.col(f"{c}_label"), F.col(c)).alias(c)

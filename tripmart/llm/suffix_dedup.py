@@ -28,6 +28,7 @@ from .common import U, Text, byte_hash, lists, mapped, maybe_in, prefix, run_has
 
 LENGTH = 50
 K = 20
+COMBINED = 1 << 19   # windows that are combined before the shuffle
 _PLACE = 32   # bits of a place for the word number; above it 23 bits of the text's hash
 
 
@@ -79,12 +80,13 @@ def _anchors(batches):
 
 def _extended(batches):
     """From ``(doc_id, tag, text, keys)`` the windows ``(key, doc, place, members)``
-    around the suffixes in ``keys``. Equal windows of a batch are combined: the
-    first goes on with their number, the others (members 0) are known to be
-    later occurrences."""
+    around the suffixes in ``keys``. Equal ones of ``COMBINED`` windows and more
+    in a row are combined: the first goes on with their number, the others
+    (members 0) are known to be later occurrences."""
+    parts, n = [], 0
     for batch in batches:
         docs, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        wanted, parts = batch.column(3), []
+        wanted = batch.column(3)
         for t in texts(batch.column(2)):
             word, doc, h, gram, _ = _windows(t)
             at = t.bounds(doc)
@@ -94,17 +96,25 @@ def _extended(batches):
                 keep[at[d]:at[d + 1]] = np.isin(gram[at[d]:at[d + 1]], some)
             row = t.first + doc[keep]
             parts.append((h[keep].view(np.int64), docs[row], (tags[row] << _PLACE) + word[keep]))
-        key, doc, place = (np.concatenate(x) if parts else np.empty(0, np.int64) for x in zip(*parts)) \
-            if parts else (np.empty(0, np.int64),) * 3
-        by = np.lexsort((place, doc, key))
-        key, doc, place = key[by], doc[by], place[by]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        first = np.flatnonzero(new)
-        members = np.zeros(len(key), np.int32)
-        members[first] = np.diff(np.append(first, len(key)))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, place, members)],
-                                         ["key", "doc", "place", "members"])
+            n += len(row)
+            if n >= COMBINED:
+                yield _combined(parts)
+                parts, n = [], 0
+    if parts:
+        yield _combined(parts)
+
+
+def _combined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    key, doc, place = (np.concatenate(x) for x in zip(*parts))
+    by = np.lexsort((place, doc, key))
+    key, doc, place = key[by], doc[by], place[by]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    members = np.zeros(len(key), np.int32)
+    members[first] = np.diff(np.append(first, len(key)))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, place, members)],
+                                      ["key", "doc", "place", "members"])
 
 
 def _neighbours(batches):
@@ -236,8 +246,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                   .dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "keys"),
                   _extended, "key long, doc long, place long, members int")
     to = F.when(F.col("members") == 0, F.xxhash64("key", "doc", "place")).otherwise(F.col("key"))
-    found = (wide.repartition(to).sortWithinPartitions("key", "doc", "place")
-             .mapInArrow(_neighbours, "doc long, place long, first boolean"))
+    found = mapped(wide.repartition(to).sortWithinPartitions("key", "doc", "place"), _neighbours,
+                   "doc long, place long, first boolean")
     word = F.col("place").bitwiseAND((1 << _PLACE) - 1)
     per_doc = saved(found.groupBy("doc", F.shiftright("place", _PLACE).alias("tag")).agg(
         F.collect_list(F.when(~F.col("first"), word)).alias("later"),
@@ -249,8 +259,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                       F.col("rep").isNotNull().alias("copied"), "later", "first"))
     spans = F.transform(F.arrays_zip("start", "words", "kept"), lambda z: F.struct(
         z["start"].alias("start_word"), z["words"].alias("n_words"), z["kept"].alias("kept")))
-    return saved(marked.mapInArrow(
-        _spans, "doc long, tag long, start array<long>, words array<long>, kept array<boolean>")
+    return saved(mapped(
+        marked, _spans, "doc long, tag long, start array<long>, words array<long>, kept array<boolean>")
         .select(F.col("doc").alias("doc_id"), "tag", spans.alias("spans")), "spans")
 
 
@@ -272,7 +282,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(text_col).isNull().alias("_none"), *keep)
     kinds = ", ".join(["_text string", "_cut long", "_none boolean",
                        *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)])
-    new = rows.mapInArrow(_without, kinds).select(
+    new = mapped(rows, _without, kinds).select(
         *keep, F.when(~F.col("_none"), F.col("_text")).alias(text_col), F.col("_cut").alias("cut_words"))
     order = [*docs.columns, "cut_words"] if "cut_words" not in docs.columns else docs.columns
     apart = apart.select(*keep, F.col(text_col).cast("string").alias(text_col),
