@@ -244,16 +244,17 @@ def _points(counts: list[bytes]) -> np.ndarray:
     return out
 
 
-def _tree_pairs(num: int, den: int):
-    """Over rows ``(key, lo, hi, block, doc, label, n, counts, keys)`` sorted by
-    cell: pairs of different labels that pass the bound. ``keys`` are the
-    document's cells before this one, so a pair comes from its first cell only."""
+def _tree_pairs(num: int, den: int, width: int):
+    """Over rows ``(cell, lo, hi, block, doc, label, n, counts, before)`` sorted by
+    cell: pairs of different labels that pass the bound. ``before`` holds the
+    numbers of the document's cells before this one, ``width`` bytes each, so a
+    pair comes from its first cell only."""
     def of(cell: pa.Table) -> list[tuple[int, int]]:
         doc, label, block, n = (cell[c].to_numpy() for c in ("doc", "label", "block", "n"))
         if (label == label[0]).all():
             return []
-        points, keys = _points(cell["counts"].to_pylist()), cell["keys"].combine_chunks()
-        own = [frozenset(x) for x in keys.to_pylist()]
+        points = _points(cell["counts"].to_pylist())
+        own = [frozenset(x[i:i + width] for i in range(0, len(x), width)) for x in cell["before"].to_pylist()]
         tree, apart, out = RTree(points, n), cell["lo"][0].as_py() != cell["hi"][0].as_py(), []
         for i in range(len(doc)):
             j = tree.search(points[i], int(n[i]), num, den)
@@ -271,7 +272,7 @@ def _tree_pairs(num: int, den: int):
                 table = pa.concat_tables([held, table]) if table is not None else held
             if table is None or not table.num_rows:
                 continue
-            ids = [table[c].to_numpy() for c in ("key", "lo", "hi")]
+            ids = [table[c].to_numpy() for c in ("cell", "lo", "hi")]
             new = np.ones(table.num_rows, bool)
             new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in ids])
             at = np.append(np.flatnonzero(new), table.num_rows)
@@ -358,19 +359,26 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .select("key", "doc", F.coalesce("label", "doc").alias("label")), "named")
     open_ = saved(named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
                                            F.ceil(F.count("*") / CELL_ROWS).cast("long").alias("s"))
-                  .where("x <> y").select("key", "s"), "open")
-    opened = saved(named.join(open_, "key"), "opened")
+                  .where("x <> y").select("key", "s", F.monotonically_increasing_id().alias("cell")), "open")
+    # Short numbers for them, as long lists of them travel: place * tasks + task.
+    task, place = F.shiftright("cell", 33), F.col("cell").bitwiseAND((1 << 33) - 1)
+    tasks = (open_.agg(F.max(task)).first()[0] or 0) + 1
+    open_ = open_.withColumn("cell", place * tasks + task)
+    opened = saved(named.join(open_, "key").drop("key"), "opened")
+    width = max(1, (open_.agg(F.max("cell")).first()[0] or 0).bit_length() + 7 >> 3)
+    number = lambda c: F.lpad(F.hex(c), 2 * width, "0")
     about = points.withColumnRenamed("doc_id", "doc").join(
-        opened.groupBy("doc").agg(F.collect_set("key").alias("keys")), "doc")
+        opened.groupBy("doc").agg(F.collect_set("cell").alias("cells")), "doc")
     dealt = (opened.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
-             .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+             .select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                      "block", "doc", "label"))
+    before = F.transform(F.filter("cells", lambda c: c < F.col("cell")), number)
     cellwise = (dealt.join(saved(about, "about"), "doc")
-                .select("key", "lo", "hi", "block", "doc", "label", "n", "counts",
-                        F.filter("keys", lambda k: k < F.col("key")).alias("keys"))
-                .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
-    across = saved(mapped(cellwise, _tree_pairs(num, den), "a long, b long").distinct()
+                .select("cell", "lo", "hi", "block", "doc", "label", "n", "counts",
+                        F.unhex(F.array_join(before, "")).alias("before"))
+                .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi"))
+    across = saved(mapped(cellwise, _tree_pairs(num, den, width), "a long, b long").distinct()
                    .join(pairs, ["a", "b"], "left_anti"), "across")
     more = linked(across)
     name = label.select(F.col("node").alias("doc"), "label")
