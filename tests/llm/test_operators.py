@@ -2,6 +2,7 @@
 nulls, empty and very long texts, ties, repeated rows, empty tables and extra
 columns with clashing names."""
 
+import base64
 import hashlib
 import random
 import re
@@ -311,6 +312,85 @@ def test_archive_round_trip(spark):
     assert warc.archive(df.limit(0)).count() == 0
 
 
+def foreign(kind, block, *more, version="1.0", length="Content-Length"):
+    """A record as another writer makes it: no header of this module's own."""
+    lines = [f"WARC/{version}", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>",
+             "WARC-Date: 2024-01-01T00:00:00Z", *more, f"{length}: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def foreign_records():
+    sha1 = lambda x: base64.b32encode(hashlib.sha1(x).digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n"
+    chunks = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n"
+    ask = b"GET / HTTP/1.1\r\nHost: h\r\n\r\n"
+    page = "Content-Type: application/http;msgtype=response"
+    return [
+        (foreign("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"),
+         ("warcinfo", None, b"software: x\r\n", None)),
+        (foreign("request", ask, "warc-target-uri:http://h/", "Content-Type: application/http;msgtype=request"),
+         ("request", None, ask, "http://h/")),
+        (foreign("response", http + b"one", "WARC-Target-URI: http://h/1 ", page,
+                 f"WARC-Payload-Digest: sha1:{sha1(b'one')}", f"WARC-Block-Digest: sha1:{sha1(http + b'one')}"),
+         ("response", f"sha1:{sha1(b'one')}", b"one", "http://h/1")),
+        (foreign("response", http + b"two", page, length="CONTENT-LENGTH", version="1.1"),
+         ("response", None, b"two", None)),
+        (foreign("response", http + b"three", page,
+                 f"WARC-Payload-Digest: SHA-256:{hashlib.sha256(b'three').hexdigest().upper()}"),
+         ("response", hashlib.sha256(b"three").hexdigest(), b"three", None)),
+        (foreign("response", http + b"four", page, "WARC-Payload-Digest: whirlpool:00"),
+         ("response", "whirlpool:00", b"four", None)),
+        (foreign("response", chunks, page, f"WARC-Payload-Digest: sha1:{sha1(b'abc')}"),
+         ("response", f"sha1:{sha1(b'abc')}", chunks[chunks.index(b"3\r\n"):], None)),
+        (foreign("response", b"20240101 h. 1 A", "Content-Type: text/dns", "WARC-Target-URI: dns:h"),
+         ("response", None, b"20240101 h. 1 A", "dns:h")),
+        (foreign("revisit", http, "WARC-Target-URI: http://h/", "\t5", f"WARC-Payload-Digest: sha1:{sha1(b'one')}"),
+         ("revisit", f"sha1:{sha1(b'one')}", None, "http://h/ 5")),
+        (foreign("metadata", b""), ("metadata", None, b"", None)),
+        (foreign("resource", b"WARC/1.0\r\n\r\n"), ("resource", None, b"WARC/1.0\r\n\r\n", None))]
+
+
+def seen(got):
+    return [(r["record_type"], r["payload_digest"], r["payload"], r["url"]) for _, _, r in got if r]
+
+
+@pytest.mark.parametrize("how", ["plain", "each", "pairs", "whole"])
+def test_salvage_reads_foreign_archives(how):
+    raw, want = zip(*foreign_records())
+    step = {"plain": 1, "each": 1, "pairs": 2, "whole": len(raw)}[how]
+    parts = [b"".join(raw[i:i + step]) for i in range(0, len(raw), step)]
+    data = b"".join(parts if how == "plain" else map(warc.member, parts))
+    got = list(warc.salvage(data))
+    assert seen(got) == list(want) and all(r for _, _, r in got)
+    spans = [(a, b) for a, b, _ in got]
+    assert spans[0][0] == 0 and spans[-1][1] == len(data) and all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_salvage_quarantines_damage_in_foreign_archives():
+    raw, want = zip(*foreign_records())
+    bad = [raw[2].replace(b"one\r\n", b"0ne\r\n"), raw[4].replace(b"three", b"thr33"),
+           raw[9].replace(b"Content-Length: 0", b"Content-Length: 7"), raw[9].replace(b"WARC-Type", b"WARC Type"),
+           raw[0].replace(b"WARC/1.0", b"WARC/9.0"), raw[9].replace(b"Content-Length: 0\r\n", b"")]
+    for b in bad:
+        data = raw[0] + b + raw[3]
+        assert seen(warc.salvage(data)) == [want[0], want[3]]
+        assert [x[:2] for x in warc.salvage(data) if x[2] is None] == [(len(raw[0]), len(raw[0]) + len(b))]
+        packed = warc.member(data)  # one member holds valid records and damage
+        assert seen(warc.salvage(packed)) == [want[0], want[3]]
+        assert [x[:2] for x in warc.salvage(packed) if x[2] is None] == [(0, len(packed))]
+
+
+def test_read_warc_of_a_foreign_folder(spark, tmp_path):
+    raw, want = zip(*foreign_records())
+    (tmp_path / "a.warc").write_bytes(b"".join(raw))
+    (tmp_path / "b.warc.gz").write_bytes(warc.member(b"".join(raw[:5])) + b"junk" + warc.member(raw[5]))
+    rows = warc.read_warc(spark, str(tmp_path)).collect()
+    got = Counter((r.record_type, r.payload_digest, r.payload and bytes(r.payload), r.url) for r in rows
+                  if r.record_type)
+    assert got == Counter(w if w[2] else (*w[:2], w[2], w[3]) for w in [*want, *want[:6]])
+    assert [r.gap_end - r.gap_start for r in rows if r.record_type is None] == [4]
+
+
 # 7. Chat
 
 def test_chat_round_trip(spark):

@@ -1,14 +1,17 @@
 """Web archives: a writer of WARC files and a salvage reader.
 
-Each record is a gzip member of its own. The reader checks every record: the
-member's checksum, the version line, the headers, the length, the payload
-digest. When a check fails it searches for the next valid member, or the next
+The writer makes each record a gzip member of its own. The reader takes archives
+of any writer: all record types, header names in any case, members of one or
+several records. It checks every record: the member's checksum, the version line,
+the headers, the length, and block and payload digests that are there in a known
+algorithm. When a check fails it searches for the next valid member, or the next
 version line in a file that is not compressed, goes on there, and logs the bytes
 in between as a quarantined gap.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -25,10 +28,13 @@ from .common import saved
 FILE_BYTES = 16 << 20      # a file of the writer is closed beyond this
 MIN_REVISIT = 100          # bytes of a payload that is worth a revisit record
 GZIP = b"\x1f\x8b\x08"
-VERSION = b"WARC/1."
+VERSION = b"WARC/"
 _STEP = 16 << 10            # bytes given to the decompressor at once
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+_LINE = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r\n")
+_NAME = re.compile(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+")
+_CHUNK = re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r\n")
+_HASHES = {"md5", "sha1", "sha224", "sha256", "sha384", "sha512"}
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -37,8 +43,8 @@ def _uri(page: int | None) -> str:
 
 
 def _page(uri: str) -> int | None:
-    m = re.fullmatch(r"<urn:page:(-?\d+)>", uri)
-    return int(m[1]) if m else None
+    m = re.fullmatch(r"<urn:page:(-?\d+)>", uri, re.ASCII)
+    return int(m[1]) if m and -1 << 63 <= int(m[1]) < 1 << 63 else None
 
 
 def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -59,32 +65,123 @@ def member(raw: bytes) -> bytes:
     return c.compress(raw) + c.flush()
 
 
+def _headers(data: bytes) -> dict | None:
+    """Header values by lower-case name, without the one space that follows the
+    colon; None if a line is no header."""
+    head: dict = {}
+    name = None
+    for line in data.decode().split("\r\n"):
+        if line[:1] in (" ", "\t") and name:  # goes on with the line before
+            head[name] += " " + line.strip(" \t")
+            continue
+        name, colon, value = line.partition(":")
+        if not colon or not _NAME.fullmatch(name):
+            return None
+        name = name.lower()
+        head[name] = value.removeprefix(" ")
+    return head
+
+
+def _digest(stated: str) -> tuple[str, str]:
+    """Algorithm, if it is a known one, and value of a digest header."""
+    kind, _, value = stated.strip(" \t").partition(":")
+    kind = kind.lower().replace("-", "")
+    return (kind, value) if kind in _HASHES else ("", "")
+
+
+def _agrees(stated: str, *contents: bytes) -> bool:
+    """Is the digest that of one of ``contents``? Values are in base 16, 32 or 64;
+    one of an unknown algorithm is not checked."""
+    kind, value = _digest(stated)
+    for content in contents if kind else ():
+        own = hashlib.new(kind, content).digest()
+        if (value.lower() == own.hex() or value.upper().rstrip("=") == base64.b32encode(own).decode().rstrip("=")
+                or value.rstrip("=") == base64.b64encode(own).decode().rstrip("=")):
+            return True
+    return not kind
+
+
+def _dechunked(body: bytes) -> bytes | None:
+    """The content of a body in HTTP chunks; None if it is not whole."""
+    out, at = [], 0
+    while m := _CHUNK.match(body, at):
+        size, at = int(m[1], 16), m.end()
+        if not size:
+            return b"".join(out)
+        if body[at + size:at + size + 2] != b"\r\n":
+            return None
+        out.append(body[at:at + size])
+        at += size + 2
+    return None
+
+
 def parse(data: bytes, at: int = 0) -> tuple[dict, int] | None:
-    """The record that begins at ``at`` and where it ends; None if any check fails."""
+    """The record that begins at ``at`` and where it ends; None if any check fails.
+
+    The payload of a response is the body of its HTTP message, that of any other
+    type its block; a revisit has none. ``payload_digest`` is a SHA-256 in
+    lower-case hex, any other as stated; null if there is none, as is
+    ``payload_bytes`` of a revisit that does not tell it."""
     m = _LINE.match(data, at)
     end = data.find(b"\r\n\r\n", at) if m else -1
     if end < 0:
         return None
     try:
-        head = dict(line.split(": ", 1) for line in data[m.end():end].decode().split("\r\n"))
-        size = int(head["Content-Length"])
-        kind, digest = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha256:")
-        length = int(head["X-Payload-Length"])
-    except (ValueError, KeyError):
+        head = _headers(data[m.end():end])
+        kind = head["warc-type"].strip(" \t").lower()
+        size = head["content-length"].strip(" \t")
+        length = int(head["x-payload-length"]) if "x-payload-length" in head else None
+    except (ValueError, KeyError, TypeError):
+        return None
+    if not kind or not re.fullmatch("[0-9]{1,18}", size) or not 0 <= (length or 0) < 1 << 63:
         return None
+    size = int(size)
     block, after = data[end + 4:end + 4 + size], end + 4 + size
-    if size < 0 or len(block) < size or data[after:after + 4] != b"\r\n\r\n":
+    if len(block) < size or data[after:after + 4] != b"\r\n\r\n":
         return None
-    http = block.find(b"\r\n\r\n")
-    payload = block[http + 4:]
-    if kind == "response":
-        if http < 0 or len(payload) != length or hashlib.sha256(payload).hexdigest() != digest:
+    http = block.find(b"\r\n\r\n") if block.startswith(b"HTTP/") or "http" in head.get("content-type", "").lower() \
+        else -1
+    body = block[http + 4:] if http >= 0 else block
+    payload = None if kind == "revisit" else body if kind == "response" else block
+    stated = head.get("warc-payload-digest")
+    # A revisit states the digest of the record it refers to, a segment may state that of the whole.
+    if stated is not None and kind != "revisit" and "warc-segment-number" not in head:
+        chunked = _dechunked(body) if b"chunked" in block[:max(http, 0)].lower() else None
+        if not _agrees(stated, body, *([] if chunked is None else [chunked])):
             return None
-    elif kind != "revisit":
+    if "warc-block-digest" in head and not _agrees(head["warc-block-digest"], block):
         return None
-    return {"page_id": _page(head.get("WARC-Record-ID", "")), "record_type": kind, "payload_digest": digest,
-            "payload_bytes": length, "refers_to": _page(head.get("WARC-Refers-To", "")),
-            "url": head.get("WARC-Target-URI"), "payload": payload if kind == "response" else None}, after + 4
+    if kind == "response" and length not in (None, len(body)):
+        return None
+    if stated is not None:
+        name, value = _digest(stated)
+        stated = stated.strip(" \t")
+        if name == "sha256":
+            stated = value.lower() if len(value) == 64 else stated
+            if len(value.rstrip("=")) == 52:
+                stated = base64.b32decode(value.upper().rstrip("=") + "====").hex()
+    url = head.get("warc-target-uri")
+    return {"page_id": _page(head.get("warc-record-id", "").strip(" \t")), "record_type": kind,
+            "payload_digest": stated,
+            "payload_bytes": length if length is not None or payload is None else len(payload),
+            "refers_to": _page(head.get("warc-refers-to", "").strip(" \t")),
+            # This module's own urls may begin or end with blanks.
+            "url": url if url is None or length is not None else url.strip(" \t"), "payload": payload}, after + 4
+
+
+def _records(raw: bytes) -> tuple[list[dict], bool]:
+    """All valid records of an inflated member, and whether they are all of it."""
+    out, at, whole = [], 0, True
+    while at < len(raw):
+        one = parse(raw, at)
+        if one:
+            out.append(one[0])
+            at = one[1]
+            continue
+        whole, at = False, raw.find(VERSION, at + 1)
+        if at < 0:
+            break
+    return out, whole
 
 
 def _inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
@@ -102,23 +199,31 @@ def _inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None]]:
     """``(start, end, record)`` over a whole file; a gap has no record. Every
-    byte is in exactly one of them."""
+    byte is in exactly one of them: of several records of a gzip member the first
+    has the member's bytes, the others none of their own. A member that inflates
+    but holds more than its valid records is a gap, followed by those records."""
     at, gap = 0, None
     while at < len(data):
-        found = None
+        found, whole, end = [], True, at
         if data.startswith(GZIP, at):
             got = _inflate(data, at)
-            one = parse(got[0]) if got else None
-            if one and one[1] == len(got[0]):
-                found = one[0], got[1]
+            if got:
+                found, whole = _records(got[0])
+                end = got[1]
         elif data.startswith(VERSION, at):
-            found = parse(data, at)
+            one = parse(data, at)
+            if one:
+                found, end = [one[0]], one[1]
         if found:
-            if gap is not None:
+            if not whole:
+                yield at if gap is None else gap, end, None
+                at = end
+            elif gap is not None:
                 yield gap, at, None
-                gap = None
-            yield at, found[1], found[0]
-            at = found[1]
+            gap = None
+            for record_ in found:
+                yield at, end, record_
+                at = end
             continue
         gap = at if gap is None else gap
         after = [x for x in (data.find(GZIP, at + 1), data.find(VERSION, at + 1)) if x >= 0]
