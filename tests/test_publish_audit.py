@@ -23,7 +23,7 @@ from tripmart.session import shared_path
 from tripmart.sources.adapters import event_trips
 from tripmart.sources.landing import landing_status, manifest_from_paths
 
-from .conftest import SF01
+from .conftest import SF001, SF01
 
 P = Period("2024", "01")
 
@@ -250,3 +250,14 @@ def test_export_month_csv_takes_only_its_month(spark):
     assert path.endswith("/Fact/green/1997/11")
     assert back.count() == f.filter("data_year = '1997' and data_month = '11'").count() > 0
     assert back.filter("data_month <> '11'").count() == 0
+
+
+def test_warehouse_month_load_sees_stale_tables(spark, monkeypatch):
+    """A load that leaves an emptied month as it was turns the query red."""
+    from tripmart import jobs
+    from tripmart.plans import registry
+    n = registry.q_warehouse_month_load(spark, SF001).count()
+    assert n == registry.e_fact(spark, SF001, "yellow").count() > 0
+    monkeypatch.setattr(jobs, "load_month", lambda df, path, period: load_month(df, path))
+    with pytest.raises(RuntimeError, match="landed last"):
+        registry.q_warehouse_month_load(spark, SF001)

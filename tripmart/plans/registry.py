@@ -29,7 +29,7 @@ from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
 from ..sources.adapters import base_lookup, event_trips, landing_manifest, table, zone_lookup
-from ..sources.feeds import feed_path
+from ..sources.feeds import feed_path, read_feed
 from ..sources.landing import landing_status, missing_feeds
 from ..streaming.month_loader import start_month_loader
 from . import oracle as O
@@ -271,17 +271,28 @@ def q_conform_rejects(spark, sf):
     return to_plain(rejects)
 
 
+def _stamp(df):
+    """Number of rows and an order-free hash of them."""
+    each = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
+    return tuple(df.agg(F.count("*"), F.sum(each)).first())
+
+
 def q_warehouse_month_load(spark, sf):
-    """A raw month lands twice over (every row doubled) and is loaded, then
-    lands again as it is and is loaded again: fact and rejects must be those of
-    the second landing alone."""
+    """A raw month lands with every row doubled, then with amounts that no
+    decimal holds (rejects only), then as it is, and is loaded each time. After
+    each load both tables must be those of that landing alone, else the query
+    fails; the rows are the fact after the last one."""
     root, wh = shared_path(spark, "landing", "month"), shared_path(spark, "warehouse", "month")
-    raw = event_trips(spark, sf, "yellow")
-    for version in (raw.union(raw), raw):
+    raw, dims = event_trips(spark, sf, "yellow"), e_dims(spark, sf)
+    for version in (raw.union(raw), raw.withColumn("total_amount", F.lit(1e12)), raw):
         write_table(version, feed_path(root, "yellow", E_PERIOD), "parquet")
-        load_feed_month(spark, "yellow", E_PERIOD, root, wh, e_dims(spark, sf))
-    schema = conform(to_layout(e_fact(spark, sf, "yellow"), "yellow"), "yellow")[0].schema
-    return to_plain(read_fact(spark, f"{wh}/fact_yellow", schema))
+        load_feed_month(spark, "yellow", E_PERIOD, root, wh, dims)
+        landed = read_feed(spark, "yellow", E_PERIOD, root)
+        want = conform(to_layout(build_fact(landed, "yellow", E_PERIOD, dims), "yellow"), "yellow")
+        for name, rows in zip(("fact_yellow", "rejects_yellow"), want):
+            if _stamp(read_fact(spark, f"{wh}/{name}", rows.schema)) != _stamp(rows):
+                raise RuntimeError(f"{name} is not that of the month as it landed last")
+    return to_plain(read_fact(spark, f"{wh}/fact_yellow", want[0].schema))
 
 
 def q_load_month_idempotent(spark, sf):
