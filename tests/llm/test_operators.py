@@ -454,6 +454,18 @@ def test_language_labels(spark, empty):
     assert Counter(said[:20])["en"] > 15 and Counter(said[-20:])["fr"] > 15
 
 
+def test_language_sample_is_bounded_by_rows(spark, monkeypatch):
+    """One id with very many labelled rows, repeated ones among them."""
+    monkeypatch.setattr(langid, "DOCS_PER_LABEL", 5)
+    got = []
+    monkeypatch.setattr(langid, "train", got.extend)
+    ids = [r.id for r in spark.range(40).where(~langid.held_out(F.col("id"))).collect()]
+    rows = [(ids[0], f"word{i}", "a") for i in range(60)] + [(ids[1], "same", "b")] * 60
+    rows += [(i, f"text{i}", "c") for i in ids] + [(i, f"more{i}", "b") for i in ids[2:5]]
+    langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4))
+    assert Counter(x for x, _ in got) == {"a": 5, "b": 4, "c": 5} and len(set(got)) == 14
+
+
 # 9. Packing
 
 def test_karmarkar_karp_uses_each_item_once_and_balances():

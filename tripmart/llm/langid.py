@@ -208,16 +208,18 @@ def _pieces(batches):
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """The model of ``docs``: learned from a sample of at most ``DOCS_PER_LABEL``
     documents per label, those with the least hash of their id, among documents
-    with an id, a text and a label that are not held out. Labels are few by
-    nature; the sample's pieces are collected and fitted on the driver."""
+    with an id, a text and a label that are not held out. Rows equal in id, label
+    and text are one document. Labels are few by nature; the sample's pieces are
+    collected and fitted on the driver."""
     ident = F.col(id_col)
     known = docs.where(ident.isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                       & ~held_out(ident))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = saved(known.select(ident.alias("id"), F.col(lang_col).cast("string").alias("lang"))
-                .withColumn("r", F.row_number().over(order)).where(F.col("r") <= DOCS_PER_LABEL)
-                .select("id").distinct(), "sample")
-    rows = known.join(ids, ident == F.col("id"), "left_semi").select(F.col(lang_col).cast("string"), text_col)
+                       & ~held_out(ident)).select(ident.alias("id"), F.col(lang_col).cast("string").alias("lang"),
+                                                  F.col(text_col).cast("string").alias("text"))
+    known, one = known.withColumn("h", F.xxhash64("text")), ["lang", "id", "h"]
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h")
+    some = saved(known.select(*one).distinct().withColumn("r", F.row_number().over(order))
+                 .where(F.col("r") <= DOCS_PER_LABEL).select(*one), "sample")
+    rows = known.join(some, one, "left_semi").groupBy(*one).agg(F.min("text").alias("text")).select("lang", "text")
     got = rows.mapInArrow(_pieces, "lang string, piece binary").collect()
     return train(sorted((r[0], bytes(r[1])) for r in got))
 
