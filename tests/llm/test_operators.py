@@ -135,8 +135,7 @@ def test_ngram_join_edge_rows(spark, empty):
     got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")
                                 .withColumn("component_id", F.lit(9)).withColumn("n", F.lit(1)), k=4).collect()
     assert sorted((r.doc_id or -1, r.n_shingles, r.component_id) for r in got) == [
-        (-1, 1, None), (1, 1, 1), (1, 1, 1), (3, 1, 1), (4, 0, 4), (5, 0, 5), (6, 1, 6)] or \
-        Counter(r.doc_id for r in got) == Counter(x[0] for x in rows)
+        (-1, 1, None), (1, 1, 1), (1, 1, 1), (3, 1, 1), (4, 0, 4), (5, 0, 5), (6, 1, 6)]
     assert ngram_join.ngram_join(empty).count() == 0
 
 
