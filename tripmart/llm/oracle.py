@@ -149,6 +149,81 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))"""
+_TABLE = """t AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"""
+
+
+def _op11() -> str:
+    from .pq_dedup import COSINE
+    return f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= {COSINE}),
+r(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x)
+SELECT m.x AS vec_id, coalesce(l.n, 0)::BIGINT AS n_links, m.c AS component_id, m.x = m.c AS kept
+FROM (SELECT x, min(y) AS c FROM r GROUP BY x) m LEFT JOIN (SELECT x, count(*) AS n FROM p GROUP BY x) l ON m.x = l.x
+"""
+
+
+OP12 = f"""
+WITH {_TABLE},
+i AS (SELECT conv_id, turn, strlen(x) AS size, substr(sha256(strlen(r) || ':' || r || x), 1, 32) AS id FROM (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS i FROM i),
+c AS (SELECT conv_id, {_CRC.format("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM i), t),
+n AS (SELECT c.conv_id, 0 AS part, o.i, id, size FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 5 AND o.i <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.i, id, size FROM c JOIN o ON o.conv_id = c.conv_id AND o.i > c.h),
+k AS (SELECT conv_id, row_number() OVER w AS d, size, string_agg(id, '') OVER w AS path FROM n
+    WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT conv_id, max(d) AS last FROM k GROUP BY conv_id),
+m AS (SELECT path, d, min(k.conv_id) AS conv_id, count(*) AS n, max(size) AS size,
+    string_agg(k.conv_id::VARCHAR, ',' ORDER BY k.conv_id) FILTER (e.last = k.d) AS ends
+  FROM k JOIN e ON k.conv_id = e.conv_id GROUP BY path, d),
+b AS (SELECT substr(path, 1, 32 * (d - 1)) AS path, count(*) AS kids FROM m WHERE d > 0 GROUP BY ALL),
+f AS (SELECT m.*, coalesce(kids, 0) AS kids FROM m LEFT JOIN b ON m.path = b.path),
+s AS (SELECT substr(path, 1, 32 * j) AS path, sum((kids = 0)::INTEGER) AS leaves, sum((n - 1) * size) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM f) GROUP BY ALL)
+SELECT f.conv_id, f.d::BIGINT AS depth, u.conv_id AS parent_conv_id, f.n AS n_convs, f.kids AS n_children,
+  s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM f JOIN s ON f.path = s.path LEFT JOIN m u ON f.d > 0 AND u.path = substr(f.path, 1, 32 * (f.d - 1))
+"""
+
+
+def _op13() -> str:
+    from .runs import MIN_WORDS
+    # Equal runs of words show as equal 4-grams q words apart, in a row.
+    return rf"""
+WITH {_TABLE},
+a AS (SELECT doc_id, {WORDS} AS w, {_CRC.format("doc_id::VARCHAR")} AS h FROM documents, t),
+b AS (SELECT doc_id, w, len(w) AS n, h, (h // 10) AS g FROM a),
+c AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS s, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM b),
+d AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n),
+    lambda i: CASE WHEN i < s THEN w[i + 1] ELSE w[s + (i - s) % p + 1] END) ELSE w END AS w FROM c),
+i AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word,
+  unnest(list_transform(range(n), lambda i: CASE WHEN i + 4 <= n THEN array_to_string(w[i + 1:i + 4], ' ') END)) AS gram FROM d),
+e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM i x JOIN i y ON x.doc_id = y.doc_id AND x.gram = y.gram
+  AND x.i < y.i AND 2 * (y.i - x.i) <= x.n),
+f AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+r AS (SELECT doc_id, s, l, min(q) AS q FROM (SELECT doc_id, q, min(i) AS s, count(*) + 3 + q AS l FROM f GROUP BY doc_id, q, island)
+  WHERE l >= greatest({MIN_WORDS}, 2 * q) GROUP BY doc_id, s, l),
+o AS (SELECT doc_id, count(*) AS n_runs, max_by(struct_pack(s := s, l := l, q := q), [l, -s, -q]) AS best,
+  string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM r GROUP BY doc_id),
+k AS (SELECT i.doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM i WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.doc_id = i.doc_id AND i.i >= r.s + r.q AND i.i < r.s + r.l) GROUP BY i.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS "start", best.l AS length, best.q AS period,
+  (1000 * best.l) // best.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN o ON d.doc_id = o.doc_id LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_join": OP1, "op2_topk": OP2, "op3_quality": _op3(), "op4_sharding": _op4(),
-            "op5_repeats": _op5(), "op6_warc": OP6, "op7_chat": OP7, "op10_mixing": _op10()}
+            "op5_repeats": _op5(), "op6_warc": OP6, "op7_chat": OP7, "op10_mixing": _op10(),
+            "op11_near_vectors": _op11(), "op12_prefix_trie": OP12, "op13_periodic_runs": _op13()}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, ngram_join, oracle, packing, quality, sharding, suffix_dedup, topk, warc
+from . import (chat, langid, mixing, ngram_join, oracle, packing, pq_dedup, prefix_trie, quality, runs, sharding,
+               suffix_dedup, topk, warc)
 
 SHARDS = 24
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -85,10 +86,46 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.regrafted_keys(_table(spark, sf_dir, "conversations")))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` where about one text in ten repeats itself from some
+    word on: with ``h`` the CRC-32 of the id, those with ``h % 10 = 0``. A row
+    without an id stays as it is."""
+    text = F.col("text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    some = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.filter(
+        F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).alias("w"))
+    some = some.withColumn("n", F.size("w").cast("long")).withColumn("g", F.expr("h div 10"))
+    some = some.withColumn("a", F.when(F.col("n") > 0, F.expr("g % n")))
+    some = some.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, w[cast(a + (i - a) % p as int)])), ' ')")
+    return some.select("doc_id", F.when(F.col("n") > 0, again).otherwise(text).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(looped(_table(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.l")).alias("length"), F.col("best.period").alias("period"),
+        F.expr("-1000 * best.l div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_join, op2_topk, op3_quality, op4_sharding, op5_repeats, op6_warc, op7_chat, op8_language,
-        op9_packing, op10_mixing)}
+        op9_packing, op10_mixing, op11_near_vectors, op12_prefix_trie, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
