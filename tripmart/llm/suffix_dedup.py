@@ -13,7 +13,7 @@ in both. Three steps follow:
    neighbours compared again, which gives each window's first occurrence.
 3. *Spans.* Overlapping windows of a document join to maximal spans.
 
-A window's first occurrence (by document id, then place) stays; words of its
+A window's first occurrence (by document id, null last, then place) stays; words of its
 later occurrences are cut unless they belong to a first occurrence as well.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import U, Text, byte_hash, lists, mapped, maybe_in, prefix, run_hash, saved, shared_keys, texts
@@ -29,7 +29,7 @@ from .common import U, Text, byte_hash, lists, mapped, maybe_in, prefix, run_has
 LENGTH = 50
 K = 20
 COMBINED = 1 << 19   # windows that are combined before the shuffle
-_PLACE = 32   # bits of a place for the word number; above it 23 bits of the text's hash
+_LAST = (1 << 63) - 1  # stands for a null id: after all others
 
 
 def _windows(t: Text) -> tuple[np.ndarray, ...]:
@@ -59,11 +59,11 @@ def _windows(t: Text) -> tuple[np.ndarray, ...]:
 
 
 def _anchors(batches):
-    """From ``(doc, tag, text)``: number of words and hashes of the kept
+    """From ``(doc, tag, key, text)``: number of words and hashes of the kept
     suffixes' first grams."""
     for batch in batches:
         keys, many, words = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for t in texts(batch.column(2)):
+        for t in texts(batch.column(3)):
             _, doc, _, gram, place = _windows(t)
             # A place selected by several windows in a row counts once.
             new = np.ones(len(gram), bool)
@@ -74,12 +74,12 @@ def _anchors(batches):
         flat = np.concatenate([np.empty(0, U), *keys])
         at = np.append(0, np.cumsum(np.concatenate(many)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.concatenate(words).astype(np.int64)),
-             lists(flat.view(np.int64), at)], ["doc", "tag", "n", "keys"])
+            [*batch.columns[:3], pa.array(np.concatenate(words).astype(np.int64)),
+             lists(flat.view(np.int64), at)], ["doc", "tag", "key", "n", "keys"])
 
 
 def _extended(batches):
-    """From ``(doc_id, tag, text, keys)`` the windows ``(key, doc, place, members)``
+    """From ``(doc, tag, text, keys)`` the windows ``(key, doc, tag, place, members)``
     around the suffixes in ``keys``. Equal ones of ``COMBINED`` windows and more
     in a row are combined: the first goes on with their number, the others
     (members 0) are known to be later occurrences."""
@@ -95,7 +95,7 @@ def _extended(batches):
                 some = wanted[t.first + d].values.to_numpy(zero_copy_only=False).view(U)
                 keep[at[d]:at[d + 1]] = np.isin(gram[at[d]:at[d + 1]], some)
             row = t.first + doc[keep]
-            parts.append((h[keep].view(np.int64), docs[row], (tags[row] << _PLACE) + word[keep]))
+            parts.append((h[keep].view(np.int64), docs[row], tags[row], word[keep]))
             n += len(row)
             if n >= COMBINED:
                 yield _combined(parts)
@@ -105,42 +105,43 @@ def _extended(batches):
 
 
 def _combined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    key, doc, place = (np.concatenate(x) for x in zip(*parts))
-    by = np.lexsort((place, doc, key))
-    key, doc, place = key[by], doc[by], place[by]
+    key, doc, tag, place = (np.concatenate(x) for x in zip(*parts))
+    by = np.lexsort((place, tag, doc, key))
+    key, doc, tag, place = key[by], doc[by], tag[by], place[by]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     first = np.flatnonzero(new)
     members = np.zeros(len(key), np.int32)
     members[first] = np.diff(np.append(first, len(key)))
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, place, members)],
-                                      ["key", "doc", "place", "members"])
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (key, doc, tag, place, members)],
+                                      ["key", "doc", "tag", "place", "members"])
 
 
 def _neighbours(batches):
-    """From windows sorted by (key, doc, place): ``(doc, place, first)`` of those
-    that occur twice or more. Streams; one row is carried from batch to batch."""
-    held = None  # key, doc, place, several, first
+    """From windows sorted by (key, doc, tag, place): ``(doc, tag, place, first)``
+    of those that occur twice or more. Streams; one row is carried from batch to
+    batch."""
+    names = ["doc", "tag", "place", "first"]
+    held = None  # key, doc, tag, place, several, first
     for batch in batches:
-        key, doc, place, members = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        key, doc, tag, place, members = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         rest = members == 0
-        out = [(doc[rest], place[rest], np.zeros(rest.sum(), bool))]
-        key, doc, place, several = key[~rest], doc[~rest], place[~rest], members[~rest] > 1
-        if len(key):
+        out = [(doc[rest], tag[rest], place[rest], np.zeros(rest.sum(), bool))]
+        now = [x[~rest] for x in (key, doc, tag, place)] + [members[~rest] > 1]
+        if len(now[0]):
             if held:
-                key, doc, place, several = (np.append(h, x) for h, x in zip(held, (key, doc, place, several)))
+                now = [np.append(h, x) for h, x in zip(held, now)]
+            key, doc, tag, place, several = now
             same = key[1:] == key[:-1]
-            first = np.append(held[4] if held else True, ~same)
+            first = np.append(held[5] if held else True, ~same)
             several[1:] |= same
             several[:-1] |= same
             some = several[:-1]
-            out.append((doc[:-1][some], place[:-1][some], first[:-1][some]))
-            held = key[-1], doc[-1], place[-1], several[-1], first[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)],
-                                         ["doc", "place", "first"])
-    if held and held[3]:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (held[1], held[2], bool(held[4]))],
-                                         ["doc", "place", "first"])
+            out.append((doc[:-1][some], tag[:-1][some], place[:-1][some], first[:-1][some]))
+            held = key[-1], doc[-1], tag[-1], place[-1], several[-1], first[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names)
+    if held and held[4]:
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*held[1:4], bool(held[5]))], names)
 
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,14 +175,15 @@ def _spans(batches):
                         [False] * len(a) + [True] * len(x)))
         cols = list(zip(*out)) or [[]] * 3
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(cols[0], pa.list_(pa.int64())),
+            [*batch.columns[:3], pa.array(cols[0], pa.list_(pa.int64())),
              pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.list_(pa.bool_()))],
-            ["doc", "tag", "start", "words", "kept"])
+            ["doc", "tag", "n", "start", "words", "kept"])
 
 
 def _without(batches):
-    """From ``(text, start, words, ...)`` the texts without those words, each up
-    to the next kept word; then the other columns."""
+    """From ``(text, n, start, words, ...)`` the texts without those words, each up
+    to the next kept word; then the other columns. A text that has not ``n`` words
+    is not the one that the places belong to."""
     for batch in batches:
         out = []
         for t in texts(batch.column(0)):
@@ -190,38 +192,48 @@ def _without(batches):
             for d in range(len(t)):
                 raw = t.data[t.off[d]:t.off[d + 1]].tobytes()
                 places = np.append(first[at[d]:at[d + 1]] - t.off[d], len(raw)).tolist()
-                a, n = (batch.column(i)[t.first + d].as_py() or [] for i in (1, 2))
+                size, a, n = (batch.column(i)[t.first + d].as_py() for i in (1, 2, 3))
+                if a and size != len(places) - 1:
+                    raise ValueError(f"a text of {len(places) - 1} words has the tag of one of {size}")
                 left, end = [], 0
-                for i, k in zip(a, n):
+                for i, k in zip(a or [], n or []):
                     left.append(raw[end:places[i]])
                     end = places[i + k]
                 out.append(b"".join([*left, raw[end:]]).decode())
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *batch.columns[3:]],
-                                         ["_text", *batch.schema.names[3:]])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *batch.columns[4:]],
+                                         ["_text", *batch.schema.names[4:]])
 
 
 def _identity(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc, tag, text)``; rows equal in id and text are one document."""
+    """``(doc, tag, key, text)``; rows equal in id and text are one document.
+    ``key`` finds a document's suffixes again; a key that documents share only
+    makes them look for the others' suffixes as well."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc"), _tag(text).alias("tag"), text.alias("text"))
+    doc, tag = _place(docs, id_col, text_col)
+    return docs.select(doc.alias("doc"), tag.alias("tag"),
+                       F.when(F.col(id_col).isNull(), F.xxhash64(tag)).otherwise(doc).alias("key"), text.alias("text"))
 
 
-def _tag(text):
-    return F.shiftrightunsigned(F.xxhash64(text), 41)
+def _place(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
+    """A row's id, the last number for null, and 63 bits of its text's hash; the
+    lowest bit of these says that the id is null."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    ident = F.col(id_col).cast("long")
+    none = ident.isNull().cast("long")
+    return F.coalesce(ident, F.lit(_LAST)), F.xxhash64(text).bitwiseAND(-2).bitwiseOR(none)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, tag, spans)`` of the documents that hold a passage found twice
-    or more: an array of ``(start_word, n_words, kept)``, first the later
+    """``(doc_id, tag, n_words, spans)`` of the documents that hold a passage found
+    twice or more: an array of ``(start_word, n_words, kept)``, first the later
     occurrences (to be cut), then the first occurrences (``kept``). ``tag`` is
-    part of a hash of the text and tells apart rows that share an id.
+    a hash of the text and tells apart rows that share an id or have none.
 
     A passage has ``LENGTH`` words at least; words are compared as they stand,
     white space between them is not. Equal texts are one document with the
     smallest id; the others are later occurrences as a whole. Rows equal in id
-    and text are one document. Rows with a null id take no part; a null, empty
-    or short text has no passage; other columns are ignored.
+    and text are one document. Rows with a null id come after all others; a
+    null, empty or short text has no passage; other columns are ignored.
 
     A text that many rows share is extended once; a gram or window that very
     many documents share is combined per batch before the shuffle and never held
@@ -234,24 +246,23 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                  .select("sha", "rep"), "same")
     marks = saved(base.select("doc", "tag", sha.alias("sha")).join(same, "sha")
                   .select("doc", "tag", "rep").distinct(), "copies")
-    anchors = saved(mapped(base, _anchors, "doc long, tag long, n long, keys array<long>"), "suffixes")
+    anchors = saved(mapped(base, _anchors, "doc long, tag long, key long, n long, keys array<long>"), "suffixes")
     # Step 1: suffixes of distinct texts that have an equal neighbour.
-    some = (anchors.where(F.size("keys") > 0).select("doc", "tag", "keys").dropDuplicates(["doc", "tag"])
+    some = (anchors.where(F.size("keys") > 0).select("doc", "tag", "key", "keys").dropDuplicates(["doc", "tag"])
             .join(marks.where("doc <> rep").select("doc", "tag"), ["doc", "tag"], "left_anti"))
-    keys = saved(shared_keys(some.select(F.col("doc").alias("doc_id"), "keys"))
-                 .groupBy("doc").agg(F.collect_set("key").alias("keys")), "anchors")
+    keys = saved(shared_keys(some.select(F.col("key").alias("doc_id"), "keys"))
+                 .groupBy(F.col("doc").alias("key")).agg(F.collect_set("key").alias("keys")), "anchors")
     # Step 2: their windows, and which of them come first.
-    _, near = maybe_in(base, F.col("doc"), keys.select("doc"))
-    wide = mapped(near.join(some.select("doc", "tag").join(keys, "doc"), ["doc", "tag"])
+    _, near = maybe_in(base, F.col("key"), keys.select("key"))
+    wide = mapped(near.drop("key").join(some.select("doc", "tag", "key").join(keys, "key"), ["doc", "tag"])
                   .dropDuplicates(["doc", "tag"]).select("doc", "tag", "text", "keys"),
-                  _extended, "key long, doc long, place long, members int")
-    to = F.when(F.col("members") == 0, F.xxhash64("key", "doc", "place")).otherwise(F.col("key"))
-    found = mapped(wide.repartition(to).sortWithinPartitions("key", "doc", "place"), _neighbours,
-                   "doc long, place long, first boolean")
-    word = F.col("place").bitwiseAND((1 << _PLACE) - 1)
-    per_doc = saved(found.groupBy("doc", F.shiftright("place", _PLACE).alias("tag")).agg(
-        F.collect_list(F.when(~F.col("first"), word)).alias("later"),
-        F.collect_list(F.when(F.col("first"), word)).alias("first")), "windows")
+                  _extended, "key long, doc long, tag long, place long, members int")
+    to = F.when(F.col("members") == 0, F.xxhash64("key", "doc", "tag", "place")).otherwise(F.col("key"))
+    found = mapped(wide.repartition(to).sortWithinPartitions("key", "doc", "tag", "place"), _neighbours,
+                   "doc long, tag long, place long, first boolean")
+    per_doc = saved(found.groupBy("doc", "tag").agg(
+        F.collect_list(F.when(~F.col("first"), F.col("place"))).alias("later"),
+        F.collect_list(F.when(F.col("first"), F.col("place"))).alias("first")), "windows")
     # Step 3.
     size = anchors.where(f"n >= {LENGTH}").select("doc", "tag", "n").distinct()
     marked = (per_doc.join(marks, ["doc", "tag"], "full").join(size, ["doc", "tag"])
@@ -260,8 +271,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     spans = F.transform(F.arrays_zip("start", "words", "kept"), lambda z: F.struct(
         z["start"].alias("start_word"), z["words"].alias("n_words"), z["kept"].alias("kept")))
     return saved(mapped(
-        marked, _spans, "doc long, tag long, start array<long>, words array<long>, kept array<boolean>")
-        .select(F.col("doc").alias("doc_id"), "tag", spans.alias("spans")), "spans")
+        marked, _spans, "doc long, tag long, n long, start array<long>, words array<long>, kept array<boolean>")
+        .select(F.when(F.col("tag").bitwiseAND(1) == 0, F.col("doc")).alias("doc_id"), "tag",
+                F.col("n").alias("n_words"), spans.alias("spans")), "spans")
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,16 +281,17 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and ``cut_words``, the number of words cut from the row (a column of that
     name is replaced). Every row stays, with an empty text if all is cut."""
     spans = repeats(docs, id_col, text_col).withColumn("cut", F.filter("spans", lambda s: ~s["kept"]))
-    spans = spans.where(F.size("cut") > 0).select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"),
-                                                  "cut")
+    spans = spans.where(F.size("cut") > 0).select(
+        F.coalesce("doc_id", F.lit(_LAST)).alias("_doc"), F.col("tag").alias("_tag"), F.col("n_words").alias("_words"), "cut")
     spans = saved(spans, "cuts")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keep = [c for c in docs.columns if c not in (text_col, "cut_words")]
-    on = (F.col(id_col).cast("long") == F.col("_doc")) & (_tag(text) == F.col("_tag"))
-    apart, near = maybe_in(docs, F.col(id_col), spans.select("_doc"))
+    doc, tag = _place(docs, id_col, text_col)
+    on = (doc == F.col("_doc")) & (tag == F.col("_tag"))
+    apart, near = maybe_in(docs, tag, spans.select("_tag"))
     cut = F.aggregate("_n", F.lit(0).cast("long"), lambda x, y: x + y)
     rows = near.join(spans, on, "left").withColumns({"_start": F.col("cut.start_word"), "_n": F.col("cut.n_words")}).select(
-        text.alias("_old"), "_start", "_n", F.coalesce(cut, F.lit(0).cast("long")).alias("_cut"),
+        text.alias("_old"), "_words", "_start", "_n", F.coalesce(cut, F.lit(0).cast("long")).alias("_cut"),
         F.col(text_col).isNull().alias("_none"), *keep)
     kinds = ", ".join(["_text string", "_cut long", "_none boolean",
                        *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)])
