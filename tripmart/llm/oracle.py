@@ -132,7 +132,7 @@ def _op10() -> str:
     weights = "[" + ", ".join(f"{float(w)}::DOUBLE" for w in WEIGHTS) + "]"
     return rf"""
 WITH d AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size,
-    ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT AS h FROM documents),
+    ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 13))::BIGINT AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, {weights}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1)::BIGINT] AS w,
   source_size * {float(EPOCHS)}::DOUBLE AS cap FROM s),
