@@ -17,11 +17,13 @@ three times:
 3. *Verification.* Surviving pairs compare their whole shingle sets.
 
 Components need no list of all pairs. Documents with equal sets are one class
-from the start. A cell of at most ``LEAF`` members is a single leaf: its pairs
-that pass the bound are verified. In a larger cell each member is first verified
-against the smallest document alone; cells whose members are then still in
-different components run their R-trees, across components only. A pair of linked
-documents is thus either verified or already connected.
+from the start. Of near copies the text that the others were made from has the
+most members in its cells; each member of a cell is first verified against that
+one alone. Cells whose members are then still in different components run
+their R-trees, across components only, and a pair that the tree lets through
+must pass the bound once more with its fine points (64 groups and more per
+shingle), so that texts that are almost similar enough do not become pairs. A
+pair of linked documents is thus either verified or already connected.
 
 Cells agreeing on few shingles say little, so cells with fewer than two
 shingles are skipped whenever enough others remain (``_cell_keys``); no
@@ -44,6 +46,7 @@ RATIO = 1.6           # size classes grow by this factor
 SLACK = 0.12          # more cells than needed, so that poor cells can be skipped
 CELL_ROWS = 4_000     # a cell of more rows is dealt out in blocks
 LEAF = 16             # points of an R-tree leaf
+FINE = 4_096          # shingles of a set that has a fine point, at most
 
 
 def classes(top: int = 1 << 40) -> np.ndarray:
@@ -104,6 +107,34 @@ def _coarse(s: np.ndarray) -> bytes:
     return c.astype(np.uint8).tobytes() if c.max() < 256 else b""
 
 
+def _fine(s: np.ndarray) -> bytes:
+    """The set's fine point: the groups of its shingles when there are 64 to 128
+    times as many groups as shingles, as steps of a byte each (255: go on), after
+    a byte with the number of bits. Empty for none and for more than ``FINE``."""
+    n = len(s)
+    if not 0 < n <= FINE:
+        return b""
+    bits = 6 + n.bit_length()
+    step = np.diff((s >> U(64 - bits)).astype(np.int64), prepend=0)
+    many = step // 255 + 1
+    out = np.full(many.sum(), 255, np.uint8)
+    out[np.cumsum(many) - 1] = step % 255
+    return bytes([bits]) + out.tobytes()
+
+
+def _groups(fine: bytes) -> tuple[int, np.ndarray]:
+    """The bits and the sorted groups of a fine point."""
+    step = np.frombuffer(fine, np.uint8, offset=1)
+    return fine[0], np.cumsum(step, dtype=np.int64)[step < 255]
+
+
+def _shared_groups(x: tuple[int, np.ndarray], y: tuple[int, np.ndarray]) -> int:
+    """Shingles of one set whose group the other has too: no overlap is larger."""
+    bits = min(x[0], y[0])
+    a, b = x[1] >> (x[0] - bits), y[1] >> (y[0] - bits)
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
 def _counts(point: bytes) -> np.ndarray:
     """The counts of a point."""
     c = np.frombuffer(point, np.uint8)
@@ -132,26 +163,28 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
 
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
-    """``(doc_id, n, d1, d2, cells, counts)``: set size, 128-bit digest of the
-    set, its cells and its coarse point."""
+    """``(doc_id, n, d1, d2, cells, counts, fine)``: set size, 128-bit digest of
+    the set, its cells and its coarse and fine point."""
     def run(batches):
         edges: dict = {}
         for batch in batches:
-            n, d1, d2, cells, counts = [], [], [], [], []
+            n, d1, d2, cells, counts, fine = [], [], [], [], [], []
             for s in _sets(batch, 1, k):
                 n.append(len(s))
                 d1.append(int(s.sum(dtype=U)))
                 d2.append(int(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U)))
                 cells.append(_cell_keys(s, num, den, edges) if len(s) else s)
                 counts.append(_coarse(s))
+                fine.append(_fine(s))
             at = np.cumsum([0] + [len(c) for c in cells])
             flat = np.concatenate(cells) if cells else np.empty(0, U)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), signed(np.array(d1, U)),
-                 signed(np.array(d2, U)), lists(flat.view(np.int64), at), pa.array(counts, pa.binary())],
-                ["doc_id", "n", "d1", "d2", "cells", "counts"])
+                 signed(np.array(d2, U)), lists(flat.view(np.int64), at), pa.array(counts, pa.binary()),
+                 pa.array(fine, pa.binary())],
+                ["doc_id", "n", "d1", "d2", "cells", "counts", "fine"])
     return mapped(docs.select(F.col(id_col).cast("long"), text_col), run,
-                  "doc_id long, n long, d1 long, d2 long, cells array<long>, counts binary")
+                  "doc_id long, n long, d1 long, d2 long, cells array<long>, counts binary, fine binary")
 
 
 class RTree:
@@ -192,25 +225,6 @@ def _reach(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.minimum(x, y).sum(-1, dtype=np.int64)
 
 
-def _leaf_pairs(batches):
-    """Pairs of documents in cells of ``LEAF`` members at most; rows ``(key,
-    doc)`` come sorted by cell."""
-    held = [np.empty(0, np.int64)] * 2
-    for batch in batches:
-        old = len(held[0])
-        key, doc = (np.append(h, c.to_numpy()) for h, c in zip(held, batch.columns))
-        a, b = [], []
-        for d in range(1, LEAF):
-            ok = (key[d:] == key[:-d]) & (doc[d:] != doc[:-d])
-            ok[:max(0, old - d)] = False
-            at = np.flatnonzero(ok)
-            a.append(doc[at])
-            b.append(doc[at + d])
-        held = [x[-LEAF:] for x in (key, doc)]
-        both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-
 def _bounded(num: int, den: int):
     """The pairs whose points can overlap enough."""
     def reach(x: bytes, y: bytes, n: int) -> int:
@@ -245,8 +259,9 @@ def _points(counts: list[bytes]) -> np.ndarray:
 
 
 def _tree_pairs(num: int, den: int, width: int):
-    """Over rows ``(cell, lo, hi, block, doc, label, n, counts, before)`` sorted by
-    cell: pairs of different labels that pass the bound. ``before`` holds the
+    """Over rows ``(cell, lo, hi, block, doc, label, n, counts, fine, before)``
+    sorted by cell: pairs of different labels that pass the bounds of the R-tree
+    and of their fine points, which leave few but the links. ``before`` holds the
     numbers of the document's cells before this one, ``width`` bytes each, so a
     pair comes from its first cell only."""
     def of(cell: pa.Table) -> list[tuple[int, int]]:
@@ -255,12 +270,19 @@ def _tree_pairs(num: int, den: int, width: int):
             return []
         points = _points(cell["counts"].to_pylist())
         own = [frozenset(x[i:i + width] for i in range(0, len(x), width)) for x in cell["before"].to_pylist()]
+        fine = [_groups(x) if x else None for x in cell["fine"].to_pylist()]
         tree, apart, out = RTree(points, n), cell["lo"][0].as_py() != cell["hi"][0].as_py(), []
+
+        def reaches(i: int, k: int) -> bool:
+            if fine[i] is None or fine[k] is None:
+                return True
+            return _shared_groups(fine[i], fine[k]) * (den + num) >= num * int(n[i] + n[k])
+
         for i in range(len(doc)):
             j = tree.search(points[i], int(n[i]), num, den)
             j = j[(doc[j] > doc[i]) & (label[j] != label[i])]
             for k in j[block[j] != block[i]] if apart else j:
-                if own[i].isdisjoint(own[k]):
+                if own[i].isdisjoint(own[k]) and reaches(i, k):
                     out.append((int(doc[i]), int(doc[k])))
         return out
 
@@ -332,18 +354,24 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        .select(*apart.columns))
     cells = saved(shared_keys(reps.select("doc_id", "cells")), "cells")
 
-    # Small cells: all pairs. Large ones: every member against the smallest.
-    large = saved(cells.groupBy("key").agg(F.count("*").alias("rows")).where(f"rows > {LEAF}").select("key"),
-                  "large")
-    star = cells.join(large, "key", "left_semi").where("doc <> pivot").select(
-        F.col("pivot").alias("a"), F.col("doc").alias("b"))
-    met = mapped(cells.join(large, "key", "left_anti").select("key", "doc")
-                 .repartition("key").sortWithinPartitions("key", "doc"), _leaf_pairs, "a long, b long")
+    # Every member of a cell against the one whose cells have the most members.
+    # Of near copies that is the text the others were made from: it has none of
+    # their changes, so all its cells are common ones.
+    sized = saved(cells.select("key", "doc").distinct().join(
+        cells.groupBy("key").agg(F.count_distinct("doc").alias("rows")).where("rows > 1"), "key"), "sized")
+
+    def heads(rows: DataFrame) -> DataFrame:
+        weight = rows.groupBy("doc").agg(F.sum("rows").alias("weight"))
+        return (rows.join(weight, "doc").groupBy("key").agg(F.max(F.struct("weight", -F.col("doc"))).alias("head"))
+                .select("key", (-F.col("head.col2")).alias("head")))
+
+    star = sized.join(heads(sized), "key").where("doc <> head").select(
+        F.least("head", "doc").alias("a"), F.greatest("head", "doc").alias("b"))
     points = prof.where("n > 0 and doc_id is not null").select("doc_id", "n", "counts")
     end = lambda c: points.toDF(c, f"n_{c}", f"counts_{c}")
-    pairs = saved(mapped(star.union(met).distinct().join(end("a"), "a").join(end("b"), "b"),
+    pairs = saved(mapped(star.distinct().join(end("a"), "a").join(end("b"), "b"),
                          _bounded(num, den), "a long, b long").distinct(), "pairs")
-    wide = saved(cells.join(large, "key", "left_semi").select("key", "doc").distinct(), "wide")
+    wide = sized.where("rows > 2").select("key", "doc")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def linked(some: DataFrame) -> DataFrame:
@@ -367,7 +395,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     opened = saved(named.join(open_, "key").drop("key"), "opened")
     width = max(1, (open_.agg(F.max("cell")).first()[0] or 0).bit_length() + 7 >> 3)
     number = lambda c: F.lpad(F.hex(c), 2 * width, "0")
-    about = points.withColumnRenamed("doc_id", "doc").join(
+    about = prof.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("doc"), "n", "counts", "fine").join(
         opened.groupBy("doc").agg(F.collect_set("cell").alias("cells")), "doc")
     dealt = (opened.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("s")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
@@ -375,7 +403,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      "block", "doc", "label"))
     before = F.transform(F.filter("cells", lambda c: c < F.col("cell")), number)
     cellwise = (dealt.join(saved(about, "about"), "doc")
-                .select("cell", "lo", "hi", "block", "doc", "label", "n", "counts",
+                .select("cell", "lo", "hi", "block", "doc", "label", "n", "counts", "fine",
                         F.unhex(F.array_join(before, "")).alias("before"))
                 .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi"))
     across = saved(mapped(cellwise, _tree_pairs(num, den, width), "a long, b long").distinct()
