@@ -1,10 +1,10 @@
 """Exact top-k search by the threshold algorithm.
 
 Vectors are turned into integers ``floor(scale * x)``. Every block of candidates
-keeps one list per dimension, sorted by the component. A query reads the lists
-from the end that suits the sign of its component, a step of places from all
-lists at once, and scores the vectors that it meets for the first time by
-random access. The bound, the sum of the query's components times the last
+keeps one list per dimension, sorted by the component. The queries of a group
+read the lists from the ends that suit the signs of their components, a step of
+places from all lists at once, and the vectors met for the first time are scored
+by random access, for all queries that still search, in one product. The bound, the sum of the query's components times the last
 values read, is the most that a vector not met so far can score; the search of
 the block ends when the bound is below the k-th best score.
 """
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 SCALE = 64
 K = 20
 BLOCK_ROWS = 8192     # candidates of a block
-QUERY_ROWS = 512      # queries that search a block in one task
+QUERY_ROWS = 4096     # queries that search a block in one task
+CELLS = 1 << 21       # scores at once
 STEP = 48             # places read from every list at once, growing by half
+_NONE = np.iinfo(np.int64).min   # no score
 
 
 class Lists:
@@ -30,41 +32,55 @@ class Lists:
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()        # dimension x place
         self.sorted = np.take_along_axis(vectors.T, self.order, 1)
+        self.scored = 0   # vectors scored, times the queries that they were scored for
 
-    def search(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best (ties to smaller ids), without ``own``."""
-        n, dims = self.vectors.shape
-        use = np.flatnonzero(q)
-        if not len(use):   # every vector scores 0
-            ids = np.sort(self.ids[self.ids != own])[:k]
-            return ids, np.zeros(len(ids), np.int64)
-        up = q[use] > 0
-        order, values, w = self.order[use], self.sorted[use], q[use]
-        met = np.zeros(n, bool)
-        best_id, best = np.empty(0, np.int64), np.empty(0, np.int64)
-        depth, step = 0, STEP
-        while depth < n:
+    def search(self, q: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of ``q``, ids and scores of the ``k`` best of each (ties to smaller
+        ids), without the query's ``own`` id. The lists are read once for all
+        queries that still search; what one of them meets is scored for all."""
+        n, m = len(self.ids), len(q)
+        # Doubles hold whole numbers up to 2**53; beyond, slower 64-bit integers.
+        small = float(np.abs(q).sum(1).max(initial=0)) * float(np.abs(self.vectors).max(initial=0)) < 2 ** 53
+        kind = np.float64 if small else np.int64
+        best = [(np.empty(0, np.int64), np.empty(0, np.int64))] * m
+        least = np.full(m, _NONE)   # the k-th best score so far
+        met, active, depth, step = np.zeros(n, bool), np.arange(m), 0, STEP
+        vectors, q = self.vectors.astype(kind), q.astype(kind)
+        while depth < n and len(active):
             to = min(n, depth + step)
-            met_now = np.zeros(n, bool)
-            met_now[order[up, n - to:n - depth]] = True
-            met_now[order[~up, depth:to]] = True
-            new = np.flatnonzero(met_now & ~met)
-            met |= met_now
-            score = self.vectors[new] @ q
-            ids = self.ids[new]
-            if len(best) == k:
-                good = score >= best[-1]
-                score, ids = score[good], ids[good]
-            ids, score = np.append(best_id, ids), np.append(best, score)
-            keep = ids != own
-            ids, score = ids[keep], score[keep]
-            first = np.lexsort((ids, -score))[:k]
-            best_id, best = ids[first], score[first]
-            bound = int(w[up] @ values[up, n - to]) + int(w[~up] @ values[~up, to - 1])
-            if len(best) == k and bound < best[-1]:
-                break
+            up, down = (q[active] > 0).any(0), (q[active] < 0).any(0)
+            now = np.zeros(n, bool)
+            now[self.order[up, n - to:n - depth]] = True
+            now[self.order[down, depth:to]] = True
+            if to == n:
+                now[:] = True
+            new = np.flatnonzero(now & ~met)
+            met |= now
+            self.scored += len(new) * len(active)
+            part = max(1, CELLS // max(1, len(new)))
+            for i in range(0, len(active) if len(new) else 0, part):
+                some = active[i:i + part]
+                score = (q[some] @ vectors[new].T).astype(np.int64)
+                score[self.ids[new] == own[some][:, None]] = _NONE
+                floor = np.maximum(least[some], _NONE + 1)
+                if len(new) > k:
+                    floor = np.maximum(floor, np.partition(score, len(new) - k, axis=1)[:, len(new) - k])
+                for j, x in enumerate(some):
+                    good = np.flatnonzero(score[j] >= floor[j])
+                    ids = np.append(best[x][0], self.ids[new[good]])
+                    value = np.append(best[x][1], score[j, good])
+                    first = np.lexsort((ids, -value))[:k]
+                    best[x] = ids[first], value[first]
+                    if len(first) == k:
+                        least[x] = value[first[-1]]
+            # The most that a vector not met so far can score.
+            high, low = self.sorted[:, n - to].astype(kind), self.sorted[:, to - 1].astype(kind)
+            bound = np.maximum(q[active], 0) @ high + np.minimum(q[active], 0) @ low
+            active = active[(bound >= least[active]) | (np.array([len(best[x][0]) for x in active]) < k)]
             depth, step = to, step + step // 2
-        return best_id, best
+        many = [len(b[0]) for b in best]
+        return (np.repeat(np.arange(m), many), np.concatenate([np.empty(0, np.int64), *(b[0] for b in best)]),
+                np.concatenate([np.empty(0, np.int64), *(b[1] for b in best)]))
 
 
 def _search(k: int):
@@ -73,12 +89,9 @@ def _search(k: int):
         if len(cand) and len(quer):
             dims = max(cand["v"].map(len).max(), quer["v"].map(len).max())
             rows = lambda col: np.array([np.pad(v, (0, dims - len(v))) for v in col], np.int64)
-            lists, q = Lists(cand["id"].to_numpy(), rows(cand["v"])), rows(quer["v"])
-            for i, own in enumerate(quer["id"].to_numpy()):
-                ids, score = lists.search(q[i], k, own)
-                out[0].append(np.full(len(ids), own))
-                out[1].append(ids)
-                out[2].append(score)
+            lists, own = Lists(cand["id"].to_numpy(), rows(cand["v"])), quer["id"].to_numpy()
+            row, ids, score = lists.search(rows(quer["v"]), own, k)
+            out = [[own[row]], [ids], [score]]
         return pd.DataFrame({n: np.concatenate(x) if x else np.empty(0, np.int64)
                              for n, x in zip(("query_id", "vec_id", "score"), out)})
     return run
