@@ -5,8 +5,8 @@ lookup CSV reads (S5, S6), streaming month load."""
 import pytest
 from pyspark.sql import functions as F
 
-from tripmart.jobs import (IncompleteMonth, KeyViolation, load_period, publish_dims, read_lookup,
-                           require_landed)
+from tripmart.jobs import (IncompleteMonth, KeyViolation, load_period, publish_dims, read_loaded, read_lookup,
+                           read_rejects, require_landed)
 from tripmart.operators.dims import build_dims
 from tripmart.operators.facts import build_fact
 from tripmart.operators.publish import conform, read_fact, to_layout, write_table
@@ -54,7 +54,7 @@ def test_load_period_builds_conforms_and_loads(spark, landing, dims):
     load_period(spark, P, landing, wh, dims, feeds)
     load_period(spark, P, landing, wh, dims, feeds)     # idempotent
     for feed in feeds:
-        got = read_fact(spark, f"{wh}/fact_{feed}", fact_schema(feed))
+        got = read_loaded(spark, wh, feed)
         good, _ = conform(to_layout(build_fact(event_trips(spark, SF001, feed), feed, P, dims),
                                     feed), feed)
         assert got.exceptAll(good).count() == 0 and good.exceptAll(got).count() == 0
@@ -98,11 +98,10 @@ def test_highvol_rejects_go_to_their_table(spark, landing):
     dims = build_dims(spark, base=base_lookup(spark, SF001))
     wh = shared_path(spark, "test", "warehouse_hv")
     load_period(spark, P, landing, wh, dims, ("highvol",))
-    good = read_fact(spark, f"{wh}/fact_highvol", fact_schema("highvol"))
+    good = read_loaded(spark, wh, "highvol")
     n = build_fact(event_trips(spark, SF001, "highvol"), "highvol", P, dims).count()
     assert good.count() == n
-    schema = fact_schema("highvol").add("reject_reason", "string")
-    assert read_fact(spark, f"{wh}/rejects_highvol", schema).count() == 0
+    assert read_rejects(spark, wh, "highvol").count() == 0
 
 
 def test_streaming_keeps_a_month_whole_across_batches(spark, dims):
@@ -170,7 +169,6 @@ def test_streaming_warehouse_load(spark, dims):
     root, wh = shared_path(spark, "test", "landing_wh"), shared_path(spark, "test", "stream_wh")
     ckpt = shared_path(spark, "test", "stream_wh_ckpt")
     raw = {f: event_trips(spark, SF001, f) for f in ("yellow", "green")}
-    rejected = fact_schema("yellow").add("reject_reason", "string")
 
     def loaded():
         q = start_warehouse_loader(spark, root, wh, ckpt, dims)
@@ -178,14 +176,13 @@ def test_streaming_warehouse_load(spark, dims):
         assert q.exception() is None
 
     def counts():
-        return (read_fact(spark, f"{wh}/fact_yellow", fact_schema("yellow")).count(),
-                read_fact(spark, f"{wh}/rejects_yellow", rejected).count())
+        return read_loaded(spark, wh, "yellow").count(), read_rejects(spark, wh, "yellow").count()
 
     bad = raw["yellow"].withColumn("total_amount", F.lit(1e12))
     write_table(bad, feed_path(root, "yellow", P), "parquet")
     loaded()                                            # green is missing: the month waits
     from tripmart.session import path_exists
-    assert not path_exists(spark, f"{wh}/fact_yellow")
+    assert not path_exists(spark, f"{wh}/trips_yellow")
     write_table(raw["green"], feed_path(root, "green", P), "parquet")
     loaded()
     good, _ = conform(to_layout(build_fact(raw["yellow"], "yellow", P, dims), "yellow"), "yellow")
@@ -194,7 +191,7 @@ def test_streaming_warehouse_load(spark, dims):
     write_table(raw["yellow"], feed_path(root, "yellow", P), "parquet")
     loaded()
     assert counts() == (n, 0)
-    got = read_fact(spark, f"{wh}/fact_yellow", fact_schema("yellow"))
+    got = read_loaded(spark, wh, "yellow")
     assert got.exceptAll(good).count() == 0
 
 
@@ -295,6 +292,6 @@ def test_cli_dims_then_month(spark, landing, capsys):
     printed = capsys.readouterr().out
     assert "dim_flags" in printed and "'period': '2024-01'" in printed
     for feed in ("yellow", "green"):
-        n = read_fact(spark, f"{wh}/fact_{feed}", fact_schema(feed)).count()
+        n = read_loaded(spark, wh, feed).count()
         assert n == build_fact(event_trips(spark, SF001, feed), feed, P,
                                build_dims(spark)).count()

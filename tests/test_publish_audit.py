@@ -19,7 +19,7 @@ from tripmart.operators.publish import (conform, load_month, read_dim, read_fact
 from tripmart.period import Period
 from tripmart.plans.tables import ORDER_FACT_SCHEMA, published_orders
 from tripmart.schemas import FACTS
-from tripmart.session import shared_path
+from tripmart.session import path_exists, shared_path
 from tripmart.sources.adapters import event_trips
 from tripmart.sources.landing import landing_status, manifest_from_paths
 
@@ -254,10 +254,15 @@ def test_export_month_csv_takes_only_its_month(spark):
 
 def test_warehouse_month_load_sees_stale_tables(spark, monkeypatch):
     """A load that leaves an emptied month as it was turns the query red."""
-    from tripmart import jobs
+    from tripmart.operators import month
     from tripmart.plans import registry
     n = registry.q_warehouse_month_load(spark, SF001).count()
     assert n == registry.e_fact(spark, SF001, "yellow").count() > 0
-    monkeypatch.setattr(jobs, "load_month", lambda df, path, period: load_month(df, path))
+    swap = month._swap
+
+    def first_only(spark, path, staged, period):
+        if not path_exists(spark, month._month_path(path, period)):
+            swap(spark, path, staged, period)
+    monkeypatch.setattr(month, "_swap", first_only)
     with pytest.raises(RuntimeError, match="landed last"):
         registry.q_warehouse_month_load(spark, SF001)

@@ -13,16 +13,18 @@ import argparse
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .operators.audit import pk_audit
+from .operators.audit import miss_counts, pk_audit
+from .operators.clean import clean
 from .operators.dims import DATE_END, DATE_START, Dims, build_dims, dims_from_tables
-from .operators.facts import build_fact
-from .operators.publish import (load_month, read_fact, read_table, split_conformed, tag_conformance,
-                                to_layout, write_table)
+from .operators.facts import build_fact, key_fact
+from .operators.month import read_months, replace_month
+from .operators.publish import read_table, tag_conformance, to_layout, write_table
 from .period import Period, default_period
-from .schemas import DIM_BASE, DIM_ZONE, DIMS
+from .schemas import DIM_BASE, DIM_ZONE, DIMS, RAW
 from .session import path_exists
 from .sources.feeds import read_feed
 from .sources.landing import REQUIRED_FEEDS, landing_status, manifest_from_paths
@@ -87,25 +89,55 @@ def read_lookup(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return read_table(spark, path, {"zone": DIM_ZONE, "base": DIM_BASE}[kind], "csv")
 
 
+_layouts: dict[str, T.StructType] = {}
+
+
+def _layout(spark: SparkSession, feed: str) -> T.StructType:
+    """The types that rejects of ``feed`` keep; the same for every month."""
+    if feed not in _layouts:
+        empty = spark.createDataFrame([], RAW[feed])
+        _layouts[feed] = to_layout(build_fact(empty, feed, Period("2000", "01"), build_dims(spark)), feed).schema
+    return _layouts[feed]
+
+
+def month_table(warehouse: str, feed: str) -> str:
+    return f"{warehouse.rstrip('/')}/trips_{feed}"
+
+
+def read_loaded(spark: SparkSession, warehouse: str, feed: str) -> DataFrame:
+    """The fact of ``feed``: conformed rows of all months loaded."""
+    return _read(spark, warehouse, feed)[0]
+
+
+def read_rejects(spark: SparkSession, warehouse: str, feed: str) -> DataFrame:
+    """Rows of ``feed`` that no month could load, as they came, with the reason."""
+    return _read(spark, warehouse, feed)[1]
+
+
+def _read(spark: SparkSession, warehouse: str, feed: str) -> tuple[DataFrame, DataFrame]:
+    return read_months(spark, month_table(warehouse, feed), feed, _layout(spark, feed))
+
+
 def load_feed_month(spark: SparkSession, feed: str, period: Period, landing: str,
                     warehouse: str, dims: Dims) -> dict:
-    """Build, conform and load one feed-month: conformed rows replace the month
-    in ``fact_<feed>``, rejects that in ``rejects_<feed>``, also when there are
-    none. Returns the numbers of rows read, loaded and rejected, and ``dropped``:
-    rows that the cleaning rules or a missing date or time key left out. Raises
+    """Build, conform and load one feed-month in one job and one step: conformed
+    rows and rejects replace those of the month together, also when there are
+    none (``read_loaded``, ``read_rejects``). The job itself counts the rows read,
+    loaded and rejected, ``dropped`` (rows that the cleaning rules or a missing
+    key left out) and the key misses per role; nothing is read twice. Raises
     ``NothingLoaded``, before anything is replaced, if the calendar does not
     cover the month."""
     if not (dims.date_start <= period.first_day() and period.last_day() <= dims.date_end):
         raise NothingLoaded(f"{feed} {period}: dim_date covers {dims.date_start} to {dims.date_end} only")
-    raw = read_feed(spark, feed, period, landing)
-    tagged = tag_conformance(to_layout(build_fact(raw, feed, period, dims), feed), feed)
-    good, rejects = split_conformed(tagged, feed)
-    base, count = warehouse.rstrip("/"), {"read": raw.count()}
-    for name, table, rows in (("loaded", "fact", good), ("rejected", "rejects", rejects)):
-        path = f"{base}/{table}_{feed}"
-        load_month(rows, path, period)
-        count[name] = read_fact(spark, path, rows.schema).where(
-            (F.col("data_year") == period.year) & (F.col("data_month") == period.month)).count()
+    read, misses = Observation(f"read {feed} {period}"), miss_counts(dims)
+    raw = read_feed(spark, feed, period, landing).observe(read, F.count(F.lit(1)).alias("read"))
+    cleaned = clean(raw, feed)
+    missed = Observation(f"misses {feed} {period}")
+    if misses:
+        cleaned = cleaned.observe(missed, *misses)
+    tagged = tag_conformance(to_layout(key_fact(cleaned, feed, period, dims), feed), feed)
+    outcome = replace_month(tagged, month_table(warehouse, feed), feed, period)
+    count = {**read.get, **outcome, **(missed.get if misses else {})}
     count["dropped"] = count["read"] - count["loaded"] - count["rejected"]
     return {"feed": feed, "period": str(period), **count}
 
@@ -158,7 +190,7 @@ def main(argv: Sequence[str] | None = None) -> None:
 
 
 __all__ = ["DIMS", "IncompleteMonth", "KeyViolation", "NothingLoaded", "load_feed_month", "load_period",
-           "publish_dims", "read_lookup", "read_published_dims", "require_landed"]
+           "publish_dims", "read_loaded", "read_lookup", "read_published_dims", "read_rejects", "require_landed"]
 
 if __name__ == "__main__":
     main()

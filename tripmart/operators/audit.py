@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import DIM_KEYS
+from ..functions import in_date_range
+from ..schemas import DIM_KEYS, FACTS
 from .dims import Dims, legacy_dim_date, legacy_dim_time
 
 # Declared foreign keys per fact: (fact column, dimension).
@@ -58,23 +59,34 @@ def _key_pair(col, as_string: bool):
     return F.struct(col.try_cast("bigint").alias("ikey"), F.lit(None).cast("string").alias("skey"))
 
 
-def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
-    """One row per declared FK, always all of them: ``checked`` (its dimension
-    is there), ``checked_rows`` (non-null keys), ``orphan_rows`` and
-    ``orphan_keys`` (distinct keys with no dimension row). Without its dimension
-    a key is listed unchecked, with null counts.
-    The fact is scanned once: its FK columns are unpivoted to (fk_column, key)
-    and reduced to distinct keys with counts before they meet the dimension
-    keys. Keys keep their kind (integer or text); a dimension key is compared
-    in the kind of the fact column that references it."""
+def fk_key_counts(fact: DataFrame, feed: str, by=()) -> DataFrame:
+    """``(*by, fk_column, ikey, skey, n)``: how often each non-null key of every
+    declared FK occurs. The fact is scanned once; its FK columns are unpivoted and
+    reduced to distinct keys. With ``by=("data_year", "data_month")`` a month load
+    keeps the counts of its own month; those of all months add up."""
+    columns = [c for c, _ in FKS[feed]]
+    text = {c: isinstance(fact.schema[c].dataType, T.StringType) for c in columns}
+    pairs = (fact.select(*by, *[_key_pair(F.col(c), text[c]).alias(c) for c in columns])
+             .unpivot(list(by), columns, "fk_column", "k")
+             .select(*by, "fk_column", "k.ikey", "k.skey"))
+    return (pairs.filter(F.col("ikey").isNotNull() | F.col("skey").isNotNull())
+                 .groupBy(*by, "fk_column", "ikey", "skey").agg(F.count(F.lit(1)).alias("n")))
+
+
+def fk_audit_of(counts: DataFrame, dims: Dims, feed: str) -> DataFrame:
+    """``fk_audit`` from ``fk_key_counts``, also from those of many months."""
     fks = [(c, d) for c, d in FKS[feed] if dims.table(d) is not None]
-    spark = fact.sparkSession
-    text = {c: isinstance(fact.schema[c].dataType, T.StringType) for c, _ in fks}
-    pairs = (fact.select(*[_key_pair(F.col(c), text[c]).alias(c) for c, _ in fks])
-             .unpivot([], [c for c, _ in fks], "fk_column", "k")
-             .select("fk_column", "k.ikey", "k.skey"))
-    keys = (pairs.filter(F.col("ikey").isNotNull() | F.col("skey").isNotNull())
-                 .groupBy("fk_column", "ikey", "skey").agg(F.count(F.lit(1)).alias("n")))
+    spark = counts.sparkSession
+    known = dict(fks)
+    listing = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"('{c}', '{d}', {str(c in known).lower()})" for c, d in FKS[feed])
+        + " AS t(fk_column, ref_table, checked)")
+    if not fks:
+        none = F.lit(None).cast("bigint")
+        return listing.select("*", *[none.alias(c) for c in ("checked_rows", "orphan_rows", "orphan_keys")])
+    text = {c: isinstance(t, T.StringType) for c, t in FACTS[feed]}
+    keys = (counts.where(F.col("fk_column").isin(list(known))).groupBy("fk_column", "ikey", "skey")
+            .agg(F.sum("n").alias("n")))
     dim_keys = _union([
         dims.table(d).select(F.lit(c).alias("fk_column"),
                              _key_pair(F.col(DIM_KEYS[d]), text[c]).alias("k"))
@@ -94,16 +106,24 @@ def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
         F.sum("n").alias("checked_rows"),
         F.sum(F.when(orphan, F.col("n"))).alias("orphan_rows"),
         F.count(F.when(orphan, 1)).alias("orphan_keys"))
-    known = dict(fks)
-    listing = spark.sql("SELECT * FROM VALUES " + ", ".join(
-        f"('{c}', '{d}', {str(c in known).lower()})" for c, d in FKS[feed])
-        + " AS t(fk_column, ref_table, checked)")
     count = lambda c: F.when(F.col("checked"), F.coalesce(c, F.lit(0)).cast("bigint")).alias(c)
     return (listing.join(stats, "fk_column", "left")
             .select("fk_column", "ref_table", "checked",
                     *map(count, ("checked_rows", "orphan_rows", "orphan_keys"))))
 
 
+def fk_audit(fact: DataFrame, dims: Dims, feed: str) -> DataFrame:
+    """One row per declared FK, always all of them: ``checked`` (its dimension
+    is there), ``checked_rows`` (non-null keys), ``orphan_rows`` and
+    ``orphan_keys`` (distinct keys with no dimension row). Without its dimension
+    a key is listed unchecked, with null counts.
+    The fact is scanned once: its FK columns are unpivoted to (fk_column, key)
+    and reduced to distinct keys with counts before they meet the dimension
+    keys. Keys keep their kind (integer or text); a dimension key is compared
+    in the kind of the fact column that references it."""
+    return fk_audit_of(fk_key_counts(fact, feed), dims, feed)
+
+
 def pk_audit(tables: dict[str, DataFrame]) -> DataFrame:
     """Per dimension: rows, null keys and keys that occur more than once."""
     out = []
@@ -120,12 +140,31 @@ def pk_audit(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(out)
 
 
+def miss_counts(dims: Dims) -> list[Column]:
+    """Aggregates ``<role>_<kind>_misses`` over cleaned trips: rows whose date or
+    clock minute finds no dimension row. In arithmetic form, so none for a
+    calendar with holes or an incomplete clock."""
+    if not (dims.date_contiguous and dims.time_complete):
+        return []
+    out = []
+    for role in ("pickup", "dropoff"):
+        known = F.coalesce(in_date_range(f"{role}_datetime", dims.date_start, dims.date_end), F.lit(False))
+        out += [F.count_if(~known).alias(f"{role}_date_misses"),
+                F.count_if(F.col(f"{role}_hour").isNull()).alias(f"{role}_time_misses")]
+    return out
+
+
 def key_misses(trips: DataFrame, dims: Dims) -> DataFrame:
     """Rows of cleaned trips (with ``pickup_*`` / ``dropoff_*`` parts) whose
     date or clock minute has no dimension row, per role and kind: the rows
-    the inner key lookups drop. One pass: four left joins against the
-    (distinct) dimension parts mark matches, one aggregation counts the
-    unmarked rows."""
+    the inner key lookups drop. One pass: range tests where the calendar has no
+    holes and the clock is complete; otherwise four left joins against the
+    (distinct) dimension parts mark matches. One aggregation counts the rows."""
+    if miss_counts(dims) and "pickup_datetime" in trips.columns:
+        counts = trips.agg(*miss_counts(dims))
+        long = counts.unpivot([], counts.columns, "rk", "missing_rows")
+        part = F.split("rk", "_")
+        return long.select(part[0].alias("role"), part[1].alias("kind"), F.col("missing_rows").cast("bigint").alias("missing_rows"))
     checks = []
     marked = trips
     for role in ("pickup", "dropoff"):

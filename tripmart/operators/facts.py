@@ -41,7 +41,12 @@ def build_fact(raw: DataFrame, feed: str, period: Period | None, dims: Dims,
     ``dropoff_time_id`` and the period tags."""
     if feed not in ("yellow", "green", "highvol"):
         raise ValueError(f"unknown feed {feed!r}")
-    out = add_keys(clean(raw, feed), dims, how)
+    return key_fact(clean(raw, feed), feed, period, dims, how)
+
+
+def key_fact(cleaned: DataFrame, feed: str, period: Period | None, dims: Dims, how: str = "arith") -> DataFrame:
+    """The rest of ``build_fact`` for rows that went through ``clean``."""
+    out = add_keys(cleaned, dims, how)
     if feed == "highvol":
         out = add_flag_key(out, dims)
     return tag_period(out, period)

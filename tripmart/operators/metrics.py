@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,6 +152,42 @@ def share_of_total(view: DataFrame, measure: str, by) -> DataFrame:
     return grouped.withColumn(f"share_{name}", ratio(f"total_{name}", grand))
 
 
+TILES = ("kpi", "payment_type", "trip_type")
+
+
+def dashboard(view: DataFrame, year, month) -> DataFrame:
+    """The whole dashboard in one aggregation over ``view`` (a star view with
+    calendar, ``payment_type`` and ``trip_type``): grouping sets over (), payment
+    and trip type. One row per ``tile`` and member:
+
+    * ``kpi``: year-over-year revenue, fare, tip, distance and the total fare;
+    * ``payment_type``: year-over-year revenue and fare, members where one of
+      them is not null;
+    * ``trip_type``: total fare and its share of all, whatever the period.
+
+    No trips, no rows. ``grouping_id`` tells a tile from a null member. The share's total is a
+    window over the grouped rows, one per member of two dimensions."""
+    cur, prev = period_condition(year, month), period_condition(year, month, 1)
+    aggs = [F.sum("fare_amount").alias("total"), F.grouping_id().alias("gid")]
+    for name, col in MEASURES.items():
+        aggs += [F.sum(F.when(cur, F.col(col))).alias(f"cur_{name}"),
+                 F.sum(F.when(prev, F.col(col))).alias(f"prev_{name}")]
+    sets = view.groupingSets([[], [F.col("payment_type")], [F.col("trip_type")]],
+                             F.col("payment_type"), F.col("trip_type")).agg(*aggs)
+    # Bits of grouping_id: payment_type, trip_type; 1 where a column is not in the set.
+    tile = F.when(F.col("gid") == 3, TILES[0]).when(F.col("gid") == 1, TILES[1]).otherwise(TILES[2])
+    at = lambda *tiles: F.col("tile").isin(*tiles)
+    grand = F.max(F.when(at("kpi"), F.col("total"))).over(Window.partitionBy())
+    growth_of = lambda name, *tiles: F.when(at(*tiles), growth(f"cur_{name}", f"prev_{name}")).alias(f"yoy_{name}")
+    out = sets.withColumn("tile", tile).withColumn("grand", grand).select(
+        "tile", F.coalesce("payment_type", "trip_type").alias("member"),
+        growth_of("revenue", "kpi", "payment_type"), growth_of("fare", "kpi", "payment_type"),
+        growth_of("tip", "kpi"), growth_of("distance", "kpi"),
+        F.when(at("kpi", "trip_type"), F.col("total")).alias("total_fare"),
+        F.when(at("trip_type"), ratio("total", "grand")).alias("share_fare"))
+    return out.where(~at("payment_type") | F.col("yoy_revenue").isNotNull() | F.col("yoy_fare").isNotNull())
+
+
 def star_rollup(view: DataFrame, by, fields: Sequence[str]) -> DataFrame:
     """Default aggregation per field: SUM for numbers, COUNT (non-null
     values) for everything else (text, dates, flags)."""

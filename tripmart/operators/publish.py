@@ -64,7 +64,8 @@ def tag_conformance(df: DataFrame, feed: str) -> DataFrame:
             continue
         if isinstance(t, T.StringType):
             n = VARCHAR.get(c)
-            conv = F.when(F.length(src) <= n, src) if n else src.cast("string")
+            # varchar widths count bytes.
+            conv = F.when(F.octet_length(src) <= n, src) if n else src.cast("string")
         elif isinstance(t, T.DecimalType) and isinstance(types[c], (T.DoubleType, T.FloatType)):
             fits = _decimal_fits(src, t)
             casts[c] = F.when(fits, src.cast(t))

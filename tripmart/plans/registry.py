@@ -24,7 +24,7 @@ from ..operators.publish import (conform, load_month, read_dim, read_fact, read_
                                  to_layout, write_table)
 from ..operators.star import ALL as STAR_ALL
 from ..operators.star import star_view
-from ..jobs import load_feed_month, read_lookup
+from ..jobs import load_feed_month, read_loaded, read_lookup, read_rejects
 from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
@@ -289,10 +289,10 @@ def q_warehouse_month_load(spark, sf):
         load_feed_month(spark, "yellow", E_PERIOD, root, wh, dims)
         landed = read_feed(spark, "yellow", E_PERIOD, root)
         want = conform(to_layout(build_fact(landed, "yellow", E_PERIOD, dims), "yellow"), "yellow")
-        for name, rows in zip(("fact_yellow", "rejects_yellow"), want):
-            if _stamp(read_fact(spark, f"{wh}/{name}", rows.schema)) != _stamp(rows):
-                raise RuntimeError(f"{name} is not that of the month as it landed last")
-    return to_plain(read_fact(spark, f"{wh}/fact_yellow", want[0].schema))
+        for read, rows in zip((read_loaded, read_rejects), want):
+            if _stamp(read(spark, wh, "yellow")) != _stamp(rows):
+                raise RuntimeError(f"{read.__name__}: not the month as it landed last")
+    return to_plain(read_loaded(spark, wh, "yellow"))
 
 
 def q_load_month_idempotent(spark, sf):
@@ -502,7 +502,7 @@ def _conform_sql() -> str:
             outs.append(f"{conv} AS {c}")
         else:
             n = O_VARCHAR.get(c)
-            conv = f"CASE WHEN length({c}) <= {n} THEN {c} END" if n else c
+            conv = f"CASE WHEN strlen({c}) <= {n} THEN {c} END" if n else c
             outs.append(f"{conv} AS {c}")
         checks.append(f"NOT ({c} IS NOT NULL AND {conv} IS NULL)")
     return with_e(f"SELECT {', '.join(outs)} FROM layout_yellow WHERE {' AND '.join(checks)}",
@@ -524,7 +524,7 @@ def _rejects_sql() -> str:
             conv = f"TRY_CAST({c} AS INTEGER)"
         else:
             n = O_VARCHAR.get(c)
-            conv = f"CASE WHEN length({c}) <= {n} THEN {c} END" if n else c
+            conv = f"CASE WHEN strlen({c}) <= {n} THEN {c} END" if n else c
         fails.append((c, f"({c} IS NOT NULL AND {conv} IS NULL)"))
         outs.append(f"CAST({c} AS DOUBLE) AS {c}" if c in O.MONEY else c)
     reason = "concat_ws(',', " + ", ".join(f"CASE WHEN {f} THEN '{c}' END" for c, f in fails) + ")"

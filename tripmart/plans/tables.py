@@ -56,12 +56,29 @@ _memo: dict = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, names) -> str:
-    """Changes with any file of the tables: path, length and modification time
-    as Spark lists them, on whatever storage they lie."""
+    """Changes with any file of the tables: path, length and modification time,
+    on whatever storage they lie. A table that is one file is asked for on the
+    driver; only a folder of files takes a Spark job to list."""
+    said, folders = [], []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for n in names:
+        path = f"{sf_dir.rstrip('/')}/{n}.parquet"
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        status = at.getFileSystem(conf).getFileStatus(at)
+        if status.isDirectory():
+            folders.append(n)
+        else:
+            said.append((path, status.getLen(), status.getModificationTime()))
+    if folders:
+        said.append(_listed(spark, sf_dir, folders))
+    return hashlib.sha1(repr(said).encode()).hexdigest()[:16]
+
+
+def _listed(spark: SparkSession, sf_dir: str, names) -> tuple:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
         [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]).select("path", "length", "modificationTime")
     h = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-    return hashlib.sha1(repr(files.agg(F.count("*"), F.sum(h)).first()).encode()).hexdigest()[:16]
+    return tuple(map(str, files.agg(F.count("*"), F.sum(h)).first()))
 
 
 def order_dims(spark: SparkSession, sf_dir: str) -> Dims:

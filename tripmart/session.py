@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Sizing for a large cluster (about 100 TB of trips, ~1000 executors). The
@@ -104,6 +104,14 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join(s.strip("/") if i else s.rstrip("/") for i, s in enumerate(segs))
 
 
+def written(df: DataFrame, *parts: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, and
+    cut from its lineage."""
+    path = shared_path(df.sparkSession, *parts)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists, through the Hadoop filesystem of the session."""
     jvm = spark.sparkContext._jvm

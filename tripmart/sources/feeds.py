@@ -5,13 +5,14 @@ INT64 in one month and DOUBLE in another, or change case (``airport_fee`` /
 ``Airport_fee``). Parquet cannot read INT64 as DOUBLE under a declared
 schema, so by default each month is read with its own footer schema and
 conformed by name to the declared raw schema (``try_cast`` only where the
-physical type differs, missing columns as null); the months are then one
-union. ``infer=False`` reads every month with the declared schema in a
+physical type differs, missing columns as null); months with one schema are
+one scan, and there is one union branch per distinct schema. ``infer=False`` reads every month with the declared schema in a
 single scan when the files are known to agree.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from functools import reduce
 
@@ -62,6 +63,21 @@ def read_feed(spark: SparkSession, feed: str, periods: Period | Iterable[Period]
         return reader().schema(RAW[feed]).parquet(
             *[feed_path(root, feed, p, template) for p in periods])
     frames = []
+    if infer and template == PATH_TEMPLATE and len(periods) > 1:
+        # One scan per distinct footer schema; the file's path names its month.
+        groups: dict[str, list[str]] = {}
+        for p in periods:
+            path = feed_path(root, feed, p)
+            groups.setdefault(reader().parquet(path).schema.json(), []).append(path)
+        month = rf".*/(\d{{4}})/(\d{{2}})/{FEED_FILE_PREFIX[feed]}_tripdata_"
+        at = lambda i: F.regexp_extract("_metadata.file_path", month, i)
+        for schema, paths in groups.items():
+            df = reader().schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths)
+            df = df.withColumns({"__year": at(1), "__month": at(2)}) if tag else df
+            tags = [T.StructField(c, T.StringType()) for c in ("__year", "__month")] if tag else []
+            frames.append(conform_raw(df, T.StructType([*RAW[feed].fields, *tags]))
+                          .withColumnsRenamed({"__year": "data_year", "__month": "data_month"}))
+        return reduce(DataFrame.unionByName, frames)
     for p in periods:
         path = feed_path(root, feed, p, template)
         df = (conform_raw(reader().parquet(path), RAW[feed]) if infer

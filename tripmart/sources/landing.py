@@ -12,12 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..period import Period
+from ..session import path_exists
 from .feeds import FEED_FILE_PREFIX
 
 REQUIRED_FEEDS = ("yellow", "green")
 
 
-def manifest_from_paths(spark: SparkSession, root: str) -> DataFrame:
+def manifest_from_paths(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """List landed files under ``root/<yyyy>/<MM>/<feed>_tripdata_<yyyy>-<MM>*``
     (a file, or a folder of part files) through the ``binaryFile`` source,
     selecting only path and length: file contents are not read."""
@@ -38,6 +40,28 @@ def manifest_from_paths(spark: SparkSession, root: str) -> DataFrame:
                  .select("year", "month", feed.alias("feed"), "path", "bytes"))
 
 
+MANIFEST = "year string, month string, feed string, path string, bytes long"
+
+
+def manifest_for(spark: SparkSession, root: str, periods: Sequence[Period]) -> DataFrame:
+    """``manifest_from_paths`` of some months: only their folders are listed, so
+    a check of one month costs the same however many lie there. Months without a
+    folder have no rows."""
+    folders = [f"{root.rstrip('/')}/{p.year}/{p.month}" for p in periods]
+    there = [f for f in folders if path_exists(spark, f)]
+    return manifest_from_paths(spark, there) if there else spark.createDataFrame([], MANIFEST)
+
+
+def merge_manifest(spark: SparkSession, stored: str, root: str, periods: Sequence[Period]) -> DataFrame:
+    """List some months again and replace their rows in the stored manifest, also
+    by none; other months are not listed. Returns the whole manifest."""
+    now = manifest_for(spark, root, periods)
+    for p in periods:
+        (now.where((F.col("year") == p.year) & (F.col("month") == p.month)).drop("year", "month").coalesce(1)
+         .write.mode("overwrite").parquet(f"{stored.rstrip('/')}/year={p.year}/month={p.month}"))
+    return spark.read.schema(MANIFEST).parquet(stored).select("year", "month", "feed", "path", "bytes")
+
+
 def landing_status(manifest: DataFrame, expected: DataFrame | None = None,
                    feeds: Sequence[str] = REQUIRED_FEEDS) -> DataFrame:
     """Per month ``(year, month, feeds_landed, result)``: ``success`` when
