@@ -316,9 +316,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) | ~F.exists(v, lambda x: x != 0)
     fine = ident.isNotNull() & F.col(label_col).isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True))
     label = F.col(label_col).cast("string")
+    # Single-precision vectors travel as such; all sums are in double precision.
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
     rows = vectors.select(ident.alias("id"), F.when(fine, F.xxhash64(label, v)).alias("h"),
                           F.when(fine, F.xxhash64(v, F.lit(1), label)).alias("h2"), label.alias("_label"),
-                          F.when(fine, F.transform(v, lambda x: x.cast("double"))).alias("v"))
+                          F.when(fine, v if kind == "array<float>" else v.cast("array<double>")).alias("v"))
     some = rows.where("h is not null")
     groups = saved(some.groupBy("h", "h2").agg(F.min(F.struct("id", F.xxhash64("_label").alias("label"), "v")).alias("r"),
                                                F.count("*").alias("copies"))
@@ -335,7 +337,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     reach = SIGMAS * float(np.sqrt(2 - 2 * least) / np.sqrt(dims))
     coded = saved(mapped(groups.select("id", "h", "label", "copies", "v"), _encoded(index, reach),
-                         "id long, h long, label long, copies long, v array<double>, home int, code binary, "
+                         f"id long, h long, label long, copies long, v {kind}, home int, code binary, "
                          "error double, visits array<int>"), "coded")
     size = saved(coded.groupBy("label", F.col("home").alias("list")).agg(
         F.ceil(F.count("*") / BLOCK_ROWS).cast("long").alias("s")), "lists")
