@@ -201,3 +201,24 @@ def test_file_period_tag_is_not_the_calendar(spark, dims):
 def to_layout_yellow(fact):
     from tripmart.operators.publish import to_layout
     return to_layout(fact, "yellow")
+
+
+def test_calendar_of_the_data(spark):
+    import datetime as dt
+    from tripmart.operators.dims import build_dim_date, build_dim_date_over
+    spans = spark.createDataFrame([(dt.date(2023, 12, 30), None), (None, None), (dt.date(2024, 2, 1), dt.date(2025, 1, 1))],
+                                  "lo date, hi date")
+    want = build_dim_date(spark, dt.date(2023, 1, 1), dt.date(2025, 12, 31))
+    got = build_dim_date_over(spans)
+    assert [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert build_dim_date_over(spans.limit(0)).count() == 0
+
+
+def test_literal_dimensions_keep_their_types(spark):
+    from tripmart import schemas
+    from tripmart.operators.dims import LITERALS
+    for name, rows in LITERALS.items():
+        got = build_literal_dim(spark, name)
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in schemas.DIMS[name]]
+        assert sorted(tuple(r) for r in got.collect()) == sorted(rows)

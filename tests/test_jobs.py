@@ -295,3 +295,33 @@ def test_cli_dims_then_month(spark, landing, capsys):
         n = read_loaded(spark, wh, feed).count()
         assert n == build_fact(event_trips(spark, SF001, feed), feed, P,
                                build_dims(spark)).count()
+
+
+def test_a_watched_stream_lists_its_months_only(spark, dims):
+    from tripmart.period import recent_periods
+    from tripmart.streaming.month_loader import SEEN, changed_months
+    root, table = shared_path(spark, "test", "landing_watch"), shared_path(spark, "test", "watch")
+    ckpt = shared_path(spark, "test", "watch_ckpt")
+    raw = event_trips(spark, SF001, "yellow")
+    for p in (P, Period("2024", "02")):
+        write_table(raw, feed_path(root, "yellow", p), "parquet")
+
+    def run():
+        q = start_month_loader(spark, "yellow", root, table, dims, ckpt, watch=lambda: [P, Period("2030", "01")])
+        q.awaitTermination()
+        assert q.exception() is None
+        return spark.read.schema(SEEN).parquet(f"{ckpt}/months").collect()
+
+    first = run()
+    assert [(r.year, r.month) for r in first] == [("2024", "01")]
+    assert run() == first                                # nothing changed
+    write_table(raw.limit(7), feed_path(root, "yellow", P), "parquet")
+    again = run()
+    assert len(again) == 1 and again != first            # replaced, not added
+    got = read_fact(spark, table, build_fact(raw, "yellow", P, dims).schema)
+    assert {r.data_month for r in got.select("data_month").distinct().collect()} == {"01"}
+    assert changed_months(spark, ["yellow"], root, f"{ckpt}/months", []) == []
+    assert [r.month for r in changed_months(spark, ["yellow"], root, f"{ckpt}/months")] == ["02"]
+    import datetime as dt
+    assert [str(p) for p in recent_periods(3, 1, dt.date(2024, 2, 29))] == ["2023-11", "2023-12", "2024-01"]
+    assert recent_periods(0) == []

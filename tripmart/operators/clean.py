@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import seconds_to_minutes, trip_minutes, trip_parts
 from ..schemas import TIMESTAMPS
 
+# Column names of the monthly files.
 # Green: a row is dropped when any of these is null (after the casts).
 GREEN_REQUIRED = [
     "VendorID", "RatecodeID", "PULocationID", "DOLocationID", "passenger_count",

@@ -56,7 +56,19 @@ def build_dim_date(spark: SparkSession, start: dt.date = DATE_START,
     if n < 1:
         raise ValueError(f"date span {start}..{end} is empty")
     d = F.date_add(F.lit(start), F.col("id").cast("int"))
-    days = spark.range(n).select(d.alias("full_date"))
+    return _date_columns(spark.range(n).select(d.alias("full_date")))
+
+
+def build_dim_date_over(spans: DataFrame) -> DataFrame:
+    """The calendar of the data itself: every day of all years that the rows
+    ``(lo, hi)`` of ``spans`` touch (dates; nulls are left out, no row at all gives
+    no day). One small aggregation; the span never passes through the driver."""
+    ends = spans.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <= hi")
+    first, last = F.trunc("lo", "year"), F.make_date(F.year("hi"), F.lit(12), F.lit(31))
+    return _date_columns(ends.select(F.explode(F.sequence(first, last)).alias("full_date")))
+
+
+def _date_columns(days: DataFrame) -> DataFrame:
     dow = F.dayofweek("full_date")
     weekday = F.when((dow >= 2) & (dow <= 6), 1).otherwise(0)
     return days.select(
@@ -76,7 +88,11 @@ def build_dim_time(spark: SparkSession) -> DataFrame:
 
 
 def build_literal_dim(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame(LITERALS[name], schemas.DIMS[name])
+    """The fixed rows, as literals of the plan: no Python data is shipped."""
+    fields = schemas.DIMS[name].fields
+    rows = [F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)))
+            for row in LITERALS[name]]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def build_dim_zone(lookup: DataFrame) -> DataFrame:

@@ -69,3 +69,8 @@ def default_period(year: str | None = None, month: str | None = None,
     today = today or dt.date.today()
     idx = today.year * 12 + (today.month - 1) - lag_months
     return Period(str(idx // 12), str(idx % 12 + 1))
+
+
+def recent_periods(n: int, lag_months: int = 0, today: dt.date | None = None) -> list[Period]:
+    """The ``n`` months up to ``today`` minus ``lag_months``, oldest first."""
+    return [default_period(today=today, lag_months=lag_months + i) for i in reversed(range(n))]

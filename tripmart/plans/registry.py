@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import default_period_cols, epoch_seconds, month_label, trip_minutes, trip_parts
 from ..operators import audit, metrics
 from ..operators.clean import INT_CASTS, clean, complete_rows, nonnegative_total
-from ..operators.dims import Dims, build_dim_base, build_dim_zone, build_dims
+from ..operators.dims import Dims, build_dim_base, build_dim_date_over, build_dim_zone, build_dims
 from ..operators.facts import WAREHOUSE_NAMES, build_fact
 from ..operators.keys import add_date_keys, add_flag_key, add_time_keys
 from ..operators.publish import (conform, load_month, read_dim, read_fact, read_table,
@@ -28,7 +28,8 @@ from ..jobs import load_feed_month, read_loaded, read_lookup, read_rejects
 from ..period import Period
 from ..schemas import VARCHAR as O_VARCHAR
 from ..session import shared_path
-from ..sources.adapters import base_lookup, event_trips, landing_manifest, table, zone_lookup
+from ..sources.adapters import (base_lookup, event_trips, landing_manifest, order_trips_days, table,
+                                zone_lookup)
 from ..sources.feeds import feed_path, read_feed
 from ..sources.landing import landing_status, missing_feeds
 from ..streaming.month_loader import start_month_loader
@@ -332,7 +333,8 @@ def q_pk_audit(spark, sf):
 
 
 def q_dim_date(spark, sf):
-    return to_plain(published_orders(spark, sf).dims.date)
+    """The calendar of the orders' trips, derived from the tables in one plan."""
+    return to_plain(build_dim_date_over(order_trips_days(spark, sf)))
 
 
 def _lookup_via_csv(spark, df, kind):
@@ -359,7 +361,7 @@ def q_dim_csv_roundtrip(spark, sf):
 
 def q_dim_parquet_roundtrip(spark, sf):
     path = shared_path(spark, "roundtrip", "dim_date_parquet")
-    write_table(published_orders(spark, sf).dims.date, path, "parquet")
+    write_table(build_dim_date_over(order_trips_days(spark, sf)), path, "parquet")
     return to_plain(read_dim(spark, "dim_date", path, "parquet"))
 
 

@@ -9,6 +9,7 @@ as in tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -79,7 +80,7 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for written tables: ``spark.checkpoint.dir``.
 
-    When it is unset on a local master (tests, single-node runs) a fresh
+    When it is unset on a master of one process (tests, single-node runs) a fresh
     folder is created and registered as the checkpoint dir. On a cluster an
     unset value is an error: a node-local folder would not survive the loss of
     the node that wrote it.
@@ -88,7 +89,7 @@ def shared_root(spark: SparkSession) -> str:
     if d:
         return d.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder "
                            "(HDFS/object store) before writing intermediate tables")
     d = tempfile.mkdtemp(prefix="tripmart-ckpt-")

@@ -149,6 +149,19 @@ def order_trips_span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date
     return dt.date(row["lo"].year, 1, 1), dt.date(hi.year, 12, 31)
 
 
+def order_trips_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The span of ``order_trips_span`` before it is widened to whole years, as
+    one row ``(lo, hi)`` of a plan."""
+    day = F.to_date("o_orderdate")
+    some = table(spark, sf_dir, "orders").agg(F.min(day).alias("lo"), F.max(day).alias("last"),
+                                              F.lit(None).cast("double").alias("longest"))
+    line = table(spark, sf_dir, "lineitem").agg(F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("last"),
+                                                F.max("l_quantity").cast("double").alias("longest"))
+    ends = some.union(line).agg(*(f(c).alias(c) for f, c in ((F.min, "lo"), (F.max, "last"), (F.max, "longest"))))
+    more = F.floor((1439 + F.coalesce("longest", F.lit(0.0))) / 1440).cast("int") + 1
+    return ends.select("lo", F.date_add("last", more).alias("hi"))
+
+
 def order_trip_parts(trips: DataFrame) -> DataFrame:
     """Parts and minutes for ``order_trips`` rows (input of ``add_keys``)."""
     return trips.select("*", *trip_parts("pickup_datetime", "dropoff_datetime"),
