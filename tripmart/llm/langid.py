@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import Text, U, byte_hash, byte_sums, mapped, mix, run_hash, saved, texts
 
 DOCS_PER_LABEL = 300   # bound of the training sample
+FAN_IN = 16            # groups whose first rows are ranked together
 PIECES = 4             # pieces of a sampled text
 PIECE_WORDS = 32       # words of a piece
 BITS = 15              # weights per feature kind, as a power of two
@@ -205,6 +206,24 @@ def _pieces(batches):
             ["lang", "piece"])
 
 
+def _least(rows: DataFrame, one: list[str], order: list) -> DataFrame:
+    """The first ``DOCS_PER_LABEL`` rows of each label in ``order``, found in a
+    tournament: each task keeps its own first rows, then groups of ``FAN_IN``
+    tasks theirs, and so on. However many rows a label has, no task ranks more
+    than ``FAN_IN * DOCS_PER_LABEL`` of it that other tasks have kept. The groups
+    decide where rows meet, not which ones stay."""
+    rows = rows.withColumn("g", F.spark_partition_id())
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while True:
+        last = tasks <= FAN_IN
+        rows = rows.withColumn("g", F.lit(0) if last else F.expr(f"int(g div {FAN_IN})"))
+        place = F.row_number().over(Window.partitionBy("lang", "g").orderBy(*order))
+        rows = rows.withColumn("r", place).where(F.col("r") <= DOCS_PER_LABEL).select(*one, "g")
+        if last:
+            return rows.drop("g")
+        tasks = -(-tasks // FAN_IN)
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """The model of ``docs``: learned from a sample of at most ``DOCS_PER_LABEL``
     documents per label, those with the least hash of their id, among documents
@@ -216,9 +235,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                        & ~held_out(ident)).select(ident.alias("id"), F.col(lang_col).cast("string").alias("lang"),
                                                   F.col(text_col).cast("string").alias("text"))
     known, one = known.withColumn("h", F.xxhash64("text")), ["lang", "id", "h"]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h")
-    some = saved(known.select(*one).distinct().withColumn("r", F.row_number().over(order))
-                 .where(F.col("r") <= DOCS_PER_LABEL).select(*one), "sample")
+    some = _least(known.select(*one).distinct(), one, [F.xxhash64("id"), F.col("id"), F.col("h")])
+    some = saved(some, "sample")
     rows = known.join(some, one, "left_semi").groupBy(*one).agg(F.min("text").alias("text")).select("lang", "text")
     got = rows.mapInArrow(_pieces, "lang string, piece binary").collect()
     return train(sorted((r[0], bytes(r[1])) for r in got))
