@@ -1,13 +1,17 @@
 """Cases that once went wrong: rows that share an id or have none in passage
 dedup, ties in mixing, and groups of near copies in the n-gram join."""
 
+import gzip
 import random
+import re
+from datetime import UTC, datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripmart.llm import mixing, ngram_join, suffix_dedup
+from tripmart.llm import langid, mixing, ngram_join, suffix_dedup, warc
+from tripmart.session import shared_path
 
 TEXTS = "doc_id long, text string"
 
@@ -125,3 +129,47 @@ def test_fine_points_bound_the_overlap():
         assert len(p[1]) == len(x) and (p[1] == (x >> np.uint64(64 - p[0])).astype(np.int64)).all()
         assert len(np.intersect1d(x, y)) <= ngram_join._shared_groups(p, q) <= len(x)
     assert ngram_join._fine(np.arange(5000, dtype=np.uint64)) == b""
+
+
+def test_sample_is_the_least_of_each_label_in_any_grouping(spark, monkeypatch):
+    monkeypatch.setattr(langid, "DOCS_PER_LABEL", 9)
+    monkeypatch.setattr(langid, "FAN_IN", 2)
+    one = ["lang", "id", "h"]
+    rows = [("hot" if i % 10 else f"l{i % 3}", i, i * 7919 % 101) for i in range(1500)]
+    df = spark.createDataFrame(rows, "lang string, id long, h long")
+    want = {}
+    for lang, i, h in rows:
+        want.setdefault(lang, []).append((h, i))
+    want = {lang: sorted(v)[:9] for lang, v in want.items()}
+    for parts in (1, 7):
+        got = {}
+        for r in langid._least(df.repartition(parts).distinct(), one, [F.col("h"), F.col("id")]).collect():
+            got.setdefault(r.lang, []).append((r.h, r.id))
+        assert {lang: sorted(v) for lang, v in got.items()} == want
+    assert langid._least(df.limit(0), one, [F.col("h"), F.col("id")]).count() == 0
+
+
+def test_warc_records_have_dates_and_names_of_their_own(spark):
+    same = "x" * 120
+    rows = [(1, same, "2024-02-03 04:05:06"), (2, same, None), (2, same, "no time"), (3, "short", None),
+            (3, "short", None), (None, same, None), (None, same, None), (4, "y" * 200, "0001-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "page_id long, html string, seen string").withColumn("url", F.lit("u"))
+    folder = shared_path(spark, "test", "warc")
+    manifest = warc.write_warc(df, folder, date_col="seen")
+    raw = [gzip.decompress(r.content) for r in spark.read.format("binaryFile").load(folder).collect()]
+    heads = re.findall(rb"WARC/1.1\r\n(.*?)\r\n\r\n", b"".join(raw), re.S)
+    heads = [dict(line.split(": ", 1) for line in h.decode().split("\r\n")) for h in heads]
+    assert len(heads) == len(rows) == len({h["WARC-Record-ID"] for h in heads})
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["WARC-Date"]) for h in heads)
+    names = {h["WARC-Record-ID"]: h["WARC-Type"] for h in heads}
+    refers = [h["WARC-Refers-To"] for h in heads if "WARC-Refers-To" in h]
+    assert len(refers) == 2 and {names[r] for r in refers} == {"response"}
+    got = warc.read_warc(spark, folder, manifest).collect()
+    assert sorted((r.page_id, r.refers_to) for r in got if r.page_id and r.refers_to) == [(2, 1), (2, 1)]
+    when = {r.page_id: r.date for r in got}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    want = spark.sql("SELECT date_format(to_utc_timestamp(TIMESTAMP '2024-02-03 04:05:06', "
+                     f"'{zone}'), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")").first()[0]
+    assert when[1] == want and when[4].startswith("000")
+    now = datetime.now(UTC).year
+    assert all(int(when[i][:4]) in (now - 1, now) for i in (2, 3, None))

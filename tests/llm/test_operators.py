@@ -503,7 +503,7 @@ def test_pack_equals_tokenizer(spark, docs, empty):
         assert [p.offset for p in s] == np.cumsum([0] + [p.length for p in s])[:-1].tolist()
         assert s[-1].offset + s[-1].length <= packing.CAPACITY
     slow = packing.pack(df, kit["tokenizer"]).agg(F.sum(F.crc32("ids")), F.count("*")).first()
-    assert slow[1] == len(got)
+    assert slow[1] == len(got) and slow[0] == sum(zlib.crc32(p.ids) for p in got)
     assert packing.pack(empty, **kit).count() == 0
 
 

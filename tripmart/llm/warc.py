@@ -17,6 +17,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,24 +39,34 @@ _HASHES = {"md5", "sha1", "sha224", "sha256", "sha384", "sha512"}
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _uri(page: int | None) -> str:
-    return f"<urn:page:{'null' if page is None else page}>"
+def _uri(page: int | None, digest: str, apart: bool) -> str:
+    """The name of a record; ``apart`` makes it one of its own also among rows
+    with the same id and payload."""
+    own = f":{uuid.uuid4().hex}" if apart else ""
+    return f"<urn:page:{'null' if page is None else page}:{digest}{own}>"
 
 
 def _page(uri: str) -> int | None:
-    m = re.fullmatch(r"<urn:page:(-?\d+)>", uri, re.ASCII)
+    m = re.fullmatch(r"<urn:page:(-?\d+)(?::[0-9a-f]{64})?(?::[0-9a-f]{32})?>", uri, re.ASCII)
     return int(m[1]) if m and -1 << 63 <= int(m[1]) < 1 << 63 else None
 
 
-def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """A response, or a revisit (without its payload) of ``refers_to``."""
+def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None,
+           date: int | None = None, named: bool = False) -> bytes:
+    """A response, or a revisit (without its payload) of ``refers_to``. ``date`` is
+    that of the capture in seconds of Unix time (null, or beyond the years 1 to
+    9999: the time of writing). The record that others refer
+    to is ``named`` by its id and payload alone; others have names of their own."""
     block = _HTTP + (payload if refers_to is None else b"")
-    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _uri(page)),
+    when = datetime.now(UTC) if date is None or not -62135596800 <= date < 253402300800 \
+        else datetime(1970, 1, 1, tzinfo=UTC) + timedelta(seconds=date)
+    head = [("WARC-Type", "response" if refers_to is None else "revisit"),
+            ("WARC-Record-ID", _uri(page, digest, not named)), ("WARC-Date", when.strftime("%Y-%m-%dT%H:%M:%SZ").rjust(20, "0")),
             ("WARC-Target-URI", re.sub(r"[\r\n]", " ", url or "")),
             ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", str(len(payload))),
             ("Content-Type", "application/http;msgtype=response"), ("Content-Length", str(len(block)))]
     if refers_to is not None:
-        head += [("WARC-Refers-To", _uri(refers_to)), ("WARC-Profile", _PROFILE)]
+        head += [("WARC-Refers-To", _uri(refers_to, digest, False)), ("WARC-Profile", _PROFILE)]
     lines = "".join(f"{k}: {v}\r\n" for k, v in head).encode()
     return b"WARC/1.1\r\n" + lines + b"\r\n" + block + b"\r\n\r\n"
 
@@ -166,6 +177,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int] | None:
             "payload_bytes": length if length is not None or payload is None else len(payload),
             "refers_to": _page(head.get("warc-refers-to", "").strip(" \t")),
             # This module's own urls may begin or end with blanks.
+            "date": head["warc-date"].strip(" \t") if "warc-date" in head else None,
             "url": url if url is None or length is not None else url.strip(" \t"), "payload": payload}, after + 4
 
 
@@ -249,12 +261,12 @@ def _write(folder: str):
                 out = None
 
         for batch in batches:
-            for page, url, html, digest, refers in zip(*(c.to_pylist() for c in batch.columns)):
+            for page, url, html, digest, refers, date, named in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     # A new name for each attempt: what a lost task left is in no manifest.
                     name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = store.open_output_stream(f"{base}/{name}", compression=None)
-                raw = member(record(page, url, (html or "").encode(), digest, refers))
+                raw = member(record(page, url, (html or "").encode(), digest, refers, date, named))
                 out.write(raw)
                 size, count = size + len(raw), count + 1
                 if size > FILE_BYTES:
@@ -267,7 +279,7 @@ def _write(folder: str):
 
 
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html") -> DataFrame:
+               html_col: str = "html", date_col: str | None = None) -> DataFrame:
     """Archive ``pages`` under ``folder`` (on storage that all executors share);
     returns the manifest ``(file, bytes, records)`` of the files that count.
 
@@ -275,7 +287,9 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     ``MIN_REVISIT`` bytes or more the one with the smallest id is a response, the
     others (larger ids) revisit it. Repeated rows with that id are responses too;
     rows with a null id are responses and are referred to by none. Null urls are
-    empty. An empty table writes no file.
+    empty. An empty table writes no file. ``date_col`` holds the times of capture
+    (null, no time, or no column given: the time of writing). Record names are unique but for
+    repeated rows of a record that is referred to, which is one record twice.
 
     Payloads are compared by SHA-256 in a narrow table; only digests of several
     pages reach the join, whose skewed keys AQE splits. Pages are read once more
@@ -287,15 +301,17 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     long_ = pages.where((F.octet_length(html) >= MIN_REVISIT) & page.isNotNull())
     same = saved(long_.groupBy(digest.alias("digest")).agg(F.min(page).alias("first"), F.max(page).alias("last"))
                  .where("first < last").select("digest", "first"), "payloads")
+    date = F.unix_timestamp(F.col(date_col).try_cast("timestamp")) if date_col else F.lit(None).cast("long")
     rows = pages.select(page.alias("page"), F.col(url_col).cast("string").alias("url"), html.alias("html"),
-                        digest.alias("digest"))
+                        digest.alias("digest"), date.alias("date"))
     placed = rows.join(same, "digest", "left").select(
-        "page", "url", "html", "digest", F.when(F.col("page") > F.col("first"), F.col("first")).alias("refers"))
+        "page", "url", "html", "digest", F.when(F.col("page") > F.col("first"), F.col("first")).alias("refers"),
+        "date", F.coalesce(F.col("page") == F.col("first"), F.lit(False)).alias("named"))
     return saved(placed.mapInArrow(_write(folder), "file string, bytes long, records long"), "manifest")
 
 
 _RECORD = ("page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, "
-           "url string, payload binary, file string, gap_start long, gap_end long")
+           "url string, date string, payload binary, file string, gap_start long, gap_end long")
 
 
 def _read(batches):
