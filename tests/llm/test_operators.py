@@ -4,6 +4,7 @@ columns with clashing names."""
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -214,12 +215,58 @@ def test_shards_grow_only_into_the_new_one(docs, empty):
     assert sharding.slots(sharding.shard(empty, sharding.tree(3)), 3, "doc_id", ["doc_id"]).count() == 0
 
 
+def plain_descent(key, shards):
+    """Region, rack and shard of a row, one weighted draw per child and level."""
+    path = ()
+    for depth in range(1, 4):
+        weights = Counter()
+        for s in shards:
+            at = (s.region, s.rack, s.number)[:depth]
+            if at[:-1] == path and s.weight > 0:
+                weights[at] += s.weight
+        draws = {at: -math.log((int(hashlib.md5(f"{key}:{'/'.join(map(str, at))}".encode()).hexdigest()[:13], 16) + 1)
+                               / 2 ** 52) / w for at, w in weights.items()}
+        path = min(sorted(draws), key=draws.get)
+    return path
+
+
+def heavier(tree, number, weight):
+    return [sharding.Shard(s.number, s.region, s.rack, weight if s.number == number else s.weight) for s in tree]
+
+
+def test_descent_level_by_level(spark):
+    ids = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    uneven = heavier(heavier(sharding.tree(26), 7, 0.0), 3, 2.5)
+    for tree in (sharding.tree(24), uneven):
+        for r in sharding.shard(ids, tree).select("doc_id", "shard").collect():
+            assert r.shard == plain_descent(r.doc_id, tree)[2]
+
+
+def test_every_shard_beyond_the_built_ones_takes_rows_only_into_itself(spark):
+    ids = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    for n in (24, 25, 29):
+        rows = sharding.shard(ids, sharding.tree(n), sharding.tree(n + 1)).select("shard", "grown_shard").collect()
+        assert all(r.grown_shard in (r.shard, n) for r in rows)
+        assert 0.6 < sum(r.grown_shard == n for r in rows) / (3000 / (n + 1)) < 1.5
+        assert set(Counter(r.shard for r in rows)) == set(range(n))
+
+
 def test_weights_move_rows_within_changed_subtrees(spark):
     ids = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    # A shard in a region of its own: rows move into it alone.
+    tree = sharding.tree(13, built=12)
+    rows = sharding.shard(ids, tree, heavier(tree, 12, 2.0)).select("shard", "grown_shard").collect()
+    assert all(r.shard == r.grown_shard or r.grown_shard == 12 for r in rows)
+    assert 1.5 < sum(r.grown_shard == 12 for r in rows) / sum(r.shard == 12 for r in rows) < 2.4
+    # A shard among others: at every level rows move only into the child that holds it,
+    # and what lies below other nodes stays.
     tree = sharding.tree(12)
-    heavy = [sharding.Shard(s.number, s.region, s.rack, 2.0 if s.number == 5 else 1.0) for s in tree]
-    rows = sharding.shard(ids, tree, heavy).select("shard", "grown_shard").collect()
-    assert all(r.shard == r.grown_shard or r.grown_shard == 5 for r in rows)
+    at = {s.number: (s.region, s.rack, s.number) for s in tree}
+    rows = sharding.shard(ids, tree, heavier(tree, 5, 2.0)).select("shard", "grown_shard").collect()
+    for r in rows:
+        old, new = at[r.shard], at[r.grown_shard]
+        same = next((i for i in range(3) if old[i] != new[i]), 3)
+        assert same == 3 or new[:same + 1] == at[5][:same + 1]
     assert 1.5 < sum(r.grown_shard == 5 for r in rows) / sum(r.shard == 5 for r in rows) < 2.4
 
 

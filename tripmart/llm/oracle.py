@@ -68,20 +68,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 def _op4() -> str:
     from .queries import SHARDS
     from .sharding import SLOT_ROWS
-    # Equal weights: the least exponential draw is the one with the largest hash number.
-    pick = lambda n: (f"-(list_sort(list_transform(range({n}), lambda i: "
-                      "{'h': substr(md5(doc_id || ':' || i), 1, 13), 'i': -i}), 'DESC')[1].i)")
+    # 24 shards: shard r + 2 * (k + 3 * j) is the j-th of rack k in region r; the 25th is region 2.
+    # Among equal weights the least exponential draw is the largest hash number.
+    number = lambda name: f"('0x' || substr(md5(doc_id || ':' || {name}), 1, 13))::BIGINT"
+    region = lambda r, w: f"-ln(({number(r)} + 1) / 4503599627370496::DOUBLE) / {w}"
+    most = lambda n, name: (f"-(list_sort(list_transform(range({n}), lambda i: "
+                            f"{{'h': {number(name)}, 'i': -i}}), 'DESC')[1].i)")
+    half = SHARDS // 2
     return f"""
 WITH t AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
     lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
 d AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 8 AS size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
     list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
     lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS text_crc32,
-  ({pick(SHARDS)})::INTEGER AS shard, ({pick(SHARDS + 1)})::INTEGER AS grown_shard,
+  {region("'0'", half)} AS r0, {region("'1'", half)} AS r1, {region("'2'", 1)} AS r2, CASE WHEN r0 <= r1 THEN 0 ELSE 1 END AS r,
   ('0x' || substr(md5(doc_id || ':slot'), 1, 8))::BIGINT % (SELECT greatest(1,
-    ceil(count(*) / {SLOT_ROWS * SHARDS}.0))::BIGINT FROM documents) AS bucket FROM documents, t)
+    ceil(count(*) / {SLOT_ROWS * SHARDS}.0))::BIGINT FROM documents) AS bucket FROM documents, t),
+k AS (SELECT *, {most(3, "r || '/' || i")} AS k FROM d),
+s AS (SELECT *, (r + 2 * (k + 3 * ({most(SHARDS // 6, "r || '/' || k || '/' || (r + 2 * (k + 3 * i))")})))::INTEGER AS shard FROM k)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
-  row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM d
+  row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot,
+  CASE WHEN r2 < least(r0, r1) THEN {SHARDS} ELSE shard END::INTEGER AS grown_shard FROM s
 """
 
 

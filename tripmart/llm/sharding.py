@@ -1,12 +1,17 @@
 """Sharding by a hierarchical weighted hash tree.
 
-The tree has regions, racks and shards. Every shard draws for every row an
-exponential time ``-ln(u) / weight`` from a hash of the row's id and the
-shard's name; the draw of a rack or region is the least draw below it, which is
-again exponential with the summed weight. A row descends to the region, the
-rack and the shard with the least draw. A draw depends on nothing but the row
-and the shard, so a changed weight moves rows only into or out of the subtrees
-that hold it, and a new shard takes rows only into itself.
+The tree has regions, racks and shards. Every node draws for every row an
+exponential time ``-ln(u) / weight`` from a hash of the row's id and the node's
+name alone; the weight of a rack or region is the sum of those below it. A row
+descends level by level: to the region with the least draw, among its racks to
+the one with the least, among its shards likewise. The levels are independent,
+so a row costs regions + racks + shards draws along its own path only.
+
+A changed weight changes only the draws of the nodes above it. Rows move between
+the children of a node only into a child whose weight rose (or out of one whose
+weight fell); choices below untouched nodes stay as they were. A shard in a
+region of its own therefore takes rows only into itself, and ``tree`` adds every
+shard beyond the first ``built`` ones in this way.
 """
 
 from __future__ import annotations
@@ -28,33 +33,43 @@ class Shard:
     weight: float = 1.0
 
 
-def tree(shards: int, regions: int = 2, racks: int = 3) -> list[Shard]:
-    """``shards`` equal shards dealt out to ``regions * racks`` racks in turn."""
-    return [Shard(i, i % regions, i // regions % racks) for i in range(shards)]
+def tree(shards: int, regions: int = 2, racks: int = 3, built: int = 24) -> list[Shard]:
+    """``shards`` equal shards. The first ``built`` are dealt out to
+    ``regions * racks`` racks in turn; every later one opens a region of its own,
+    so from ``built`` on one more shard takes rows only into itself. A tree of
+    fewer shards is another tree, not an earlier state of a larger one."""
+    return [Shard(i, i % regions, i // regions % racks) if i < built else Shard(i, regions + i - built, 0)
+            for i in range(shards)]
 
 
-def draw(key: Column, shard: Shard) -> Column:
-    """The row's exponential draw for a shard."""
-    text = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f":{shard.number}"))
+def draw(key: Column, name: Column, weight: Column) -> Column:
+    """The row's exponential draw for the node of the tree with this name."""
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(":"), name)
     number = F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("double")
-    return -F.log((number + 1) / float(1 << DRAW_BITS)) / F.lit(float(shard.weight))
+    return -F.log((number + 1) / float(1 << DRAW_BITS)) / weight
+
+
+def _level(shards: list[Shard], depth: int = 0) -> Column:
+    """The nodes under one parent as a constant array of (name, weight, below);
+    ``below`` is the same array one level down, or a shard's number."""
+    path = lambda s: (s.region, s.rack, s.number)[:depth + 1]
+    nodes = []
+    for at in sorted({path(s) for s in shards}):
+        own = [s for s in shards if path(s) == at]
+        nodes.append(F.struct(F.lit("/".join(map(str, at))).alias("name"),
+                              F.lit(float(sum(s.weight for s in own))).alias("weight"),
+                              (F.lit(own[0].number) if depth == 2 else _level(own, depth + 1)).alias("below")))
+    return F.array(*nodes)
 
 
 def descend(key: Column, shards: list[Shard]) -> Column:
-    """The shard that the row reaches, as an int column."""
-    def least(level: list[tuple[Column, Column]]) -> tuple[Column, Column]:
-        """(draw, choice) of the child with the least draw, ties to the first."""
-        if len(level) == 1:
-            return level[0]
-        best = F.least(*(F.struct(d.alias("d"), F.lit(i).alias("i"), c.alias("c"))
-                         for i, (d, c) in enumerate(level)))
-        return best["d"], best["c"]
-
-    regions: dict[int, dict[int, list]] = {}
-    for s in shards:
-        if s.weight > 0:
-            regions.setdefault(s.region, {}).setdefault(s.rack, []).append((draw(key, s), F.lit(s.number)))
-    return least([least([least(leaf) for leaf in racks.values()]) for racks in regions.values()])[1]
+    """The shard that the row reaches, as an int column. Shards without weight
+    take no rows; equal draws go to the first node."""
+    at = _level([s for s in shards if s.weight > 0])
+    for _ in range(3):
+        at = F.array_min(F.transform(at, lambda n: F.struct(
+            draw(key, n["name"], n["weight"]).alias("draw"), n["name"], n["below"])))["below"]
+    return at
 
 
 def shard(docs: DataFrame, shards: list[Shard], grown: list[Shard] | None = None,
