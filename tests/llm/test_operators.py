@@ -240,6 +240,8 @@ def test_descent_level_by_level(spark):
     for tree in (sharding.tree(24), uneven):
         for r in sharding.shard(ids, tree).select("doc_id", "shard").collect():
             assert r.shard == plain_descent(r.doc_id, tree)[2]
+    with pytest.raises(ValueError):
+        sharding.shard(ids, heavier(sharding.tree(1), 0, 0.0))
 
 
 def test_every_shard_beyond_the_built_ones_takes_rows_only_into_itself(spark):

@@ -64,8 +64,11 @@ def _level(shards: list[Shard], depth: int = 0) -> Column:
 
 def descend(key: Column, shards: list[Shard]) -> Column:
     """The shard that the row reaches, as an int column. Shards without weight
-    take no rows; equal draws go to the first node."""
-    at = _level([s for s in shards if s.weight > 0])
+    take no rows; equal draws go to the first node. A tree without weight is an error."""
+    shards = [s for s in shards if s.weight > 0]
+    if not shards:
+        raise ValueError("no shard has a weight")
+    at = _level(shards)
     for _ in range(3):
         at = F.array_min(F.transform(at, lambda n: F.struct(
             draw(key, n["name"], n["weight"]).alias("draw"), n["name"], n["below"])))["below"]
