@@ -3,6 +3,7 @@ landing gate (S10, from the two fetch tests of the original system)."""
 
 import datetime as dt
 import decimal
+import glob
 import os
 
 import pyarrow.parquet as pq
@@ -266,3 +267,25 @@ def test_warehouse_month_load_sees_stale_tables(spark, monkeypatch):
     monkeypatch.setattr(month, "_swap", first_only)
     with pytest.raises(RuntimeError, match="landed last"):
         registry.q_warehouse_month_load(spark, SF001)
+
+
+def test_a_large_month_is_sorted_by_several_tasks(spark, tmp_path):
+    # One input task holds the whole month.
+    df = spark.range(200_000, numPartitions=1).select(
+        (F.col("id") * 7919 % 1000003).alias("x"), (20240101 + F.col("id") % 28).cast("int").alias("pickup_date_id"),
+        F.lit("2024").alias("data_year"), F.lit("01").alias("data_month"))
+    key, path = "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(tmp_path / "t")
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64k")
+        load_month(df, path, Period("2024", "01"))
+    finally:
+        spark.conf.set(key, old)
+    assert len([f for f in os.listdir(f"{path}/data_year=2024/data_month=01") if f.endswith(".parquet")]) > 2    # one before
+    assert sorted(map(tuple, read_fact(spark, path, df.schema).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_load_month_deals_small_months_together(spark, tmp_path):
+    df = spark.range(4_000, numPartitions=8).select("id", F.lit("2024").alias("data_year"), F.lit("01").alias("data_month"))
+    load_month(df, str(tmp_path / "t"))
+    assert len(glob.glob(str(tmp_path / "t" / "*" / "*" / "*.parquet"))) == 1    # eight before: one per task

@@ -141,20 +141,34 @@ def read_dim(spark: SparkSession, name: str, path: str, fmt: str = "parquet") ->
     return read_table(spark, path, DIMS[name], fmt)
 
 
+# Months are few: more reducers than these would mostly stay empty. Up to 200 (Spark's
+# bypassMergeThreshold) a task writes its shuffle files without holding its rows.
+MONTH_REDUCERS = 200
+
+
+def rebalanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` (REBALANCE hint): AQE splits what is larger than the
+    advisory size and joins what is smaller, so what a task sorts to write is
+    bounded by that size, not by the file splits it reads."""
+    n = min(MONTH_REDUCERS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.hint("rebalance", n, *keys)
+
+
 def load_month(df: DataFrame, table_path: str, period: Period | None = None) -> None:
     """Delete, then load. With ``period``, exactly that month becomes its rows
     in ``df``, also when there are none: the partition folder is overwritten.
     Without it, the months present in ``df`` are replaced. Files are sorted by
-    pickup date key, so date ranges skip row groups, and bounded in size."""
+    pickup date key, so date ranges skip row groups, and bounded in size. Rows are
+    dealt by month (one month: by day) first, which bounds the sort of a task."""
     key = [c for c in df.columns if c == "pickup_date_id"]
     if period is not None:
         month = df.filter((F.col("data_year") == period.year) & (F.col("data_month") == period.month))
         month = month.drop("data_year", "data_month")
-        (month.sortWithinPartitions(*key) if key else month).write.mode("overwrite") \
+        (rebalanced(month, *key).sortWithinPartitions(*key) if key else month).write.mode("overwrite") \
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
             .parquet(f"{table_path.rstrip('/')}/data_year={period.year}/data_month={period.month}")
         return
-    (df.sortWithinPartitions("data_year", "data_month", *key)
+    (rebalanced(df, "data_year", "data_month").sortWithinPartitions("data_year", "data_month", *key)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy("data_year", "data_month").parquet(table_path))
