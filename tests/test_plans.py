@@ -13,7 +13,7 @@ from tripmart.plans.registry import KPI_MONTH, KPI_YEAR
 from tripmart.plans.tables import published_orders
 from tripmart.sources.adapters import event_trips
 
-from .conftest import SF01, plan_text
+from .conftest import SF001, SF01, plan_text
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +127,30 @@ def test_lookups_get_no_broadcast_hint(spark):
     from tripmart.sources.adapters import base_lookup, zone_lookup
     dims = build_dims(spark, zone=zone_lookup(spark, SF01), base=base_lookup(spark, SF01))
     assert "zone" not in dims.small and "base" not in dims.small
+
+
+def test_fact_build_shuffles_narrow_rows_and_no_supplier(spark, monkeypatch):
+    from tripmart.plans import joins
+    from tripmart.plans.tables import build_order_fact, order_dims
+    from tripmart.sources.adapters import order_trips
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        fact = build_order_fact(spark, SF001, order_dims(spark, SF001), by_month=True)
+        plan = plan_text(fact, "simple")
+        # Only orders and line items meet by shuffle; customer and supplier are counted and broadcast.
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+        # Rows are dealt by month before the trip's columns exist.
+        dealt = plan.index("REBALANCE_PARTITIONS_BY_COL")
+        assert "order_month" in plan[dealt - 200:dealt] and "decimal(18,2)" not in plan[dealt:]
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+        assert plan_text(order_trips(spark, SF001), "simple").count("SortMergeJoin") == 3
+        want = sorted(map(tuple, fact.collect()), key=repr)
+        # Few partitions for many rows: more of them.
+        monkeypatch.setattr(joins, "JOIN_ROWS", 500)
+        more = build_order_fact(spark, SF001, order_dims(spark, SF001))
+        assert "REPARTITION_BY_NUM" in plan_text(more, "simple")
+        assert sorted(map(tuple, more.collect()), key=repr) == want
+    finally:
+        spark.conf.set(key, old)

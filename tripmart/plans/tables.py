@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..operators.dims import Dims, build_dims
 from ..operators.keys import add_keys
-from ..operators.publish import MAX_RECORDS_PER_FILE
+from ..operators.publish import MAX_RECORDS_PER_FILE, rebalanced
 from ..session import path_exists, shared_path
 from ..sources.adapters import (base_lookup, order_trip_parts, order_trips, order_trips_span,
                                 zone_lookup)
@@ -87,9 +87,10 @@ def order_dims(spark: SparkSession, sf_dir: str) -> Dims:
                       base=base_lookup(spark, sf_dir))
 
 
-def build_order_fact(spark: SparkSession, sf_dir: str, dims: Dims) -> DataFrame:
-    """The keyed ``order_trips`` fact as a lazy plan (not yet written)."""
-    keyed = add_keys(order_trip_parts(order_trips(spark, sf_dir)), dims)
+def build_order_fact(spark: SparkSession, sf_dir: str, dims: Dims, by_month: bool = False) -> DataFrame:
+    """The keyed ``order_trips`` fact as a lazy plan (not yet written); ``by_month``
+    as in ``order_trips``."""
+    keyed = add_keys(order_trip_parts(order_trips(spark, sf_dir, by_month)), dims)
     return keyed.select(*[f.name for f in ORDER_FACT_SCHEMA.fields])
 
 
@@ -102,10 +103,10 @@ def write_partitioned(df: DataFrame, path: str, sort_key: str = "pickup_date_id"
     tasks x months small files. AQE splits a period partition that is larger
     than the advisory size over several tasks (a month holding a third of all
     rows is not written by one task) and coalesces small ones. Without
-    ``rebalance`` (input already one month per split, e.g. monthly files) no
-    shuffle happens."""
+    ``rebalance`` (input already one month per split, e.g. monthly files, or
+    dealt by month while its rows were narrow) no shuffle happens."""
     if rebalance:
-        df = df.hint("rebalance", "data_year", "data_month")
+        df = rebalanced(df, "data_year", "data_month")
     (df.sortWithinPartitions("data_year", "data_month", sort_key)
        .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy("data_year", "data_month").parquet(path))
@@ -122,7 +123,7 @@ def published_orders(spark: SparkSession, sf_dir: str) -> Published:
     dims = order_dims(spark, sf_dir)
     path = shared_path(spark, "published", f"order_fact_{fp}", unique=False)
     if not path_exists(spark, path + "/_SUCCESS"):
-        write_partitioned(build_order_fact(spark, sf_dir, dims), path)
+        write_partitioned(build_order_fact(spark, sf_dir, dims, by_month=True), path, rebalance=False)
     fact = spark.read.schema(ORDER_FACT_SCHEMA).parquet(path)
     _memo[key] = Published(fact, dims, path)
     return _memo[key]

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import trip_minutes, trip_parts
+from ..operators.publish import rebalanced
+from ..plans.joins import dealt, join_lookup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,24 +102,43 @@ def _dec(c, p, s=2):
     return F.col(c).cast(f"decimal({p},{s})") if isinstance(c, str) else c.cast(f"decimal({p},{s})")
 
 
-def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip-shaped rows, one per line item, money as exact decimals."""
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One narrow row per line item of what its trip is made of, and the month of
+    its order (``order_month``), by which rows are dealt before they grow."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # orders ⋈ customer first: at scale that shuffle is orders-sized; joined
-    # after lineitem it would re-shuffle a lineitem-sized intermediate by
-    # customer key. (Catalyst keeps the written order without CBO.)
-    oc = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
-           .join(supp, F.col("l_suppkey") == supp.s_suppkey))
-    minute = F.col("l_partkey") % 1440
-    fare = _dec("l_extendedprice", 12)
-    tax, disc = _dec("l_tax", 4), _dec("l_discount", 4)
+    # orders ⋈ customer and lineitem ⋈ supplier first: joined later, lineitem-sized
+    # rows would be shuffled again by customer or supplier key where these are not
+    # broadcast. (Catalyst keeps the written order without CBO.)
     prio = F.substring("o_orderpriority", 1, 1)
+    oc = join_lookup(orders, cust, orders.o_custkey == cust.c_custkey).select(
+        "o_orderkey", "o_orderdate", F.col("c_nationkey").cast("int").alias("pu_location_id"),
+        F.when(prio.isin("1", "2", "3", "4"), prio.cast("int")).otherwise(0).alias("payment_id"))
+    ls = join_lookup(li, supp, li.l_suppkey == supp.s_suppkey).select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        (F.col("l_suppkey") % 2 + 1).cast("int").alias("vendor_id"),
+        F.col("s_nationkey").cast("int").alias("do_location_id"),
+        F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2)
+         .when(F.col("l_returnflag") == "N", 3).alias("trip_type_id"))
+    ls, oc = dealt(ls, "l_orderkey", oc, "o_orderkey", li.count())
+    return ls.join(oc, ls.l_orderkey == oc.o_orderkey).select(
+        F.trunc("o_orderdate", "month").alias("order_month"), "o_orderdate", "l_partkey",
+        "l_quantity", _dec("l_extendedprice", 12).alias("fare_amount"), _dec("l_tax", 4).alias("tax"),
+        _dec("l_discount", 4).alias("discount"), "vendor_id", "pu_location_id", "do_location_id",
+        "payment_id", "trip_type_id")
+
+
+def order_trips(spark: SparkSession, sf_dir: str, by_month: bool = False) -> DataFrame:
+    """Trip-shaped rows, one per line item, money as exact decimals. ``by_month``
+    deals the narrow rows by their file month first, for a write by month."""
+    j = order_rows(spark, sf_dir)
+    if by_month:
+        j = rebalanced(j, "order_month")
+    minute, fare, tax = F.col("l_partkey") % 1440, F.col("fare_amount"), F.col("tax")
     return j.select(
         F.timestamp_add("MINUTE", minute, F.col("o_orderdate")).alias("pickup_datetime"),
         F.timestamp_add("MINUTE", minute + F.col("l_quantity").cast("bigint"),
@@ -125,14 +146,10 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         _dec("l_quantity", 9).alias("trip_distance"),
         fare.alias("fare_amount"),
         (fare * tax).cast("decimal(18,2)").alias("tip_amount"),
-        (fare * (1 - disc) * (1 + tax)).cast("decimal(18,2)").alias("total_amount"),
-        (F.col("l_suppkey") % 2 + 1).cast("int").alias("vendor_id"),
+        (fare * (1 - F.col("discount")) * (1 + tax)).cast("decimal(18,2)").alias("total_amount"),
+        "vendor_id",
         (F.col("l_partkey") % 7 + 1).cast("int").alias("rate_code_id"),
-        F.col("c_nationkey").cast("int").alias("pu_location_id"),
-        F.col("s_nationkey").cast("int").alias("do_location_id"),
-        F.when(prio.isin("1", "2", "3", "4"), prio.cast("int")).otherwise(0).alias("payment_id"),
-        F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2)
-         .when(F.col("l_returnflag") == "N", 3).alias("trip_type_id"),
+        "pu_location_id", "do_location_id", "payment_id", "trip_type_id",
         F.date_format("o_orderdate", "yyyy").alias("data_year"),
         F.date_format("o_orderdate", "MM").alias("data_month"),
     )
