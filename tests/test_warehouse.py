@@ -193,6 +193,21 @@ def test_value_counts_scan_the_fact_once(spark):
     assert "order_fact" not in plan_text(profile.value_counts(pub.fact, pub.dims), "simple")
 
 
+def test_a_task_counts_the_values_of_one_column(spark, monkeypatch):
+    fact = spark.createDataFrame([(1, "a", -0.0, "2024", "01"), (1, None, 0.0, "2024", "01"), (None, "a", None, "2024", "02")],
+                                 "k int, t string, x double, data_year string, data_month string")
+    plans, write = [], profile.written
+    monkeypatch.setattr(profile, "written", lambda df, *parts: plans.append(plan_text(df, "simple")) or write(df, *parts))
+    got = {(r.data_month, r.column_name, r.num, r.txt): r.n for r in profile.value_counts(fact).collect()}
+    # No row per row and column: each column has an aggregation of its own.
+    assert "Expand" not in plans[0] and plans[0].count("partial_count") == len(fact.columns)
+    assert got == {("01", "fact.k", 1.0, None): 2, ("02", "fact.k", None, None): 1, ("01", "fact.t", None, "a"): 1,
+                   ("01", "fact.t", None, None): 1, ("02", "fact.t", None, "a"): 1, ("01", "fact.x", 0.0, None): 2,
+                   ("02", "fact.x", None, None): 1, ("01", "fact.data_year", None, "2024"): 2,
+                   ("02", "fact.data_year", None, "2024"): 1, ("01", "fact.data_month", None, "01"): 2,
+                   ("02", "fact.data_month", None, "02"): 1}
+
+
 def test_summary_equals_the_fact(spark):
     pub = registry.published_orders(spark, SF001)
     kept = summary.summary_view(summary.summarize(pub.fact), pub.dims)

@@ -1,6 +1,6 @@
 """Column profile of the star model, kept per month and merged.
 
-One scan turns the fact into counts per (month, column, value); a month's
+Each column of the fact is read once, into counts per (month, column, value); a month's
 column is then a row with its rows, nulls, extremes and a HyperLogLog sketch.
 Months merge without the fact: counts add up, extremes and sketches combine, so
 a reloaded month replaces its own rows only. Exact distinct counts come from the
@@ -48,17 +48,28 @@ def _long(df: DataFrame, names: dict[str, str], keep: list[str]) -> DataFrame:
             .select(*keep, "column_name", "v.num", "v.txt"))
 
 
+def _counted(df: DataFrame, c: str, name: str, by: list[str]) -> DataFrame:
+    """The counts of one column: a task groups its values alone, by narrow rows."""
+    v = _value(F.col(c), df.schema[c].dataType)
+    kind = "num" if isinstance(df.schema[c].dataType, T.NumericType) else "txt"
+    kept = df.select(*by, v[kind].alias("v")).groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+    none = {"num": F.lit(None).cast("double"), "txt": F.lit(None).cast("string")}
+    return kept.select(*by, F.lit(name).alias("column_name"),
+                       *[(F.col("v") if k == kind else none[k]).alias(k) for k in none], "n")
+
+
 def value_counts(fact: DataFrame, dims: Dims | None = None, include=ALL, table: str = "fact") -> DataFrame:
     """``(data_year, data_month, column_name, num, txt, n)``: how often each value
     of each column occurs in a file month. Columns are named ``table.column``;
     with ``dims``, those of the dimensions in ``include`` follow, as a star view
-    by pickup role has them (null where a key has no row). The fact is scanned
-    when this is called, once; the counts are written to the shared folder."""
-    names = {c: f"{table}|{c}" for c in fact.columns}
+    by pickup role has them (null where a key has no row). ``fact`` is a stored
+    table: every column is read when this is called, each once and in tasks of its
+    own, which so hold the values of one column only; the counts are written to the
+    shared folder."""
     months = fact.withColumns({f"__{c}": F.col(c) for c in MONTH})
     by = [f"__{c}" for c in MONTH]
-    counts = written(_long(months, names, by).groupBy(*by, "column_name", "num", "txt")
-                     .agg(F.count(F.lit(1)).alias("n")), "profile", table)
+    each = [_counted(months, c, f"{table}|{c}", by) for c in fact.columns]
+    counts = written(reduce(DataFrame.unionByName, each), "profile", table)
     frames = [counts]
     for name in include if dims is not None else ():
         dim = dims.table(name)
